@@ -60,14 +60,14 @@ def matchable(frame: DataFrame) -> DataFrame:
     return frame.where(" and ".join(f"{k} is not null" for k in ENROLLMENT_KEY))
 
 
-def _clustered(enrollment: DataFrame) -> DataFrame:
+def _clustered(enrollment: DataFrame, *flags: str) -> DataFrame:
     """Distinct keys, shuffled once more right below the join.
 
     Only a join whose two inputs both come straight from a shuffle can have its
     oversized partitions split at run time; a member-month that holds a third
     of all claim lines is then read by many tasks.
     """
-    return matchable(enrollment).repartition(*ENROLLMENT_KEY)
+    return matchable(enrollment).selectExpr(*ENROLLMENT_KEY, *flags).repartition(*ENROLLMENT_KEY)
 
 
 def with_enrollment(claims: DataFrame, enrollment: DataFrame) -> DataFrame:
@@ -105,6 +105,23 @@ def enrolled_claim_metrics(sources: Sources) -> DataFrame:
     )
 
 
+def claim_metrics(sources: Sources) -> DataFrame:
+    """Both of the above in one pass over the claims: lines carry a match flag."""
+    enrolled = _clustered(enrolled_member_months(sources), "true as enrolled")
+    return (
+        dated_claims(sources)
+        .join(enrolled, list(ENROLLMENT_KEY), "left")
+        .groupBy(*MONTH_GRAIN)
+        .agg(
+            F.expr("count(distinct case when enrolled then claim_id end) as claims"),
+            F.expr("count_if(enrolled) as claim_lines"),
+            F.expr(f"cast(sum(case when enrolled then paid_amount end) as {MONEY}) as paid_amount"),
+            F.expr("count(distinct case when enrolled then person_id end) as members_with_claims"),
+            F.expr(f"cast(sum(paid_amount) as {MONEY}) as paid_amount_without_enrollment"),
+        )
+    )
+
+
 def month_bounds(sources: Sources) -> DataFrame:
     """First and last month with member months or claims, per source, payer and plan.
 
@@ -159,13 +176,10 @@ def month_spine(sources: Sources) -> DataFrame:
 
 
 def _monthly_activity(sources: Sources) -> DataFrame:
-    """The three monthly aggregates stacked and merged, one row per active month."""
-    parts = (
-        member_month_metrics(sources),
-        paid_without_enrollment(sources),
-        enrolled_claim_metrics(sources),
+    """Member-month and claim aggregates stacked and merged, one row per active month."""
+    stacked = member_month_metrics(sources).unionByName(
+        claim_metrics(sources), allowMissingColumns=True
     )
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     measures = [*_COUNTS, *_AMOUNTS, "members_with_claims"]
     return stacked.groupBy(*MONTH_GRAIN).agg(*[F.expr(f"max({m}) as {m}") for m in measures])
 
