@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from claimgauge.functions import months as M
 from claimgauge.operators import enrollment_match as E
-from claimgauge.operators.reconciliation import MONEY
 from claimgauge.sources.tables import Sources
 
 PERSON_MONTH = ("person_id", "year_month_int")
@@ -71,7 +70,7 @@ def mismatch_reason(sources: Sources, cutoff: int = E.DEFAULT_CUTOFF) -> DataFra
         E.lines_of_keys(lines, flagged, "mismatch_reason")
         .groupBy(F.col("year_month_int").alias("claim_year_month_int"), "mismatch_reason")
         .agg(
-            F.expr(f"cast(sum(paid_amount) as {MONEY}) as dropped_paid"),
+            F.expr("sum(paid_amount) as dropped_paid"),
             F.expr("count(1) as dropped_rows"),
             F.expr("count(distinct claim_id) as dropped_claims"),
         )
@@ -100,7 +99,7 @@ def normalization_recovery(sources: Sources, cutoff: int = E.DEFAULT_CUTOFF) ->
         E.lines_of_keys(lines, recovered, "normalized")
         .groupBy(F.col("year_month_int").alias("claim_year_month_int"))
         .agg(
-            F.expr(f"cast(sum(paid_amount) as {MONEY}) as recovered_paid"),
+            F.expr("sum(paid_amount) as recovered_paid"),
             F.expr("count(distinct claim_id) as recovered_claims"),
         )
         .where("recovered_paid > 0")

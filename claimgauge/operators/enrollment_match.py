@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.functions import months as M
-from claimgauge.operators.reconciliation import MONEY, matchable
+from claimgauge.operators.reconciliation import matchable
 from claimgauge.sources.tables import Sources
 
 DIAGNOSTIC_GROUP = ("data_source", "payer", "plan")
@@ -55,9 +55,8 @@ def enrollment(sources: Sources, data_source: str | None = None) -> DataFrame:
 def paid_by_match(lines: DataFrame, enrolled: DataFrame) -> DataFrame:
     """Per claim key: paid amount, and whether enrollment has exactly this key."""
     stacked = lines.selectExpr(*KEY, "paid_amount", "1 as is_claim", "0 as is_enrolled").unionByName(
-        matchable(enrolled).selectExpr(
-            *KEY, "cast(null as decimal(18,2)) as paid_amount", "0 as is_claim", "1 as is_enrolled"
-        )
+        matchable(enrolled).selectExpr(*KEY, "0 as is_claim", "1 as is_enrolled"),
+        allowMissingColumns=True,
     )
     return (
         stacked.groupBy(*KEY)
@@ -76,9 +75,9 @@ def drop_off(paid: DataFrame, by: tuple[str, ...]) -> DataFrame:
     return (
         paid.groupBy(*by)
         .agg(
-            F.expr(f"cast(sum(paid) as {MONEY}) as paid_without_join"),
-            F.expr(f"cast(sum(case when matched then paid else 0 end) as {MONEY}) as paid_with_join"),
-            F.expr(f"cast(sum(case when matched then 0 else paid end) as {MONEY}) as dropped_paid"),
+            F.expr("sum(paid) as paid_without_join"),
+            F.expr("sum(case when matched then paid else 0 end) as paid_with_join"),
+            F.expr("sum(case when matched then 0 else paid end) as dropped_paid"),
         )
         .withColumn(
             "dropped_pct",

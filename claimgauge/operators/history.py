@@ -56,11 +56,17 @@ class History:
                 return None
             raise
 
-    def read(self) -> DataFrame:
+    def _rows(self, like: DataFrame | None) -> DataFrame:
         stored = self._stored()
-        if stored is None:
+        if stored is not None:
+            return stored
+        if like is None:
             raise FileNotFoundError(f"no history at {self.path}")
-        return stored.drop(_PARTITION)
+        return like.limit(0)
+
+    def read(self, like: DataFrame | None = None) -> DataFrame:
+        """All rows. Before the first official run: no rows, with the columns of ``like``."""
+        return self._rows(like).drop(_PARTITION)
 
     def upsert(self, rows: DataFrame, persist: bool = True, replace_run: bool = False) -> None:
         """Add the rows of one or more runs; does nothing unless ``persist``.
@@ -87,18 +93,15 @@ class History:
             .parquet(self.path)
         )
 
-    def run(self, rank: int) -> DataFrame:
+    def run(self, rank: int, like: DataFrame | None = None) -> DataFrame:
         """Rows of the run with this rank, 1 for the latest."""
-        stored = self._stored()
-        if stored is None:
-            raise FileNotFoundError(f"no history at {self.path}")
-        return of_rank(stored, rank).drop(_PARTITION)
+        return of_rank(self._rows(like), rank).drop(_PARTITION)
 
-    def latest(self) -> DataFrame:
-        return self.run(LATEST)
+    def latest(self, like: DataFrame | None = None) -> DataFrame:
+        return self.run(LATEST, like)
 
-    def previous(self) -> DataFrame:
-        return self.run(PREVIOUS)
+    def previous(self, like: DataFrame | None = None) -> DataFrame:
+        return self.run(PREVIOUS, like)
 
 
 def ranked_runs(history: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from claimgauge.functions import months as M
 from claimgauge.operators import enrollment_match as E
-from claimgauge.operators.reconciliation import MONEY, without_enrollment
+from claimgauge.operators.reconciliation import without_enrollment
 from claimgauge.sources.tables import Sources
 
 _RENAMED = {"year_month_int": "claim_year_month_int", "plan": "plan_name"}
@@ -93,7 +93,7 @@ def unmatched_members(
         _unmatched(sources, data_source, cutoff)
         .groupBy("person_id")
         .agg(
-            F.expr(f"cast(sum(paid_amount) as {MONEY}) as unmatched_paid_amount"),
+            F.expr("sum(paid_amount) as unmatched_paid_amount"),
             F.expr("count(1) as unmatched_claim_lines"),
             F.expr("count(distinct claim_id) as unmatched_claims"),
             F.expr("min(year_month_int) as first_unmatched_month"),
@@ -116,7 +116,7 @@ def unmatched_member_months(
         .withColumnsRenamed(_RENAMED)
         .groupBy("claim_year_month_int", "payer", "plan_name", "person_id")
         .agg(
-            F.expr(f"cast(sum(paid_amount) as {MONEY}) as unmatched_paid_amount"),
+            F.expr("sum(paid_amount) as unmatched_paid_amount"),
             F.expr("count(1) as unmatched_claim_lines"),
             F.expr("count(distinct claim_id) as unmatched_claims"),
             F.expr("min(claim_date) as first_claim_date"),
@@ -134,7 +134,7 @@ def enrollment_footprint(
         _unmatched(sources, data_source, cutoff)
         .groupBy("person_id")
         .agg(
-            F.expr(f"cast(sum(paid_amount) as {MONEY}) as unmatched_paid_amount"),
+            F.expr("sum(paid_amount) as unmatched_paid_amount"),
             F.expr("count(distinct claim_id) as unmatched_claims"),
             F.expr("min(year_month_int) as first_unmatched_month"),
             F.expr("max(year_month_int) as last_unmatched_month"),
@@ -196,7 +196,7 @@ def nearby_enrollment(
             "claim_plan_name",
         )
         .agg(
-            F.expr(f"cast(sum(paid_amount) as {MONEY}) as unmatched_paid_amount"),
+            F.expr("sum(paid_amount) as unmatched_paid_amount"),
             F.expr("count(distinct claim_id) as unmatched_claims"),
         )
         .where("person_id is not null")

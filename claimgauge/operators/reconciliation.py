@@ -16,7 +16,6 @@ GROUP = ("data_source", "payer", "plan")
 MONTH_GRAIN = (*GROUP, "year_month_int")
 ENROLLMENT_KEY = (*GROUP, "person_id", "year_month_int")
 
-MONEY = "decimal(28,2)"
 # A calendar has one row per day: three thousand years fit.
 MAX_CALENDAR_ROWS = 1_100_000
 
@@ -90,7 +89,7 @@ def member_month_metrics(sources: Sources) -> DataFrame:
 def paid_without_enrollment(sources: Sources) -> DataFrame:
     """Paid amount per month of all dated claim lines, enrolled or not."""
     return dated_claims(sources).groupBy(*MONTH_GRAIN).agg(
-        F.expr(f"cast(sum(paid_amount) as {MONEY}) as paid_amount_without_enrollment")
+        F.expr("sum(paid_amount) as paid_amount_without_enrollment")
     )
 
 
@@ -100,7 +99,7 @@ def enrolled_claim_metrics(sources: Sources) -> DataFrame:
     return matched.groupBy(*MONTH_GRAIN).agg(
         F.expr("count(distinct claim_id) as claims"),
         F.expr("count(1) as claim_lines"),
-        F.expr(f"cast(sum(paid_amount) as {MONEY}) as paid_amount"),
+        F.expr("sum(paid_amount) as paid_amount"),
         F.expr("count(distinct person_id) as members_with_claims"),
     )
 
@@ -115,9 +114,9 @@ def claim_metrics(sources: Sources) -> DataFrame:
         .agg(
             F.expr("count(distinct case when enrolled then claim_id end) as claims"),
             F.expr("count_if(enrolled) as claim_lines"),
-            F.expr(f"cast(sum(case when enrolled then paid_amount end) as {MONEY}) as paid_amount"),
+            F.expr("sum(case when enrolled then paid_amount end) as paid_amount"),
             F.expr("count(distinct case when enrolled then person_id end) as members_with_claims"),
-            F.expr(f"cast(sum(paid_amount) as {MONEY}) as paid_amount_without_enrollment"),
+            F.expr("sum(paid_amount) as paid_amount_without_enrollment"),
         )
     )
 
@@ -220,14 +219,12 @@ def monthly_summary(sources: Sources, run: RunMeta) -> DataFrame:
     """
     known = "(is_active and " + " and ".join(f"{g} is not null" for g in GROUP) + ")"
 
-    def measured(name: str, kind: str) -> str:
-        return f"cast(case when {known} then coalesce({name}, 0) else 0 end as {kind}) as {name}"
-
     filled = _fill_gaps(_monthly_activity(sources)).selectExpr(
         *MONTH_GRAIN,
-        *[measured(name, "bigint") for name in _COUNTS],
-        *[measured(name, MONEY) for name in _AMOUNTS],
-        measured("members_with_claims", "bigint"),
+        *[
+            f"case when {known} then coalesce({name}, 0) else 0 end as {name}"
+            for name in (*_COUNTS, *_AMOUNTS, "members_with_claims")
+        ],
     )
 
     def ratio(top: str, bottom: str, name: str) -> str:

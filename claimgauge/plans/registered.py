@@ -17,7 +17,7 @@ from claimgauge.operators import reconciliation as R
 from claimgauge.operators.catalog import COMPLETENESS, MODELS, VALIDITY, CodeSet, only
 from claimgauge.operators.field_quality import completeness_summary, validity_summary
 from claimgauge.operators.history import History, ranked_runs, validity_run_delta
-from claimgauge.plans.runs import KEYS
+from claimgauge.plans.runs import KEYS, Runs
 from claimgauge.sources.sample_claims import sample_sources
 from claimgauge.sources.scratch import fresh_path
 from claimgauge.sources.tables import Sources
@@ -98,15 +98,12 @@ def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _expected(spark: SparkSession, sf_dir: str):
-    """All three current summaries and histories with what must hold for them."""
-    sources = sample_sources(spark, sf_dir)
-    tables = {}
-    for name, build in SUMMARIES.items():
-        tables[name] = (build(sources, LATER), assertions.EXPECTED[name])
-        kept = _kept_history(spark, sf_dir, name).read()
-        tables[f"{name}_history"] = (kept, assertions.EXPECTED[name])
-    return tables
+def _two_runs(spark: SparkSession, sf_dir: str):
+    """Tables after two official runs, with what must hold for them."""
+    runs = Runs(spark, fresh_path(spark, "runs"))
+    runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True, as_of=AS_OF)
+    runs.build(sample_sources(spark, sf_dir), LATER, persist=True, as_of=AS_OF)
+    return runs.tables()
 
 
 def _repeated_codes(sources: Sources) -> DataFrame:
@@ -193,9 +190,9 @@ def registered() -> dict[str, Query]:
         "nearby_enrollment": _on_sources(
             lambda s: member_diagnostics.nearby_enrollment(s, ONE_SOURCE, CUTOFF)
         ),
-        "assert_unique_grain": lambda spark, d: assertions.unique_report(_expected(spark, d)),
-        "assert_not_null": lambda spark, d: assertions.missing_report(_expected(spark, d)),
-        "assert_pct_bounds": lambda spark, d: comparable(assertions.bounds_report(_expected(spark, d))),
+        "assert_unique_grain": lambda spark, d: assertions.unique_report(_two_runs(spark, d)),
+        "assert_not_null": lambda spark, d: assertions.missing_report(_two_runs(spark, d)),
+        "assert_pct_bounds": lambda spark, d: comparable(assertions.bounds_report(_two_runs(spark, d))),
         "assert_unique_reference": _on_sources(_repeated_codes),
     }
     return found

@@ -59,26 +59,38 @@ class Runs:
             self.history(name).upsert(self.current(name), persist, replace_run)
         return run
 
+    def latest(self, name: str) -> DataFrame:
+        return self.history(name).latest(self.current(name))
+
+    def previous(self, name: str) -> DataFrame:
+        return self.history(name).previous(self.current(name))
+
     def register_views(self, prefix: str = "") -> list[str]:
         """Temporary views of the latest and previous official run of each summary."""
         names = []
         for name in self.keys:
-            history = self.history(name)
-            for which, rows in (("latest", history.latest()), ("previous", history.previous())):
+            for which, rows in (("latest", self.latest(name)), ("previous", self.previous(name))):
                 view = f"{prefix}{name}_{which}_official_run"
                 rows.createOrReplaceTempView(view)
                 names.append(view)
         return names
 
     def validity_delta(self) -> DataFrame:
-        history = self.history("validity")
-        return validity_run_delta(history.latest(), history.previous())
+        return validity_run_delta(self.latest("validity"), self.previous("validity"))
 
-    def failures(self) -> dict[str, DataFrame]:
-        """Failing rows of every assertion on current and historical tables."""
+    def tables(self) -> dict[str, tuple[DataFrame, assertions.Expectation]]:
+        """Current and historical tables by name, with what must hold for them."""
         found = {}
         for name in self.keys:
-            for place, rows in (("current", self.current(name)), ("history", self.history(name).read())):
-                for check, failing in assertions.failures(rows, assertions.EXPECTED[name]).items():
-                    found[f"{place}.{name}.{check}"] = failing
+            current, expected = self.current(name), assertions.EXPECTED[name]
+            found[name] = (current, expected)
+            found[f"{name}_history"] = (self.history(name).read(like=current), expected)
         return found
+
+    def failures(self) -> dict[str, DataFrame]:
+        """Failing rows of every assertion on current and historical tables."""
+        return {
+            f"{table}.{check}": failing
+            for table, (rows, expected) in self.tables().items()
+            for check, failing in assertions.failures(rows, expected).items()
+        }
