@@ -13,8 +13,13 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, shuffle_partitions=4)
+def checkpoint_dir(tmp_path_factory):
+    return str(tmp_path_factory.mktemp("shared"))
+
+
+@pytest.fixture(scope="session")
+def spark(checkpoint_dir):
+    session = local_session(4, shuffle_partitions=4, spark__checkpoint__dir=checkpoint_dir)
     yield session
     session.stop()
 

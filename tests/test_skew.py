@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from claimgauge.operators import reconciliation as R
+from claimgauge.operators.diagnostics import mismatch_reason
 from claimgauge.sources.tables import Sources
 
 FORCED = {
@@ -85,6 +86,16 @@ def test_monthly_metrics_split_the_hot_member_and_count_exactly(hot):
     assert float(row.paid_amount_without_enrollment) == 40_000 * 1.25
 
 
+def test_reasons_of_a_hot_unmatched_member_are_split(hot):
+    others = hot.table("core__member_months").where("person_id <> 'hot'")
+    rows, plan = final_plan(mismatch_reason(hot.overlay({"core__member_months": others})))
+    assert "skew=true" in plan
+    (row,) = rows
+    assert (row.mismatch_reason, row.dropped_rows, row.dropped_claims) == (
+        "No enrollment for person/month", 30_000, 30_000,
+    )
+
+
 def test_member_months_are_counted_with_repeats(hot):
     (row,) = R.member_month_metrics(hot).collect()
     assert (row.member_months, row.members) == (5_000, 126)
