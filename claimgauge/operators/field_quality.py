@@ -160,34 +160,33 @@ def _count_by_value(
     A value that fills a third of the table is one row per group when it
     reaches the join, so the join has no hot key left.
     """
+    used = sorted({s for c in checks for s in c.code_sets}, key=lambda s: s.name)
+    number = {code_set: i for i, code_set in enumerate(used)}
     entries = []
-    for check in checks:
+    for i, check in enumerate(checks):
         probes = _lookups(check)
-        set_name = " ".join(f"when {value} is not null then {V.quoted(s.name)}" for s, value in probes)
+        set_no = " ".join(f"when {value} is not null then {number[s]}" for s, value in probes)
         value = f"coalesce({', '.join(value for _, value in probes)})"
         code = verdict(check, as_of, hit="false").code()
-        entries.append(
-            f"struct({_labels(check)}, case {set_name} end as set_name, {value} as value, {code} as code)"
-        )
+        entries.append(f"struct({i} as entry, case {set_no} end as set_no, {value} as value, {code} as code)")
     values = (
         frame.selectExpr(*GRAIN, f"inline(array({', '.join(entries)}))")
-        .groupBy(*GRAIN, *_LABELS, "set_name", "value", "code")
+        .groupBy(*GRAIN, "entry", "set_no", "value", "code")
         .agg(F.expr("count(1) as n"))
     )
-    used = sorted({s for c in checks for s in c.code_sets}, key=lambda s: s.name)
     known = reduce(
         DataFrame.unionByName,
-        [counted_keys(s).selectExpr("key", "copies", f"{V.quoted(s.name)} as known_set") for s in used],
+        [counted_keys(s).selectExpr("key", "copies", f"{number[s]} as known_set") for s in used],
     )
-    return (
-        values.join(known, F.expr("set_name = known_set and value = key"), "left")
+    counted = (
+        values.join(known, F.expr("set_no = known_set and value = key"), "left")
         .selectExpr(
             *GRAIN,
-            *_LABELS,
+            "entry",
             "n * coalesce(copies, 1) as weight",
             f"case when code = {V.BAD} and copies is not null then {V.GOOD} else code end as code",
         )
-        .groupBy(*GRAIN, *_LABELS)
+        .groupBy(*GRAIN, "entry")
         .agg(
             F.expr("sum(weight) as total_rows"),
             *[
@@ -196,6 +195,10 @@ def _count_by_value(
             ],
         )
     )
+    labels = ", ".join(f"struct({_labels(check)})" for check in checks)
+    return counted.selectExpr(*GRAIN, f"array({labels})[entry] as label", *_COUNTERS).select(
+        *GRAIN, "label.*", *_COUNTERS
+    )
 
 
 def _tally(
