@@ -102,9 +102,15 @@ class _Counted:
 
 
 def _count_side_by_side(frame: DataFrame, counted: Sequence[_Counted]) -> DataFrame:
-    columns, totals, unfolded = [], ["count(1) as n"], []
+    """All counters of a table in one aggregation, then one row per field.
+
+    Rules stand inside the aggregates rather than in a projection below them:
+    Spark generates a method per aggregate, and the loop over rows stays below
+    the size (8000 bytes) from which the JVM would only interpret it.
+    """
+    totals, unfolded = ["count(1) as n"], []
     for i, item in enumerate(counted):
-        columns.append(f"{item.rule.code()} as code{i}")
+        code = item.rule.code()
         wanted = {"null_rows": V.NULL}
         if item.rule.applies is not None:
             wanted["not_applicable_rows"] = V.NOT_APPLICABLE
@@ -112,21 +118,20 @@ def _count_side_by_side(frame: DataFrame, counted: Sequence[_Counted]) -> DataFr
             wanted["good_rows"] = V.GOOD
         counts = {name: f"{name}{i}" if name in wanted else "0" for name in _COUNTERS}
         if item.weight is None:
-            totals += [f"count_if(code{i} = {v}) as {name}{i}" for name, v in wanted.items()]
+            totals += [f"count_if({code} = {v}) as {name}{i}" for name, v in wanted.items()]
             counts["total_rows"] = "n"
         else:
-            columns.append(f"{item.weight} as weight{i}")
             totals += [
-                f"sum(case when code{i} = {v} then weight{i} else 0 end) as {name}{i}"
+                f"sum(case when {code} = {v} then {item.weight} else 0 end) as {name}{i}"
                 for name, v in wanted.items()
             ]
-            totals.append(f"sum(weight{i}) as total_rows{i}")
+            totals.append(f"sum({item.weight}) as total_rows{i}")
             counts["total_rows"] = f"total_rows{i}"
         if item.rule.good is None:
             counts["good_rows"] = "{total_rows} - {not_applicable_rows} - {null_rows}".format(**counts)
         numbers = ", ".join(f"cast({counts[name]} as bigint) as {name}" for name in _COUNTERS)
         unfolded.append(f"struct({_labels(item.check)}, {numbers})")
-    wide = frame.selectExpr(*GRAIN, *columns).groupBy(*GRAIN).agg(*map(F.expr, totals))
+    wide = frame.groupBy(*GRAIN).agg(*map(F.expr, totals))
     return wide.selectExpr(*GRAIN, f"inline(array({', '.join(unfolded)}))")
 
 

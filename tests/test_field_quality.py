@@ -155,3 +155,23 @@ def test_each_source_is_scanned_once(spark, sample, tmp_path):
     few = completeness_summary(sources, RUN, [c for c in C.COMPLETENESS if c.field == "hcpcs_code"])
     scan = [x for x in few._jdf.queryExecution().sparkPlan().toString().splitlines() if "FileScan" in x]
     assert len(scan) == 1 and "diagnosis_code_1" not in scan[0]
+
+
+def test_the_loop_over_rows_is_small_enough_to_be_compiled(spark, sample, tmp_path):
+    """The JVM interprets generated methods of 8000 bytes and more."""
+    path = str(tmp_path / "medical")
+    sample.table(C.MEDICAL).write.parquet(path)
+    sources = sample.overlay({C.MEDICAL: spark.read.parquet(path)})
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows = validity_summary(sources, RUN, C.only(C.VALIDITY, model=C.MEDICAL), AS_OF)
+        debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+        stages = getattr(debug, "MODULE$").codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    loops = [
+        stages.apply(i)._3().maxMethodCodeSize()
+        for i in range(stages.size())
+        if "FileScan parquet [data_source" in stages.apply(i)._1()
+    ]
+    assert len(loops) == 1 and loops[0] < 8000
