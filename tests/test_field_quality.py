@@ -169,9 +169,10 @@ def test_the_loop_over_rows_is_small_enough_to_be_compiled(spark, sample, tmp_pa
         stages = getattr(debug, "MODULE$").codegenStringSeq(rows._jdf.queryExecution().executedPlan())
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+    found = [(stages.apply(i)._1(), stages.apply(i)._3()) for i in range(stages.size())]
     loops = [
-        stages.apply(i)._3().maxMethodCodeSize()
-        for i in range(stages.size())
-        if "FileScan parquet [data_source" in stages.apply(i)._1()
+        size.maxMethodCodeSize()
+        for tree, size in found
+        if "HashAggregate" in tree.splitlines()[0] and "FileScan parquet [data_source" in tree
     ]
     assert len(loops) == 1 and loops[0] < 8000
