@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import sentence_pieces
+from claimgauge.llm import quality_rules, sentence_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,9 +38,14 @@ def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_piece_digests(table(spark, sf_dir, "documents"), piece_model_path())
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op5_sentence_pieces": op5_sentence_pieces,
+        "op10_quality_rules": op10_quality_rules,
     }
 
 
