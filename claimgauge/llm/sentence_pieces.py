@@ -117,6 +117,7 @@ class PieceModel:
             else text.replace(BLANK, " ").encode()
             for text, _, kind in pieces
         ]
+        self._surface_array = np.array(self._surface, dtype=object)
         self._is_byte = np.zeros(self.size, dtype=bool)
         self._is_byte[self.byte_ids] = True
         self._is_control = np.array([kind == _CONTROL for _, _, kind in pieces])
@@ -214,19 +215,28 @@ class PieceModel:
         return out.astype(np.int32), np.repeat(owner, width)
 
     def decode(self, ids: list[int]) -> str:
-        """Text of a list of ids, with U+FFFD for each byte that is not part of UTF-8."""
-        ids_array = np.asarray(ids, dtype=np.int64)
-        raw = b"".join(map(self._surface.__getitem__, ids))
-        text_at = np.flatnonzero(~self._is_control[ids_array])
-        if not self._is_byte[ids_array].any():
-            text = raw.decode()
-        else:
-            text = self._with_bytes(ids_array)
-        # the blank that encoding put in front of the text
-        first_is_text = len(text_at) > 0 and not self._is_byte[ids_array[text_at[0]]]
-        if first_is_text and self._surface[ids_array[text_at[0]]] != _UNKNOWN_SURFACE and text.startswith(" "):
-            text = text[1:]
-        return text
+        return self.decode_many(np.asarray(ids, dtype=np.int64), [0, len(ids)])[0]
+
+    def decode_many(self, ids: np.ndarray, offsets: list[int]) -> list[str]:
+        """Texts of lists of ids laid end to end, with U+FFFD for each byte that is not part of UTF-8."""
+        surfaces = self._surface_array[ids].tolist()
+        any_control, out = bool(self._is_control[ids].any()), []
+        for a, b in zip(offsets, offsets[1:], strict=False):
+            try:
+                if any_control and self._is_control[ids[a:b]].any():  # these part runs of bytes
+                    text = self._with_bytes(ids[a:b])
+                else:
+                    text = b"".join(surfaces[a:b]).decode()
+            except UnicodeDecodeError:
+                text = self._with_bytes(ids[a:b])
+            if text.startswith(" "):  # the blank that encoding put in front of the text
+                first = a
+                while self._is_control[ids[first]]:
+                    first += 1
+                if not self._is_byte[ids[first]] and surfaces[first] != _UNKNOWN_SURFACE:
+                    text = text[1:]
+            out.append(text)
+        return out
 
     def _with_bytes(self, ids: np.ndarray) -> str:
         kind = self._is_byte[ids]
@@ -290,7 +300,7 @@ def _encoder(path: str, cache_words: int) -> _Encoder:
     return _Encoder(_loaded(path), cache_words)
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", cache_words: int = 300_000) -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids", cache_words: int = 200_000) -> DataFrame:
     """``docs`` with the array column ``ids``; an equally named column is replaced.
 
     ``model_path`` is read where tasks run, so it has to be installed on every machine.
@@ -314,16 +324,21 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
     return rows.mapInArrow(batches, schema)
 
 
+def _decoded(model: PieceModel, lists: pa.ListArray) -> pa.Array:
+    ends = np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    return pa.array(model.decode_many(values, [0, *ends.tolist()]), pa.string())
+
+
 def decode(rows: DataFrame, model_path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``rows`` with the string column ``text`` made from the ids; null ids give an empty text."""
 
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _loaded(model_path)
         for batch in batches:
-            yield pa.array([model.decode(x or []) for x in batch.to_pylist()], pa.string())
-
-    from pyspark.sql.functions import arrow_udf
+            parts = [batch.slice(at, 256) for at in range(0, len(batch), 256)]
+            yield pa.concat_arrays([_decoded(model, part) for part in parts] or [pa.array([], pa.string())])
 
-    made = arrow_udf(texts, "string")
+    made = F.arrow_udf(texts, "string")
     names = [F.col(f"`{c}`") for c in rows.columns if c != text]
     return rows.select(*names, made(F.col(f"`{ids}`")).alias(text))
