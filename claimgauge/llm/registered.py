@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import quality_rules, sentence_pieces
+from claimgauge.llm import mixing, quality_rules, sentence_pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,9 +42,15 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.taken_words(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op5_sentence_pieces": op5_sentence_pieces,
+        "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
     }
 

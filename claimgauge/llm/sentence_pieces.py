@@ -311,7 +311,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
         for batch in frames:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = encoder.ids(part.column("__text").to_pylist())
+                found = encoder.ids(part.column(part.num_columns - 1).to_pylist())
                 offsets = np.r_[0, np.cumsum([len(x) // 4 for x in found])].astype(np.int32)
                 values = np.frombuffer(b"".join(found), dtype=np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -320,7 +320,7 @@ def encode(docs: DataFrame, model_path: str, text: str = "text", ids: str = "ids
 
     names = [c for c in docs.columns if c != ids]
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    rows = docs.select(*(F.col(f"`{c}`") for c in names), F.col(f"`{text}`").alias("__text"))
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)), F.col(f"`{text}`").alias("text"))
     return rows.mapInArrow(batches, schema)
 
 
