@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import mixing, quality_rules, sentence_pieces
+from claimgauge.llm import mixing, quality_rules, sentence_pieces, web_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,11 @@ def sentence_piece_digests(docs: DataFrame, model_path: str) -> DataFrame:
     )
 
 
+def op4_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = web_archives.archived(table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_piece_digests(table(spark, sf_dir, "documents"), piece_model_path())
 
@@ -49,6 +54,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_web_archives": op4_web_archives,
         "op5_sentence_pieces": op5_sentence_pieces,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
