@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import mixing, quality_rules, sentence_pieces, web_archives
+from claimgauge.llm import languages, line_quality, mixing, quality_rules, sentence_pieces, web_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,24 @@ def sentence_piece_digests(docs: DataFrame, model_path: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Documents that nothing is learned from; those without an id are not among them."""
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    return F.coalesce(fold == 1, F.lit(False))
+
+
+def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = languages.train(docs.where(~held_out()))
+    return languages.predict(docs, net, keep=("doc_id", held_out().alias("held_out")))
+
+
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = line_quality.train(docs, labels.where(~held_out()))
+    return line_quality.score(docs, model, keep=("doc_id", held_out().alias("held_out")))
+
+
 def op4_web_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = web_archives.archived(table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -54,6 +72,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_languages": op2_languages,
+        "op3_line_quality": op3_line_quality,
         "op4_web_archives": op4_web_archives,
         "op5_sentence_pieces": op5_sentence_pieces,
         "op9_mixing": op9_mixing,
