@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import languages, line_quality, mixing, quality_rules, sentence_pieces, web_archives
+from claimgauge.llm import languages, line_quality, mixing, near_documents, quality_rules, sentence_pieces, web_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op6_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_documents.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.taken_words(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op3_line_quality": op3_line_quality,
         "op4_web_archives": op4_web_archives,
         "op5_sentence_pieces": op5_sentence_pieces,
+        "op6_near_documents": op6_near_documents,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
     }

@@ -1,0 +1,111 @@
+"""Components against brute force over all pairs, on the corpus and on groups of copies."""
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from claimgauge.llm import components, near_documents
+
+SCHEMA = "doc_id long, text string"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingle_set(text, width=5):
+    words = WORD.findall((text or "").translate(LOWER))
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
+
+
+def groups(ids, pairs):
+    parent = {i: i for i in ids}
+
+    def root(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for a, b in pairs:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {i: root(i) for i in ids}
+
+
+def brute(rows):
+    sets = {i: shingle_set(t) for i, t in rows}
+    where = {}
+    for i, s in sets.items():
+        for x in s:
+            where.setdefault(x, []).append(i)
+    maybe = {(a, b) for ids in where.values() for a in ids[:200] for b in ids if a < b}
+    linked = [(a, b) for a, b in maybe if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
+    found = groups(sets, linked)
+    return {i: (len(sets[i]), found[i]) for i in sets}
+
+
+def check(spark, rows, **settings):
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = near_documents.JoinPlan(**settings)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_documents.near_duplicates(docs, plan).collect()}
+    assert got == brute(rows)
+
+
+def test_corpus(spark, documents):
+    check(spark, [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()])
+
+
+def test_many_near_copies_and_a_shared_passage(spark):
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(3000)}"
+    base, passage = [word() for _ in range(80)], [word() for _ in range(40)]
+    rows = []
+    for i in range(60):
+        copy = list(base)
+        for _ in range(rng.randrange(3)):
+            copy[rng.randrange(80)] = word()
+        rows.append((i, " ".join(copy)))
+    for i in range(60, 110):
+        rows.append((i, " ".join(passage + [word() for _ in range(rng.choice([4, 8, 12, 60]))])))
+    rng.shuffle(rows)
+    check(spark, rows, leaf=4)
+    check(spark, rows, leaf=2, max_depth=2)
+
+
+def test_edge_rows(spark):
+    rows = [
+        (9, None), (8, ""), (7, " \n"), (6, "One two"), (5, "one  TWO"), (4, "one two three"), (3, "a b c d e f"), (3, "a b c d e f"),
+        (None, "a b c d e f"), (2, "a\tb\x0bc d e f"), (1, "x " * 60_000), (11, "y " + "x " * 60_000), (12, "É é"), (13, "é é"),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumns({"component": F.lit(1), "member": F.lit("m"), "kept": F.lit(2)})
+    out = near_documents.near_duplicates(docs).collect()
+    assert len(out) == len(rows)
+    got = {(r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out}
+    assert got == {
+        (9, 0, 9, True), (8, 0, 8, True), (7, 0, 7, True), (6, 1, 5, False), (5, 1, 5, True), (4, 1, 4, True), (3, 2, 2, False),
+        (None, 2, None, True), (2, 2, 2, True), (1, 1, 1, True), (11, 2, 11, True), (12, 1, 12, True), (13, 1, 13, True),
+    }
+    assert near_documents.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_recall_follows_from_the_number_of_trees():
+    plan = near_documents.JoinPlan()
+    assert abs(plan.miss - (0.25 + 0.75 * plan.miss) ** 2) < 1e-9
+    assert plan.miss**plan.trees <= 1 - plan.recall
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components(spark, seed):
+    rng = random.Random(seed)
+    chain = [(i, i + 1) for i in range(100, 140)]
+    star = [(500, i) for i in range(501, 540)]
+    pairs = chain + star + [(rng.randrange(60), rng.randrange(60)) for _ in range(40)]
+    rng.shuffle(pairs)
+    links = spark.createDataFrame([p if rng.random() < 0.5 else p[::-1] for p in pairs], "a long, b long")
+    got = {r.node: r.component for r in components.connected(links).collect()}
+    want = groups({x for p in pairs if p[0] != p[1] for x in p}, pairs)
+    assert got == want
+    assert components.connected(links.limit(0)).count() == 0
