@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import languages, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, web_archives
+from claimgauge.llm import fuzzy_lines, languages, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, web_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ def op6_near_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op4_web_archives": op4_web_archives,
         "op5_sentence_pieces": op5_sentence_pieces,
         "op6_near_documents": op6_near_documents,
+        "op7_fuzzy_lines": op7_fuzzy_lines,
         "op8_near_vectors": op8_near_vectors,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
