@@ -11,8 +11,7 @@ For inference a filter is a sum of lookups: the embedding times the weights at
 one offset is a table of 256 rows, and two neighbouring offsets are a table of
 65,536 rows, so that a filter of width 4 takes two lookups per byte.
 
-Training reads at most ``sample_docs`` labelled texts, those with the smallest
-hashes of their ids, and at most ``windows_per_doc`` windows of each, spread
+Training reads about ``sample_docs`` labelled texts, chosen by a hash and never twice as many, and at most ``windows_per_doc`` windows of each, spread
 evenly over the whole text; that bound is all that reaches the driver. Prediction reads whole
 texts, row by row, without a shuffle; memory per step is bounded by ``step_windows``.
 
@@ -32,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimgauge.llm.text_columns import bounded_sample
+
 UNDETERMINED = "und"
 
 
@@ -180,8 +181,8 @@ def train(labelled: DataFrame, plan: NetPlan = NetPlan(), text: str = "text", la
         F.sequence(F.lit(0), F.lit(plan.windows_per_doc - 1)),
         lambda i: F.substring(F.col("body"), F.floor(i * F.greatest(F.length("body") - plan.window, F.lit(0)) / max(1, plan.windows_per_doc - 1)).cast("int") + 1, F.lit(plan.window)),
     )
-    sample = rows.withColumn("hash", F.xxhash64("key", "body")).orderBy("hash", "lang").limit(plan.sample_docs)
-    sample = sample.select("hash", "lang", F.array_distinct(cuts).alias("cuts")).collect()
+    rows = rows.withColumn("hash", F.xxhash64("key", "body")).select("hash", "lang", F.array_distinct(cuts).alias("cuts"))
+    sample = bounded_sample(rows, plan.sample_docs, "hash")
     classes = sorted({r.lang for r in sample})
     net = ByteNet(plan, classes)
     texts, y = [], []

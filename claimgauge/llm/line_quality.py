@@ -10,8 +10,7 @@ Labels are given for documents only. Lines of good documents are good; of bad
 documents those lines are bad which a logistic regression on the line's own
 features calls bad, and the worst one if it calls none so.
 
-Training takes at most ``sample_docs`` labelled documents, those with the
-smallest hashes of their ids. Scoring is per row: whole texts, without a shuffle; chains of several documents are walked
+Training takes about ``sample_docs`` labelled documents, chosen by a hash and never twice as many. Scoring is per row: whole texts, without a shuffle; chains of several documents are walked
 together, so that a step is one numpy operation.
 
 Defined results: null and empty texts and texts without a word score
@@ -31,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimgauge.llm.text_columns import bounded_sample
+
 
 
 @dataclass(frozen=True)
@@ -238,10 +239,10 @@ def train(docs: DataFrame, labels: DataFrame, plan: CrfPlan = CrfPlan(), text: s
     """Fits a field on the sample; texts of the sampled ids alone reach the driver."""
     known = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("good")).where("key is not null and good in (0, 1)")
     known = known.groupBy("key").agg(F.min("good").alias("good"))  # of contradicting labels the worse one
-    sample = known.orderBy(F.xxhash64("key"), "key").limit(plan.sample_docs).collect()
+    sample = bounded_sample(known, plan.sample_docs, "key")
     picked = docs.sparkSession.createDataFrame([(r.key, int(r.good)) for r in sample], "key long, good int")
     texts = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("body"))
-    # at most sample_docs ids
+    # at most twice sample_docs ids
     rows = texts.join(F.broadcast(picked), "key").where("body is not null").groupBy("key").agg(F.min(F.struct("body", "good")).alias("one"))
     found = sorted((r.key, r.one.body, r.one.good) for r in rows.collect())
     return fit_field([r[1] for r in found], [r[2] for r in found], plan)

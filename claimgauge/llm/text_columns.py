@@ -28,3 +28,14 @@ def word_count(text: Column) -> Column:
 
 def same_columns(rows: DataFrame, names: list[str]) -> DataFrame:
     return rows.select(*(F.col(f"`{n}`") for n in names))
+
+
+def bounded_sample(rows: DataFrame, most: int, *by: str) -> list:
+    """About ``most`` rows, and never twice as many, chosen by a hash of the columns ``by``.
+
+    A share of the hash range is taken, so that tasks send no more than what is
+    chosen; for tables of up to ``most`` rows that is everything.
+    """
+    share = min(1.0, most / max(1, rows.count()))
+    chosen = F.pmod(F.xxhash64(*by), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
+    return rows.where(chosen).limit(2 * most).collect()
