@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import fuzzy_lines, languages, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, web_archives
+from claimgauge.llm import fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, web_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +40,11 @@ def held_out() -> Column:
     return F.coalesce(fold == 1, F.lit(False))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return license_scan.scan(docs, license_scan.train(docs))
+
+
 def op2_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = languages.train(docs.where(~held_out()))
@@ -84,6 +89,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_license_scan": op1_license_scan,
         "op2_languages": op2_languages,
         "op3_line_quality": op3_line_quality,
         "op4_web_archives": op4_web_archives,
