@@ -57,11 +57,6 @@ def _blank(value: str) -> str:
     return f"({value} is null or {value} = '')"
 
 
-def _only_digits(value: str) -> str:
-    # Not '^[0-9]+$': in Java regular expressions '$' also matches before a final newline.
-    return f"not ({value} rlike '[^0-9]')"
-
-
 def filled(value: str) -> Verdict:
     """Completeness: anything but NULL and '' counts as present."""
     return Verdict(blank=_blank(value))
@@ -101,39 +96,24 @@ def text_present(value: str) -> Verdict:
     return Verdict(blank=f"({value} is null or {value} in ('', 'NULL'))")
 
 
+def _matches(value: str, pattern: str) -> str:
+    # \A and \z, because '$' also matches before a final newline in Java
+    return f"{value} rlike r'\\A(?:{pattern})\\z'"
+
+
 def ssn(value: str) -> Verdict:
     """123456789 or 123-45-6789."""
-    return Verdict(
-        blank=_blank(value),
-        good=_plain_or_dashed(value, plain_lengths=(9,), dashed_length=11, dashes=(4, 7)),
-    )
+    return Verdict(blank=_blank(value), good=_matches(value, "[0-9]{9}|[0-9]{3}-[0-9]{2}-[0-9]{4}"))
 
 
 def zip_code(value: str) -> Verdict:
     """12345, 123456789 or 12345-6789."""
-    return Verdict(
-        blank=_blank(value),
-        good=_plain_or_dashed(value, plain_lengths=(5, 9), dashed_length=10, dashes=(6,)),
-    )
-
-
-def _plain_or_dashed(value, plain_lengths, dashed_length, dashes) -> str:
-    """Digits of a given length, or nine digits with dashes at given positions."""
-    digits = f"replace({value}, '-', '')"
-    in_place = " and ".join(f"substring({value}, {at}, 1) = '-'" for at in dashes)
-    plain = f"length({value}) in ({', '.join(map(str, plain_lengths))}) and {_only_digits(value)}"
-    dashed = (
-        f"length({value}) = {dashed_length} and {in_place}"
-        f" and length({digits}) = 9 and {_only_digits(digits)}"
-    )
-    return f"(({plain}) or ({dashed}))"
+    return Verdict(blank=_blank(value), good=_matches(value, "[0-9]{5}(?:-?[0-9]{4})?"))
 
 
 def phone(value: str) -> Verdict:
-    """Ten digits, or eleven with a leading 1, after dropping - ( ) blank and dot."""
-    digits = f"translate({value}, '-() .', '')"
-    length = f"(length({digits}) = 10 or (length({digits}) = 11 and startswith({digits}, '1')))"
-    return Verdict(blank=_blank(value), good=f"({_only_digits(digits)} and {length})")
+    """Ten digits, or eleven with a leading 1, with - ( ) blank and dot anywhere between them."""
+    return Verdict(blank=_blank(value), good=_matches(value, "[-() .]*(?:1[-() .]*)?(?:[0-9][-() .]*){10}"))
 
 
 def email(value: str) -> Verdict:

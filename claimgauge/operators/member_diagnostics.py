@@ -12,26 +12,24 @@ from pyspark.sql import functions as F
 from claimgauge.functions import months as M
 from claimgauge.operators import enrollment_match as E
 from claimgauge.operators.reconciliation import without_enrollment
+from claimgauge.sources.scratch import stage
 from claimgauge.sources.tables import Sources
 
 _RENAMED = {"year_month_int": "claim_year_month_int", "plan": "plan_name"}
 
-# A report of at most this many lines may be broadcast to look for its members.
-MAX_BROADCAST_LINES = 10_000
-
 
 def top_dropped_claims(
     sources: Sources, cutoff: int = E.DEFAULT_CUTOFF, top: int = 200
 ) -> DataFrame:
     """The ``top`` largest claim lines without enrollment, with a likely reason.
 
-    Reasons are looked up after the cut, for the members of the reported lines
-    only, so enrollment is not shuffled for them.
+    The reported lines are written first: the search for them runs once, and
+    Spark knows how few they are when it looks up their members' enrollment.
     """
     enrolled = E.enrollment(sources)
     order = [F.desc("paid_amount"), "year_month_int", *E.DIAGNOSTIC_GROUP, "person_id", "claim_id"]
-    lines = without_enrollment(E.claim_lines(sources, cutoff), enrolled.distinct())
-    reported = lines.drop("claim_date").orderBy(*order).limit(top)
+    lines = without_enrollment(E.claim_lines(sources, cutoff), enrolled)
+    reported = stage(lines.drop("claim_date").orderBy(*order).limit(top), "top-dropped-claims")
 
     index = M.month_index(F.col("year_month_int"))
     asked_key = ("data_source", "payer", "person_id", "year_month_int")
@@ -45,8 +43,6 @@ def top_dropped_claims(
             "explode(array(month_index - 1, month_index, month_index + 1)) as near_index",
         )
     )
-    if top <= MAX_BROADCAST_LINES:
-        asked = F.broadcast(asked)
     near = enrolled.withColumn("month_index", index).join(
         asked, F.expr("person_id = asked_person_id and month_index = near_index")
     )
@@ -70,6 +66,7 @@ def top_dropped_claims(
             "person_id",
             "claim_id",
             "paid_amount",
+            # The labels.
             """case
                 when person_id is null then 'NULL person_id'
                 when same_payer then 'Likely plan mismatch'
@@ -82,7 +79,7 @@ def top_dropped_claims(
 
 def _unmatched(sources: Sources, data_source: str, cutoff: int) -> DataFrame:
     lines = E.claim_lines(sources, cutoff, data_source)
-    return without_enrollment(lines, E.enrollment(sources, data_source).distinct())
+    return without_enrollment(lines, E.enrollment(sources, data_source))
 
 
 def unmatched_members(
@@ -222,6 +219,7 @@ def nearby_enrollment(
     here = F.col("enrollment_data_source") == data_source
     payer, plan = F.col("enrollment_payer"), F.col("enrollment_plan_name")
     claim_payer, claim_plan = F.col("claim_payer"), F.col("claim_plan_name")
+    # The labels.
     relationship = (
         F.when(
             same_month & here & (payer != claim_payer) & (plan == claim_plan),

@@ -1,10 +1,10 @@
 """Claims tables derived from the driver's TPC-H-like tables.
 
 The driver's tables are not claims, so each claims relation is a projection of
-them, written once as text that Spark and DuckDB both run. Conditions in the
-FROM text say what a relation *is* (which codes a code set knows, which months
-carry enrollment), so that valid and invalid, matched and unmatched rows all
-occur; the checked claims tables themselves always cover every source row.
+them, written once as text that Spark and DuckDB both run. No relation has a
+condition on source rows: claims, enrollment and code sets all grow with the
+tables. Valid and invalid, matched and unmatched rows occur because some keys
+are listed under other codes, and some members enrolled in other plans.
 """
 
 from __future__ import annotations
@@ -49,6 +49,11 @@ def _npi(offset: str = "") -> str:
     return _code(f"cast(1000000000 + l.l_suppkey{offset} as string)")
 
 
+def _listed(key: str, code: str, retired: int) -> str:
+    """A code set's entry for a key: every ``retired``-th one is listed under another code."""
+    return f"case when {key} % {retired} = 0 then 'X' || cast({key} as string) else {code} end"
+
+
 # relation -> (FROM text, {column: (type, expression)})
 RELATIONS: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
     "input_layer__eligibility": (
@@ -82,7 +87,7 @@ RELATIONS: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
             "plan": ("string", CLAIM_PLAN),
             "claim_type": ("string", "case l.l_partkey % 6 when 0 then 'professional' when 1 then 'institutional' when 2 then 'institutional' when 3 then 'dental' when 4 then '' end"),
             "drg_code_type": ("string", "case l.l_linenumber % 3 when 0 then 'ms-drg' when 1 then 'apr-drg' else 'other' end"),
-            "drg_code": ("string", _code(_padded("", "l.l_suppkey % 40", 3))),
+            "drg_code": ("string", _code(_padded("", "l.l_suppkey", 8))),
             "claim_start_date": ("date", CLAIM_DATE),
             "claim_end_date": ("date", CLAIM_DATE),
             "claim_line_start_date": ("date", CLAIM_DATE),
@@ -91,27 +96,27 @@ RELATIONS: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
             "discharge_date": ("date", CLAIM_DATE),
             "paid_date": ("date", CLAIM_DATE),
             "service_unit_quantity": ("double", QUANTITY),
-            "revenue_center_code": ("string", _code(_padded("", "l.l_partkey % 50", 4))),
-            "hcpcs_code": ("string", _code(_padded("J", "l.l_partkey % 300", 4))),
+            "revenue_center_code": ("string", _code(_padded("", "l.l_partkey", 8))),
+            "hcpcs_code": ("string", _code(_padded("J", "l.l_partkey", 8))),
             "hcpcs_modifier_1": ("string", "case l.l_partkey % 4 when 0 then 'NULL' when 1 then '' when 2 then 'A1' end"),
-            "diagnosis_code_1": ("string", _code(_padded("E", "(l.l_partkey + 1) % 400", 4))),
-            "diagnosis_code_2": ("string", _code(_padded("E", "(l.l_partkey + 2) % 400", 4))),
-            "diagnosis_code_3": ("string", _code(_padded("E", "(l.l_partkey + 3) % 400", 4))),
-            "procedure_code_1": ("string", _code(_padded("0", "(l.l_suppkey + 1) % 90", 6))),
-            "procedure_code_2": ("string", _code(_padded("0", "(l.l_suppkey + 2) % 90", 6))),
-            "procedure_code_3": ("string", _code(_padded("0", "(l.l_suppkey + 3) % 90", 6))),
-            "discharge_disposition_code": ("string", _code(_padded("", "l.l_partkey % 60", 2))),
-            "admit_source_code": ("string", _code("cast(l.l_partkey % 12 as string)")),
-            "admit_type_code": ("string", _code("cast(l.l_partkey % 10 as string)")),
-            "bill_type_code": ("string", _code(_padded("", "l.l_partkey % 200", 3))),
-            "place_of_service_code": ("string", _code(_padded("", "l.l_partkey % 100", 2))),
+            "diagnosis_code_1": ("string", _code(_padded("E", "l.l_partkey + 1", 8))),
+            "diagnosis_code_2": ("string", _code(_padded("E", "l.l_partkey + 2", 8))),
+            "diagnosis_code_3": ("string", _code(_padded("E", "l.l_partkey + 3", 8))),
+            "procedure_code_1": ("string", _code(_padded("0", "l.l_suppkey + 1", 8))),
+            "procedure_code_2": ("string", _code(_padded("0", "l.l_suppkey + 2", 8))),
+            "procedure_code_3": ("string", _code(_padded("0", "l.l_suppkey + 3", 8))),
+            "discharge_disposition_code": ("string", _code(_padded("", "l.l_partkey", 8))),
+            "admit_source_code": ("string", _code("cast(l.l_partkey as string)")),
+            "admit_type_code": ("string", _code("cast(l.l_partkey as string)")),
+            "bill_type_code": ("string", _code(_padded("", "l.l_partkey", 8))),
+            "place_of_service_code": ("string", _code(_padded("", "l.l_partkey", 8))),
             "rendering_npi": ("string", _npi()),
             "billing_npi": ("string", _npi(" + 1")),
             "facility_npi": ("string", _npi(" + 2")),
         },
     ),
     "input_layer__pharmacy_claim": (
-        CLAIM_LINES + " where l.l_returnflag = 'R'",
+        CLAIM_LINES,
         {
             "data_source": ("string", SOURCE),
             "payer": ("string", CLAIM_PAYER),
@@ -119,7 +124,7 @@ RELATIONS: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
             "prescribing_provider_npi": ("string", _npi()),
             "dispensing_provider_npi": ("string", _npi(" + 3")),
             "dispensing_date": ("date", CLAIM_DATE),
-            "ndc_code": ("string", _code(_padded("", "l.l_partkey % 500", 11))),
+            "ndc_code": ("string", _code(_padded("", "l.l_partkey", 11))),
             "quantity": ("double", QUANTITY),
             "days_supply": ("int", "case when l.l_partkey % 7 = 0 then null else cast(l.l_partkey % 30 as int) end"),
             "refills": ("int", "case when l.l_partkey % 5 = 0 then null else cast(l.l_partkey % 4 as int) end"),
@@ -140,36 +145,38 @@ RELATIONS: dict[str, tuple[str, dict[str, tuple[str, str]]]] = {
         },
     ),
     "core__member_months": (
-        "orders o join customer c on o.o_custkey = c.c_custkey where o.o_orderkey % 5 <> 0",
+        "orders o join customer c on o.o_custkey = c.c_custkey",
         {
             "data_source": ("string", SOURCE),
             "payer": ("string", PAYER),
-            "plan": ("string", PLAN),
+            # every fifth order enrolls its customer in another plan, so that its claims find no exact match
+            "plan": ("string", f"case when o.o_orderkey % 5 = 0 then 'EPO' else {PLAN} end"),
             "person_id": ("string", "'P' || cast(c.c_custkey as string)"),
             "year_month": ("string", "cast(year(o.o_orderdate) * 100 + month(o.o_orderdate) as string)"),
         },
     ),
     "terminology__race": ("region", {"description": ("string", "case r_regionkey when 0 then 'white' when 1 then 'asian' when 2 then 'black' else 'other' end")}),
-    "terminology__medicare_dual_eligibility": ("nation where n_nationkey < 11", {"dual_status_code": ("string", "lpad(cast(n_nationkey as string), 2, '0')")}),
-    "terminology__ms_drg": ("supplier where s_suppkey < 20", {"ms_drg_code": ("string", "lpad(cast(s_suppkey as string), 3, '0')")}),
-    "terminology__apr_drg": ("supplier where s_suppkey between 10 and 34", {"apr_drg_code": ("string", "lpad(cast(s_suppkey as string), 3, '0')")}),
-    "terminology__revenue_center": ("part where p_partkey < 35", {"revenue_center_code": ("string", "lpad(cast(p_partkey as string), 4, '0')")}),
-    "terminology__hcpcs_level_2": ("part where p_partkey < 240", {"hcpcs": ("string", "'J' || lpad(cast(p_partkey % 200 as string), 4, '0')")}),
-    "terminology__icd_10_cm": ("part where p_partkey < 300", {"icd_10_cm": ("string", "'E' || lpad(cast(p_partkey as string), 4, '0')")}),
-    "terminology__icd_10_pcs": ("part where p_partkey < 60", {"icd_10_pcs": ("string", "'0' || lpad(cast(p_partkey as string), 6, '0')")}),
-    "terminology__discharge_disposition": ("part where p_partkey < 40", {"discharge_disposition_code": ("string", "lpad(cast(p_partkey as string), 2, '0')")}),
-    "terminology__admit_source": ("part where p_partkey < 9", {"admit_source_code": ("string", "cast(p_partkey as string)")}),
-    "terminology__admit_type": ("part where p_partkey < 6", {"admit_type_code": ("string", "cast(p_partkey as string)")}),
-    "terminology__bill_type": ("part where p_partkey < 120", {"bill_type_code": ("string", "lpad(cast(p_partkey as string), 3, '0')")}),
-    "terminology__place_of_service": ("part where p_partkey < 70", {"place_of_service_code": ("string", "lpad(cast(p_partkey as string), 2, '0')")}),
-    "terminology__provider": ("supplier where s_acctbal > 2000", {"npi": ("string", "cast(1000000000 + s_suppkey as string)")}),
-    "terminology__ndc": ("part where p_partkey < 150", {"ndc": ("string", "lpad(cast(p_partkey % 500 as string), 11, '0')")}),
+    "terminology__medicare_dual_eligibility": ("nation", {"dual_status_code": ("string", _listed("n_nationkey", _padded("", "n_nationkey", 2), 4))}),
+    "terminology__ms_drg": ("supplier", {"ms_drg_code": ("string", _listed("s_suppkey", _padded("", "s_suppkey", 8), 3))}),
+    "terminology__apr_drg": ("supplier", {"apr_drg_code": ("string", _listed("s_suppkey", _padded("", "s_suppkey", 8), 4))}),
+    "terminology__revenue_center": ("part", {"revenue_center_code": ("string", _listed("p_partkey", _padded("", "p_partkey", 8), 3))}),
+    # neighbouring parts share a code: this set lists most of its codes twice
+    "terminology__hcpcs_level_2": ("part", {"hcpcs": ("string", _listed("p_partkey", _padded("J", "p_partkey - p_partkey % 2", 8), 5))}),
+    "terminology__icd_10_cm": ("part", {"icd_10_cm": ("string", _listed("p_partkey", _padded("E", "p_partkey", 8), 4))}),
+    "terminology__icd_10_pcs": ("part", {"icd_10_pcs": ("string", _listed("p_partkey", _padded("0", "p_partkey", 8), 3))}),
+    "terminology__discharge_disposition": ("part", {"discharge_disposition_code": ("string", _listed("p_partkey", _padded("", "p_partkey", 8), 5))}),
+    "terminology__admit_source": ("part", {"admit_source_code": ("string", _listed("p_partkey", "cast(p_partkey as string)", 4))}),
+    "terminology__admit_type": ("part", {"admit_type_code": ("string", _listed("p_partkey", "cast(p_partkey as string)", 3))}),
+    "terminology__bill_type": ("part", {"bill_type_code": ("string", _listed("p_partkey", _padded("", "p_partkey", 8), 7))}),
+    "terminology__place_of_service": ("part", {"place_of_service_code": ("string", _listed("p_partkey", _padded("", "p_partkey", 8), 6))}),
+    "terminology__provider": ("supplier", {"npi": ("string", _listed("s_suppkey", "cast(1000000000 + s_suppkey as string)", 3))}),
+    "terminology__ndc": ("part", {"ndc": ("string", _listed("p_partkey", _padded("", "p_partkey", 11), 4))}),
     "reference_data__ansi_fips_state": (
-        "nation where n_nationkey < 20",
+        "nation",
         {
-            "ansi_fips_state_abbreviation": ("string", "'N' || cast(n_nationkey as string)"),
+            "ansi_fips_state_abbreviation": ("string", _listed("n_nationkey", "'N' || cast(n_nationkey as string)", 5)),
             "ansi_fips_state_name": ("string", "n_name"),
-            "ansi_fips_state_code": ("string", "lpad(cast(n_nationkey as string), 2, '0')"),
+            "ansi_fips_state_code": ("string", _listed("n_nationkey", _padded("", "n_nationkey", 2), 4)),
         },
     ),
 }
@@ -184,15 +191,16 @@ CALENDAR_COLUMNS = {
 # Ends before the last claim, so that later claims have no calendar day.
 CALENDAR_DAYS = "date '1995-01-01', date '2001-06-30', interval 1 day"
 
-# Claims and members of the smaller, earlier run; the later run has all of them.
-EARLIER_RUN = "c.c_custkey % 3 <> 0"
+# The plan that a third of the customers had at the earlier run.
+EARLIER_PLAN = "case when c.c_custkey % 3 = 0 then 'OLD' else {} end"
 
 
 def relation_sql(name: str, earlier_run: bool = False) -> str:
     """SELECT text of one relation, the same for Spark and DuckDB."""
     source, columns = RELATIONS[name]
-    if earlier_run and " c" in source:
-        source += (" and " if " where " in source else " where ") + EARLIER_RUN
+    if earlier_run and "plan" in columns:
+        kind, plan = columns["plan"]
+        columns = columns | {"plan": (kind, EARLIER_PLAN.format(plan))}
     listed = ", ".join(
         f"cast({expression} as {kind}) as {column}" for column, (kind, expression) in columns.items()
     )

@@ -47,9 +47,6 @@ def positive(model, f, text="> 0"):
     return fixed(model, f, "positive_number", text, f"t.{f} is null", f"t.{f} > 0")
 
 
-def full(f, pattern):
-    return f"regexp_full_match({f}, '{pattern}')"
-
 
 COMPLETENESS = [
     filled(ELIG, "race"),
@@ -65,9 +62,19 @@ COMPLETENESS = [
 ]
 
 _PRESENT = "non_null and non_blank and != 'NULL'"
-_SSN = f"{full('t.social_security_number', '[0-9]{9}')} or {full('t.social_security_number', '[0-9]{3}-[0-9]{2}-[0-9]{4}')}"
-_ZIP = f"{full('t.zip_code', '[0-9]{5}')} or {full('t.zip_code', '[0-9]{9}')} or {full('t.zip_code', '[0-9]{5}-[0-9]{4}')}"
-_PHONE = full("regexp_replace(t.phone, '[-() .]', '', 'g')", "1?[0-9]{10}")
+
+
+def _shape(value: str) -> str:
+    """The value with every digit as 9."""
+    return f"translate({value}, '012345678', '999999999')"
+
+
+_SSN = f"{_shape('t.social_security_number')} in ('999999999', '999-99-9999')"
+_ZIP = f"{_shape('t.zip_code')} in ('99999', '999999999', '99999-9999')"
+_PHONE = (
+    f"({_shape(digits := "translate(t.phone, '-() .', '')")} = '9999999999'"
+    f" or ({_shape(digits)} = '99999999999' and {digits}[1] = '1'))"
+)
 
 VALIDITY = [
     Field(
