@@ -179,12 +179,14 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
 _S = ("s0", "s1", "s2", "s3")
 
 
-def _differing(left: str, right: str) -> Column:
-    parts = [F.col(f"{left}.{s}").bitwiseXOR(F.col(f"{right}.{s}")) for s in _S]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.bitwiseOR(p)
-    return F.bit_count(whole)
+def _may_link(plan: JoinPlan) -> Column:
+    """Sizes that can reach the threshold at all, and sketches that agree as linked ones do; of sides x and y."""
+    differ = F.col("x.s0").bitwiseXOR(F.col("y.s0"))
+    for part in _S[1:]:
+        differ = differ.bitwiseOR(F.col(f"x.{part}").bitwiseXOR(F.col(f"y.{part}")))
+    n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
+    sizes = 100 * F.least(n, m) >= plan.percent * F.greatest(n, m)
+    return sizes & (F.bit_count(differ) <= _POSITIONS - plan.least_agreement)
 
 
 def _children(rows: DataFrame, plan: JoinPlan, level: int) -> DataFrame:
@@ -199,7 +201,6 @@ def _children(rows: DataFrame, plan: JoinPlan, level: int) -> DataFrame:
 class _Join:
     def __init__(self, texts: DataFrame, members: DataFrame, plan: JoinPlan) -> None:
         self.texts, self.members, self.plan = texts, members, plan
-        self.links: DataFrame | None = None
         self.labels: DataFrame | None = None
 
     def with_component(self, rows: DataFrame) -> DataFrame:
@@ -210,20 +211,27 @@ class _Join:
         return rows.join(labels, "member", "left").withColumn("component", F.coalesce("label", "member")).drop("label")
 
     def live(self, rows: DataFrame, name: str) -> DataFrame:
-        """Rows in nodes whose members are not all connected yet, with the node's size and centre."""
+        """Rows (member, node) of nodes whose members are not all connected yet, with component, size and centre."""
         rows = stage(self.with_component(rows), f"{name}-rows")
-        rank = F.xxhash64("member")  # one order for all nodes, so that trees agree on centres
-        centre = F.min_by(F.struct("member", *_S), F.struct(rank, "member"))
+        # one order of members for all nodes, so that trees agree on centres
+        centre = F.min_by("member", F.struct(F.xxhash64("member"), "member"))
         nodes = rows.groupBy("node").agg(
             F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), centre.alias("centre")
         )
         nodes = stage(nodes.where("low <> high").select("node", "n", "centre"), f"{name}-nodes")
         return stage(rows.join(nodes, "node"), f"{name}-live")
 
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Those distinct pairs (a, b) that sizes and sketches allow to link."""
+        pairs = stage(pairs.select("a", "b").distinct(), "near-candidates")
+        sketch = F.struct("n_shingles", *_S)
+        full = pairs.join(self.members.select(F.col("member").alias("b"), sketch.alias("y")), "b")
+        full = full.join(self.members.select(F.col("member").alias("a"), sketch.alias("x")), "a")
+        return stage(full.where(_may_link(self.plan)).select("a", "b"), "near-pairs")
+
     def confirm(self, pairs: DataFrame) -> None:
         """Adds those candidate pairs that are links, and brings the components up to date."""
-        pairs = stage(pairs.select("a", "b").distinct(), "near-pairs")
-        wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+        wanted = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-wanted")
         # written, so that both joins read a table and a centre with very many pairs can be split
         texts = stage(self.texts.join(wanted, "doc_id", "left_semi"), "near-texts")
         full = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
@@ -234,40 +242,42 @@ class _Join:
             found = found.union(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
         self.labels = connected(found)
 
-    def centre_pairs(self, live: DataFrame) -> DataFrame:
-        near = live.where(_differing("row", "centre") <= _POSITIONS - self.plan.least_agreement)
-        return near.where("member <> centre.member").select(F.col("centre.member").alias("a"), F.col("member").alias("b"))
+    def branch(self, rows: DataFrame, level: int) -> DataFrame:
+        """Rows (member, node) one level further down."""
+        with_tokens = rows.select("member", "node").join(self.members.select("member", "tokens"), "member")
+        return _children(with_tokens, self.plan, level).select("member", "node")
+
+    @staticmethod
+    def centre_pairs(live: DataFrame) -> DataFrame:
+        return live.where("member <> centre").select(F.col("centre").alias("a"), F.col("member").alias("b"))
 
-    def leaf_pairs(self, leaves: DataFrame) -> DataFrame:
-        one = leaves.select("node", F.col("component").alias("ca"), F.struct("member", *_S).alias("x"))
-        two = leaves.select("node", F.col("component").alias("cb"), F.struct("member", *_S).alias("y"))
-        pairs = one.join(two, "node").where("x.member < y.member and ca <> cb")
-        pairs = pairs.where(_differing("x", "y") <= _POSITIONS - self.plan.least_agreement)
-        return pairs.select(F.col("x.member").alias("a"), F.col("y.member").alias("b"))
+    @staticmethod
+    def leaf_pairs(leaves: DataFrame) -> DataFrame:
+        one = leaves.select("node", F.col("component").alias("ca"), F.col("member").alias("a"))
+        two = leaves.select("node", F.col("component").alias("cb"), F.col("member").alias("b"))
+        return one.join(two, "node").where("a < b and ca <> cb").select("a", "b")
 
-    def run(self) -> DataFrame | None:
+    def run(self) -> DataFrame:
         plan = self.plan
         roots = F.explode(F.array(*(F.lit(t).cast("long") for t in range(plan.trees))))
-        rows = self.members.select("member", "tokens", *_S, roots.alias("node"))
-        live = self.live(_children(rows, plan, 0), "path-0")
-        row = F.struct(*_S).alias("row")
-        self.confirm(self.centre_pairs(live.select("*", row)))
+        rows = _children(self.members.select("member", "tokens", roots.alias("node")), plan, 0).select("member", "node")
+        live = self.live(rows, "path-0")
+        self.confirm(self.likely(self.centre_pairs(live)))
         # what the centres did not connect
-        live = self.live(live.select("member", "tokens", *_S, "node"), "path-1")
+        live = self.live(live.select("member", "node"), "path-1")
         pairs = None
         for level in range(1, plan.max_depth + 1):
             last = level == plan.max_depth
-            leaves = live if last else live.where(F.col("n") <= plan.leaf)
-            more = self.leaf_pairs(leaves)
+            more = self.leaf_pairs(live if last else live.where(F.col("n") <= plan.leaf))
             large = None if last else live.where(F.col("n") > plan.leaf)
             if large is not None:
-                more = more.union(self.centre_pairs(large.select("*", row)))
-            more = stage(more.distinct(), "path-pairs")
+                more = more.union(self.centre_pairs(large))
+            more = self.likely(more)
             pairs = more if pairs is None else pairs.union(more)
             if large is None or not large.limit(1).count():
                 break
-            live = self.live(_children(large.select("member", "tokens", *_S, "node"), plan, level), f"path-{level + 1}")
-        self.confirm(pairs)
+            live = self.live(self.branch(large, level), f"path-{level + 1}")
+        self.confirm(stage(pairs.distinct(), "near-pairs"))
         return self.labels
 
 
@@ -281,7 +291,7 @@ def near_duplicates(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "t
         F.min("doc_id").alias("member"), F.min_by(F.struct("tokens", *_S), "doc_id").alias("of")
     )
     sets = stage(sets.select("set_a", "set_b", "n_shingles", "member", "of.*"), "near-sets")
-    join = _Join(rows, sets.select("member", "tokens", *_S), plan)
+    join = _Join(rows, sets.select("member", "n_shingles", "tokens", *_S), plan)
     labels = join.run()
     named = sets.select("set_a", "set_b", "n_shingles", "member").join(
         labels.select(F.col("node").alias("member"), "component"), "member", "left"
