@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimgauge.llm import fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, web_archives
+from claimgauge.llm import oracle_sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,4 +104,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op6_near_documents": oracle.NEAR_DOCUMENTS,
+        "op8_near_vectors": oracle.NEAR_VECTORS,
+        "op10_quality_rules": oracle.QUALITY_RULES,
+    }
