@@ -154,12 +154,13 @@ def scan_paragraphs(docs: DataFrame, model: ScanModel, text: str = "text", key:
     rows = rows.select("doc_id", "version", "paragraph", word_list(F.col("part")).alias("words"))
     telling = F.arrays_overlap("words", F.array(*map(F.lit, model.telling)))
     place = ("doc_id", "version", "paragraph")
-    found = rows.where(telling).select(*place, F.explode_outer(grams("words")).alias("gram"))
-    # equal rows of documents would count their features twice
-    found = stage(found.distinct(), "licence-grams")
     names = [f"w{i}" for i in range(len(model.families))]
-    # as many rows as the vocabulary at most
+    # as many rows as the vocabulary at most, and as the templates have triples
     weights = spark.createDataFrame(model.weights, "gram string, " + ", ".join(f"{n} double" for n in names))
+    wanted = weights.select("gram").union(templates(spark).select("gram")).distinct()
+    # only runs that a feature or a template has are shuffled; equal rows of documents would count theirs twice
+    found = rows.where(telling).select(*place, F.explode_outer(grams("words")).alias("gram"))
+    found = stage(found.join(F.broadcast(wanted), "gram").distinct(), "licence-grams")
     logits = found.join(F.broadcast(weights), "gram").groupBy(*place).agg(
         *((F.sum(n) + F.lit(b)).alias(n) for n, b in zip(names, model.intercepts, strict=True))
     )
