@@ -1,5 +1,11 @@
 """Licence families of documents, paragraph by paragraph.
 
+A paragraph is a run of lines that each have a word (of ASCII letters or
+digits); notices as published are wrapped over several. Each of its lines is
+judged alone besides, so that a notice of one line within prose is confirmed
+where it stands. A paragraph of several lines is left out where one of its lines says
+as much: has the same family, and is confirmed if the paragraph is.
+
 A paragraph's words, pairs and triples of words are the features of a sparse
 multinomial logistic regression that knows the licence families and an unknown
 class. It is trained on notices, on notices with words left out and words
@@ -25,11 +31,13 @@ from __future__ import annotations
 
 import random
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimgauge.llm.license_texts import LOOKALIKES, NOTICES, PLAIN_WORDS
@@ -41,7 +49,7 @@ UNKNOWN = "unknown"
 
 @dataclass(frozen=True)
 class ScanPlan:
-    paragraph_break: str = "\n"
+    line_break: str = "\n"
     vocabulary: int = 4000
     sample_docs: int = 300
     variants: int = 12
@@ -105,7 +113,7 @@ def train(docs: DataFrame, plan: ScanPlan = ScanPlan(), text: str = "text") -> S
     spark = docs.sparkSession
     body = docs.select(F.col(f"`{text}`").alias("body")).where("body is not null")
     sample = bounded_sample(body.select(F.xxhash64("body").alias("hash"), F.substring("body", 1, 4000).alias("part")), plan.sample_docs, "hash")
-    plain = sorted({p for r in sample for p in r.part.split(plan.paragraph_break) if p.strip()})
+    plain = sorted({p for r in sample for p in r.part.split(plan.line_break) if p.strip()})
     plain = [p for p in plain if not any(w in p.lower() for w in ("licen", "copyright", "spdx", "public domain"))]
     rows = _variants(plan) + [(p, UNKNOWN, i % plan.variants) for i, p in enumerate(plain[: 20 * plan.sample_docs])]
     families = [*NOTICES, UNKNOWN]
@@ -146,20 +154,56 @@ def templates(spark: SparkSession) -> DataFrame:
     return made.select("family", "template", F.size("runs").alias("n_grams"), F.explode_outer("runs").alias("gram"))
 
 
+def _paragraphs(body: Column, line_break: str) -> Column:
+    """Runs of lines that each have a word, joined by line feeds; each line begins with its number in the text and a colon."""
+    word = F.lit("[A-Za-z0-9]")
+    lines = F.transform(F.split(body, line_break), lambda s, i: F.when(F.regexp(s, word), F.concat(i, F.lit(":"), F.translate(s, "\n", " "))).otherwise(""))
+    return F.split(F.btrim(F.array_join(lines, "\n"), F.lit("\n")), "\n\n+")
+
+
+def _placed_grams(openers: list[str]) -> Column:
+    """Runs of words that begin with one of ``openers``, as (gram, line, lines): of each line, and of a paragraph of several."""
+    size, n = F.size("words"), F.size("lines")
+
+    def runs(k: int) -> Column:
+        starts = F.when(size >= k, F.sequence(F.lit(0), size - k)).otherwise(F.array().cast("array<int>"))
+        starts = F.filter(starts, lambda i: F.get("words", i)["word"].isin(openers))
+        return F.transform(
+            starts,
+            lambda i: F.struct(
+                F.concat_ws(" ", *(F.get("words", i + j)["word"] for j in range(k))).alias("gram"),
+                F.get("words", i)["line"].alias("line"), F.get("words", i + k - 1)["line"].alias("last"),
+            ),
+        )
+
+    found = F.concat(*(runs(k) for k in (1, 2, 3)))
+    entry = lambda gram, line, lines: F.struct(gram.alias("gram"), line.alias("line"), lines.alias("lines"))
+    single = F.transform(F.filter(found, lambda g: g["line"] == g["last"]), lambda g: entry(g["gram"], g["line"], F.lit(1)))
+    whole = F.transform(found, lambda g: entry(g["gram"], F.lit(0), n))
+    # repeats go after the shuffle: array_distinct of structs compares all with all
+    return F.when(n > 1, F.concat(single, whole)).otherwise(single)
+
+
 def scan_paragraphs(docs: DataFrame, model: ScanModel, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Paragraphs that are not unknown: doc_id, version, paragraph, family, score, template, coverage, confirmed."""
+    """Paragraphs and lines that are not unknown: doc_id, version, paragraph (its first line's number), lines, family, score, template, coverage, confirmed."""
     spark, plan = docs.sparkSession, model.plan
     rows = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{text}`").alias("body")).where("body is not null")
-    rows = rows.select("doc_id", F.xxhash64("body").alias("version"), F.posexplode_outer(F.split("body", plan.paragraph_break)).alias("paragraph", "part"))
-    rows = rows.select("doc_id", "version", "paragraph", word_list(F.col("part")).alias("words"))
-    telling = F.arrays_overlap("words", F.array(*map(F.lit, model.telling)))
-    place = ("doc_id", "version", "paragraph")
+    rows = rows.select("doc_id", F.xxhash64("body").alias("version"), F.explode(_paragraphs(F.col("body"), plan.line_break)).alias("part")).where("part <> ''")
+    rows = rows.select("doc_id", "version", F.substring_index("part", ":", 1).cast("int").alias("part_line"), F.split("part", "\n").alias("lines"))
+    plain = lambda s: F.regexp_replace(s, F.lit("^[0-9]+:"), F.lit(""))
+    of_lines = F.transform("lines", lambda s, i: F.transform(word_list(plain(s)), lambda w: F.struct(w.alias("word"), i.alias("line"))))
+    rows = rows.select("doc_id", "version", "part_line", "lines", F.flatten(of_lines).alias("words"))
+    # without a telling word there is no feature
+    telling = F.exists("words", lambda w: w["word"].isin(model.telling))
+    place = ("doc_id", "version", "part_line", "paragraph", "lines")
     names = [f"w{i}" for i in range(len(model.families))]
     # as many rows as the vocabulary at most, and as the templates have triples
     weights = spark.createDataFrame(model.weights, "gram string, " + ", ".join(f"{n} double" for n in names))
     wanted = weights.select("gram").union(templates(spark).select("gram")).distinct()
+    openers = [r.word for r in wanted.select(F.substring_index("gram", " ", 1).alias("word")).distinct().orderBy("word").collect()]
     # only runs that a feature or a template has are shuffled; equal rows of documents would count theirs twice
-    found = rows.where(telling).select(*place, F.explode_outer(grams("words")).alias("gram"))
+    found = rows.where(telling).select("doc_id", "version", "part_line", F.explode(_placed_grams(openers)).alias("g"))
+    found = found.select("doc_id", "version", "part_line", (F.col("part_line") + F.col("g.line")).alias("paragraph"), "g.lines", "g.gram")
     found = stage(found.join(F.broadcast(wanted), "gram").distinct(), "licence-grams")
     logits = found.join(F.broadcast(weights), "gram").groupBy(*place).agg(
         *((F.sum(n) + F.lit(b)).alias(n) for n, b in zip(names, model.intercepts, strict=True))
@@ -175,17 +219,21 @@ def scan_paragraphs(docs: DataFrame, model: ScanModel, text: str = "text", key:
     closest = held.groupBy(*place, "family").agg(F.max(F.struct(share.alias("coverage"), "template")).alias("closest"))
     # both sides have one row per paragraph with a telling word
     same = [F.col(f"g.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*place, "family")]
-    out = guessed.alias("g").join(closest.alias("c"), same[0] & same[1] & same[2] & same[3], "left")
+    out = guessed.alias("g").join(closest.alias("c"), reduce(and_, same), "left")
     coverage = F.coalesce(F.col("c.closest.coverage"), F.lit(0.0))
-    return out.select(
+    out = out.select(
         *(F.col(f"g.{c}") for c in (*place, "family", "score")), F.col("c.closest.template").alias("template"),
         coverage.alias("coverage"), (coverage >= plan.least_coverage).alias("confirmed"),
     )
+    # what the lines of a paragraph say for its family: null for nothing, else whether one is confirmed
+    by_line = F.max(F.when(F.col("lines") == 1, F.col("confirmed"))).over(Window.partitionBy("doc_id", "version", "part_line", "family"))
+    out = out.withColumn("by_line", by_line)
+    return out.where((F.col("lines") == 1) | F.col("by_line").isNull() | (F.col("by_line") < F.col("confirmed"))).drop("part_line", "by_line")
 
 
 def scan(docs: DataFrame, model: ScanModel, text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, family (of the first confirmed paragraph), n_guessed, n_confirmed and the paragraphs."""
-    per = F.struct("paragraph", "family", "score", "template", "coverage", "confirmed")
+    per = F.struct("paragraph", "lines", "family", "score", "template", "coverage", "confirmed")
     found = scan_paragraphs(docs, model, text, key).groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(per)).alias("paragraphs"))
     found = stage(found, "licence-documents").withColumnRenamed("doc_id", "of")
     slim = docs.select(F.col(f"`{key}`").alias("doc_id"), F.xxhash64(F.col(f"`{text}`")).alias("v"))

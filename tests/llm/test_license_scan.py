@@ -62,3 +62,35 @@ def test_edge_rows(spark, model):
     assert sorted((r.doc_id or 0, r.family, r.n_confirmed) for r in out if r.family) == [(0, "MIT", 1), (3, "MIT", 1), (3, "MIT", 1), (4, "MIT", 1)]
     assert scan.scan(docs.limit(0), model).count() == 0
     assert scan.train(docs.limit(0)).weights
+
+
+#: notices as they are published, wrapped at 70 to 80 columns
+WRAPPED = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""",
+    "GPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "LGPL": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+}
+
+
+def test_wrapped_notices(spark, model):
+    out = families(spark, model, ["Title of it\n\n" + t + "\n\nmore words" for t in WRAPPED.values()])
+    assert [out[i].family for i in range(len(WRAPPED))] == list(WRAPPED)
+    for i, t in enumerate(WRAPPED.values()):
+        assert [(p.paragraph, p.lines) for p in out[i].paragraphs if p.confirmed] == [(2, len(t.split("\n")))]
+    # comment marks alone break paragraphs
+    out = families(spark, model, ["/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "\n */\nint main() {\n}" for t in WRAPPED.values()])
+    assert [out[i].family for i in range(len(WRAPPED))] == list(WRAPPED)
