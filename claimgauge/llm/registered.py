@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, web_archives
+from claimgauge.llm import fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, token_alignment, web_archives
 from claimgauge.llm import oracle_sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,12 @@ def piece_model_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def byte_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def sentence_piece_digests(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, number of ids, SHA-256 of the ids and of the decoded text; null texts count as empty."""
     encoded = sentence_pieces.encode(docs.select("doc_id", "text"), model_path).select("doc_id", "ids")
@@ -88,6 +94,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_alignment.align(docs, byte_model_path(), piece_model_path())
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_license_scan": op1_license_scan,
@@ -100,6 +111,7 @@ def queries() -> dict[str, Query]:
         "op8_near_vectors": op8_near_vectors,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
+        "op13_token_alignment": op13_token_alignment,
     }
 
 
