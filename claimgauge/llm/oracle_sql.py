@@ -91,3 +91,45 @@ rejected as (
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     not base_failed and host_rejected is null as kept
 from checked left join rejected using (source)"""
+
+COLLOCATIONS = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, regexp_extract_all(piece, '[^\x20\x09]+') as words
+    from (
+        select lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) as piece
+        from documents
+    )
+),
+totals as (select lang, sum(len(words))::bigint as n from pieces group by lang),
+counted as (
+    select lang, k, phrase, count(*) as f
+    from (
+        select lang, k, array_to_string(words[i : i + k - 1], ' ') as phrase
+        from (select lang, k, words, unnest(range(1, len(words) - k + 2)) as i
+              from pieces cross join (values (1), (2), (3)) as lengths(k) where len(words) >= k)
+    )
+    group by all
+),
+candidates as (select lang, k, phrase, string_split(phrase, ' ') as words, f as a from counted where k >= 2 and f >= 10),
+cuts as (
+    select c.lang, c.phrase, c.a, cut, l.f as l, r.f as r,
+        (1000000::hugeint * c.a * c.a) // (l.f::hugeint * r.f) as score
+    from (select *, unnest(range(1, k)) as cut from candidates) c
+    join counted l on l.lang = c.lang and l.k = cut and l.phrase = array_to_string(c.words[1 : cut], ' ')
+    join counted r on r.lang = c.lang and r.k = c.k - cut and r.phrase = array_to_string(c.words[cut + 1 :], ' ')
+),
+weakest as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+covered as (
+    select x.lang, x.phrase from candidates x join candidates y
+        on x.lang = y.lang and y.k = 3 and x.k = 2 and 100 * y.a >= 50 * x.a
+        and (x.words = y.words[1:2] or x.words = y.words[2:3])
+),
+ranked as (
+    select w.*, row_number() over (partition by lang order by score desc, a desc, phrase) as rank
+    from weakest w where not exists (select 1 from covered c where c.lang = w.lang and c.phrase = w.phrase)
+)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n, score::bigint as score
+from ranked join totals using (lang) where rank <= 2000
+"""

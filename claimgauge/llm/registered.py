@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, token_alignment, web_archives
+from claimgauge.llm import collocations, fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, token_alignment, web_archives
 from claimgauge.llm import oracle_sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_alignment.align(docs, byte_model_path(), piece_model_path())
@@ -111,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op8_near_vectors": op8_near_vectors,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
+        "op12_collocations": op12_collocations,
         "op13_token_alignment": op13_token_alignment,
     }
 
@@ -120,4 +125,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_near_documents": oracle.NEAR_DOCUMENTS,
         "op8_near_vectors": oracle.NEAR_VECTORS,
         "op10_quality_rules": oracle.QUALITY_RULES,
+        "op12_collocations": oracle.COLLOCATIONS,
     }
