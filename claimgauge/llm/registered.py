@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimgauge.llm import collocations, fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, quality_rules, sentence_pieces, token_alignment, web_archives
+from claimgauge.llm import collocations, fuzzy_lines, languages, license_scan, line_quality, mixing, near_documents, near_vectors, paragraph_sketches, quality_rules, sentence_pieces, token_alignment, web_archives
 from claimgauge.llm import oracle_sql as oracle
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,6 +94,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op11_paragraph_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_sketches.version_report(table(spark, sf_dir, "documents"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -115,6 +119,7 @@ def queries() -> dict[str, Query]:
         "op8_near_vectors": op8_near_vectors,
         "op9_mixing": op9_mixing,
         "op10_quality_rules": op10_quality_rules,
+        "op11_paragraph_sketches": op11_paragraph_sketches,
         "op12_collocations": op12_collocations,
         "op13_token_alignment": op13_token_alignment,
     }
