@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators import assertions
 from claimgauge.operators.field_quality import completeness_summary, validity_summary
-from claimgauge.operators.history import FIELD_KEY, MONTH_KEY, History, validity_run_delta
+from claimgauge.operators.history import FIELD_KEY, LATEST, MONTH_KEY, PREVIOUS, History, validity_run_delta
 from claimgauge.operators.reconciliation import monthly_summary
+from claimgauge.operators.run_tables import RunTable
+from claimgauge.sources.catalog_tables import CatalogTable, ensure_schema
 from claimgauge.sources.tables import Sources
 
 KEYS = {"completeness": FIELD_KEY, "validity": FIELD_KEY, "reconciliation": MONTH_KEY}
@@ -19,21 +21,45 @@ KEYS = {"completeness": FIELD_KEY, "validity": FIELD_KEY, "reconciliation": MONT
 
 @dataclass
 class Runs:
-    """Summaries and histories below one output folder."""
+    """Summaries and histories in one catalog schema, or below one output folder.
+
+    In a schema, tables have names and statistics, runs are published whole, and
+    the views of the latest and the previous run last. A folder needs no catalog.
+    """
 
     spark: SparkSession
-    root: str
+    root: str | None = None
+    schema: str | None = None
     keys: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(KEYS))
 
-    def _current(self, name: str) -> str:
+    def __post_init__(self) -> None:
+        if (self.root is None) == (self.schema is None):
+            raise ValueError("name either a folder or a schema")
+        if self.schema is not None:
+            ensure_schema(self.spark, self.schema)
+
+    def _current_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/current/{name}"
 
-    def history(self, name: str) -> History:
+    def _current_table(self, name: str) -> CatalogTable:
+        return CatalogTable(self.spark, f"{self.schema}.{name}")
+
+    def history(self, name: str) -> History | RunTable:
+        if self.schema is not None:
+            return RunTable(self.spark, f"{self.schema}.{name}_history", self.keys[name])
         return History(self.spark, f"{self.root.rstrip('/')}/history/{name}", self.keys[name])
 
     def current(self, name: str) -> DataFrame:
         """A summary as last written."""
-        return self.spark.read.parquet(self._current(name))
+        if self.schema is not None:
+            return self._current_table(name).read()
+        return self.spark.read.parquet(self._current_path(name))
+
+    def _replace_current(self, name: str, summary: DataFrame) -> None:
+        if self.schema is not None:
+            self._current_table(name).replace(summary)
+        else:
+            summary.write.mode("overwrite").parquet(self._current_path(name))
 
     def build(
         self,
@@ -54,9 +80,11 @@ class Runs:
             "reconciliation": monthly_summary(sources, run),
         }
         for name, summary in summaries.items():
-            summary.write.mode("overwrite").parquet(self._current(name))
+            self._replace_current(name, summary)
         for name in summaries:
             self.history(name).upsert(self.current(name), persist, replace_run)
+        if self.schema is not None and persist:
+            self.register_views()
         return run
 
     def latest(self, name: str) -> DataFrame:
@@ -66,15 +94,31 @@ class Runs:
         return self.history(name).previous(self.current(name))
 
     def register_views(self, prefix: str = "") -> list[str]:
-        """Temporary views of the latest and previous official run of each summary."""
+        """Views of the latest and previous official run of each summary.
+
+        In a schema they last, lie in it, and follow every official run that is
+        built; below a folder they are temporary.
+        """
         names = []
         for name in self.keys:
-            for which, rows in (("latest", self.latest(name)), ("previous", self.previous(name))):
+            for which, rank in (("latest", LATEST), ("previous", PREVIOUS)):
                 view = f"{prefix}{name}_{which}_official_run"
-                rows.createOrReplaceTempView(view)
+                if self.schema is None:
+                    self.history(name).run(rank, self.current(name)).createOrReplaceTempView(view)
+                else:
+                    view = f"{self.schema}.{view}"
+                    self._show_run(name, view, rank)
                 names.append(view)
         return names
 
+    def _show_run(self, name: str, view: str, rank: int) -> None:
+        history = self.history(name)
+        if history.table.exists():
+            history.show_run(view, rank)
+        else:
+            current = self._current_table(name).name
+            self.spark.sql(f"create or replace view {view} as select * from {current} where false")
+
     def validity_delta(self) -> DataFrame:
         return validity_run_delta(self.latest("validity"), self.previous("validity"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
+#: staged folders of this process that are still there, with the session that wrote them
+_staged: dict[str, SparkSession] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder the session names in spark.checkpoint.dir.
@@ -29,13 +33,55 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it; a folder that is not there is no error."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders directly below ``path``; none if it is not there."""
+    files, place = _file_system(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(str(s.getPath().toString()) for s in files.listStatus(place) if s.isDirectory())
+
+
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` once and return the written table.
 
     The result no longer depends on the plan behind it, and survives the loss
-    of any executor.
+    of any executor. :func:`discard` removes it as soon as nothing reads it any
+    more; otherwise the end of the process does.
     """
     spark = frame.sparkSession
     path = fresh_path(spark, name)
+    _staged[path] = spark
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    written = spark.read.schema(frame.schema).parquet(path)
+    written._staged_path = path
+    return written
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove staged tables that nothing reads any more; other frames are left alone."""
+    for frame in frames:
+        path = getattr(frame, "_staged_path", None)
+        if path is not None and path in _staged:
+            remove(_staged.pop(path), path)
+
+
+@atexit.register
+def _discard_the_rest() -> None:
+    """What a query's lazy result may have read until now; a JVM that is gone already cannot remove it."""
+    for path, spark in list(_staged.items()):
+        try:
+            remove(spark, path)
+        except Exception:  # noqa: BLE001 - whatever a gateway that is closing raises
+            return
+        del _staged[path]
