@@ -28,12 +28,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -55,10 +57,24 @@ def _piece_bytes(piece: str) -> bytes:
     return piece.replace("▁", " ").encode()
 
 
+#: characters whose classes no edition of Unicode has changed, so that every regex engine splits them alike
+_STABLE = re.compile("[\\0-\\u036f\\u2010-\\u2027]*")
+#: the split in front of A's merges, with the white space of these characters spelled out
+_S = r"\t-\r \x85\xa0"
+_SPLIT = regex.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
+)
+
+
 class Tokenizers:
-    """A: a byte-level tokenizer file; B: a SentencePiece model. Both with the bytes of each id."""
+    """A: a byte-level tokenizer file; B: a SentencePiece model. Both with the bytes of each id.
 
-    def __init__(self, a_path: str, b_path: str) -> None:
+    A's tokens never cross the words that its pattern splits, so that each word is
+    encoded once per task (``cache_words`` short ones are kept). Texts with characters
+    that editions of Unicode class differently go to the tokenizer whole.
+    """
+
+    def __init__(self, a_path: str, b_path: str, cache_words: int = 400_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         import sentencepiece
         from tokenizers import Tokenizer
@@ -75,11 +91,32 @@ class Tokenizers:
         if len(b_bytes) >= 1 << _ID_BITS:
             raise ValueError("the vocabulary of B is too large for packed pairs")
         self.a, self.b = _Side(a_bytes), _Side(b_bytes)
+        self.cache_words, self._cache = cache_words, {}
+
+    def encode_a(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text in A; None where they do not spell it."""
+        split = [_SPLIT.findall(t) if _STABLE.fullmatch(t) else [t] for t in texts]
+        wanted = set().union(*split)
+        if len(self._cache) + len(wanted) > self.cache_words:
+            self._cache = {}
+        known = {w: self._cache[w] for w in wanted & self._cache.keys()}
+        new = list(wanted - known.keys())
+        for word, found in zip(new, self._a.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            ids = found.ids
+            known[word] = np.array(ids, dtype=np.int32).tobytes() if self.a.spell(ids) == word.encode() else None
+        self._cache.update((w, known[w]) for w in new if len(w) <= 64)
+        out = []
+        for words in split:
+            parts = [known[w] for w in words]
+            out.append(None if None in parts else np.frombuffer(b"".join(parts), dtype=np.int32).astype(np.int64))
+        return out
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of non-empty texts in A (of a blank and the text) and in B (which adds the blank)."""
-        a = self._a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [e.ids for e in a], self._b.encode(texts, num_threads=1)
+    def encode_b(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text in B, which adds a blank in front; None where they do not spell both."""
+        found = self._b.encode(texts, num_threads=1)
+        return [
+            np.array(ids, dtype=np.int64) if self.b.spell(ids) == (" " + t).encode() else None for t, ids in zip(texts, found, strict=True)
+        ]
 
 
 class _Side:
@@ -180,22 +217,17 @@ class _Chunk:
     def add(self, keys: pa.RecordBatch, texts: list[str | None], tools, stretch_bytes: int, keep_groups: bool) -> None:
         both, a_written, b_written = tools
         spoken = [k for k, t in enumerate(texts) if t]
-        a_lists, b_lists = both.encode([texts[k] for k in spoken])
-        good, a_good, b_good = [], [], []
-        for k, a, b in zip(spoken, a_lists, b_lists, strict=True):
-            raw = (" " + texts[k]).encode()
-            self.bytes += len(raw)
-            if both.a.spell(a) == raw and both.b.spell(b) == raw:
-                good.append(k)
-                a_good.append(a)
-                b_good.append(b)
+        self.bytes += sum(len(texts[k]) for k in spoken)
+        both_ids = zip(spoken, both.encode_a([" " + texts[k] for k in spoken]), both.encode_b([texts[k] for k in spoken]), strict=True)
+        known = [(k, a, b) for k, a, b in both_ids if a is not None and b is not None]
+        good, a_good, b_good = ([x[i] for x in known] for i in range(3))
         n = len(texts)
         n_a, n_b = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         n_a[good], n_b[good] = [len(x) for x in a_good], [len(x) for x in b_good]
         groups, links_of, digest, shown = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), [""] * n, [""] * n
         counts = np.zeros(n, dtype=np.int64)
         if good:
-            a_ids, b_ids = (np.concatenate([np.asarray(x, dtype=np.int64) for x in side]) for side in (a_good, b_good))
+            a_ids, b_ids = (np.concatenate(side) for side in (a_good, b_good))
             a_ends, b_ends = np.cumsum(both.a.lengths[a_ids]), np.cumsum(both.b.lengths[b_ids])
             a_off, b_off = np.r_[0, np.cumsum(n_a[good])], np.r_[0, np.cumsum(n_b[good])]
             links = merge_lockstep(a_ends, b_ends, a_ends[a_off[1:] - 1], stretch_bytes)

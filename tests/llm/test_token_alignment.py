@@ -112,6 +112,18 @@ def test_rows_are_those_of_the_plain_version(spark, libraries):
         assert results(T.align(docs, A_PATH, B_PATH, **sizes)) == want
 
 
+def test_words_of_a_are_those_of_its_tokenizer(libraries):
+    """Stable characters are split here, and all others by the tokenizer itself."""
+    rng, both = random.Random(6), T.Tokenizers(A_PATH, B_PATH, cache_words=3000)
+    plain = [chr(c) for c in range(0x370)] + [chr(c) for c in range(0x2010, 0x2028)] + list("   \t\n\r'stredvml  aA1") * 30
+    other = [*plain, "\u2028", "\u3000", "日", "🙂", "א", "\u0600", "٣", "\ufeff", "\u200b"]
+    texts = ["".join(rng.choice(some) for _ in range(rng.randint(1, 30))) for some in (plain, other) for _ in range(4000)]
+    for at in range(0, len(texts), 100):
+        part = [" " + t for t in texts[at : at + 100]]
+        for text, ids in zip(part, both.encode_a(part), strict=True):
+            assert ids.tolist() == libraries[0].encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_query_over_whole_documents(spark, sf_dir, documents, libraries):
     rows = documents.select("doc_id", "text").collect()
     short = [r for r in rows if len(r.text or "") < 4000]  # the plain version is quadratic in a text
