@@ -1,20 +1,22 @@
-"""Reference code sets: counted keys, and which of them may be broadcast.
+"""Reference code sets: counted keys, packed into one relation.
 
-A lookup must not depend on a code set being small. Each set is measured before
-a plan is built; sets within the limit are broadcast and probed inside the scan
-of the checked table, and the others are joined to pre-counted values.
+A lookup must not depend on a code set being small. All sets that a run needs
+are counted together, once. Those that fit become one relation (key, copies by
+set), which is broadcast once and probed by every field; the others are joined
+to counted values by one shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimgauge.functions.verdicts import quoted
 from claimgauge.operators.catalog import CodeSet
+from claimgauge.sources.scratch import stage
 from claimgauge.sources.tables import Sources
 
 BROADCAST_LIMIT = 128 * 1024 * 1024
@@ -38,32 +40,51 @@ def counted_keys(sources: Sources, code_set: CodeSet) -> DataFrame:
     return _keys(sources, code_set).groupBy("key").agg(F.expr(f"{copies} as copies"))
 
 
-def broadcastable(
-    sources: Sources, code_sets: Iterable[CodeSet], limit: int = BROADCAST_LIMIT
-) -> set[CodeSet]:
-    """Sets that fit, all together, into ``limit`` bytes of broadcast memory.
+@dataclass
+class PackedCodes:
+    """Counted codes of several sets as written tables."""
 
-    One small job counts rows and key bytes of every set; the driver receives
-    one row per set. Smaller sets are admitted first.
+    numbers: dict[CodeSet, int] = field(default_factory=dict)
+    #: places of the sets that may be broadcast in the array of copies
+    places: dict[CodeSet, int] = field(default_factory=dict)
+    counted: DataFrame | None = None  # set_no, key, copies
+    packed: DataFrame | None = None  # key, copies
+
+    def broadcast_table(self) -> DataFrame:
+        """Every use is the same plan without a condition of its own, so that it is broadcast once."""
+        return F.broadcast(self.packed)
+
+    def shuffled_table(self) -> DataFrame:
+        wanted = [i for s, i in self.numbers.items() if s not in self.places]
+        return self.counted.where(F.col("set_no").isin(*wanted)).selectExpr("set_no as known_set", "key", "copies")
+
+
+def pack(sources: Sources, code_sets: Iterable[CodeSet], limit: int = BROADCAST_LIMIT) -> PackedCodes:
+    """Count all sets in one job, and admit the smaller ones to ``limit`` bytes of broadcast memory.
+
+    The driver receives one row per set. A key of several sets is listed once.
     """
-    by_name = {s.name: s for s in code_sets}
-    if not by_name:
-        return set()
+    numbers = {s: i for i, s in enumerate(sorted(set(code_sets), key=lambda s: s.name))}
+    if not numbers:
+        return PackedCodes()
     listed = reduce(
-        DataFrame.unionByName,
-        [
-            _keys(sources, s).selectExpr("key", f"{quoted(name)} as name")
-            for name, s in by_name.items()
-        ],
-    )
-    sizes = listed.groupBy("name").agg(
-        F.expr(f"count(1) * {_ENTRY_OVERHEAD} + sum(octet_length(key)) as size")
+        DataFrame.unionByName, [_keys(sources, s).selectExpr(f"{i} as set_no", "key") for s, i in numbers.items()]
     )
-    measured = dict.fromkeys(by_name, 0) | {row["name"]: row["size"] for row in sizes.collect()}
-    admitted, used = set(), 0
-    for name, size in sorted(measured.items(), key=lambda item: (item[1], item[0])):
-        used += size
+    distinct = ", ".join(str(i) for s, i in numbers.items() if len(s.columns) > 1)
+    copies = f"case when set_no in ({distinct}) then 1L else count(1) end" if distinct else "count(1)"
+    counted = stage(listed.groupBy("set_no", "key").agg(F.expr(f"{copies} as copies")), "code-sets")
+    entry = _ENTRY_OVERHEAD + 8 * len(numbers)
+    sizes = counted.groupBy("set_no").agg(F.expr(f"count(1) * {entry} + sum(octet_length(key)) as size"))
+    measured = dict.fromkeys(numbers.values(), 0) | {row["set_no"]: row["size"] for row in sizes.collect()}
+    small, used = [], 0
+    for code_set, number in sorted(numbers.items(), key=lambda item: (measured[item[1]], item[1])):
+        used += measured[number]
         if used > limit:
             break
-        admitted.add(by_name[name])
-    return admitted
+        small.append(code_set)
+    found = PackedCodes(numbers, {s: i for i, s in enumerate(small)}, counted)
+    if small:
+        by_set = [F.expr(f"max(case when set_no = {numbers[s]} then copies end)") for s in small]
+        wanted = counted.where(F.col("set_no").isin(*(numbers[s] for s in small)))
+        found.packed = stage(wanted.groupBy("key").agg(F.array(*by_set).alias("copies")), "packed-codes")
+    return found

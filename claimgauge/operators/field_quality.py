@@ -10,9 +10,9 @@ holds a third of all rows still reaches the shuffle as one row per task.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import cache, reduce
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +28,12 @@ from claimgauge.operators.catalog import (
     CodeSet,
     FieldCheck,
 )
+from claimgauge.sources.scratch import stage
 from claimgauge.sources.tables import Sources
 
 GRAIN = ("data_source", "payer", "plan")
 _LABELS = ("model_name", "field_name", "terminology_table", "terminology_field")
+_FILLED = "is_completeness"
 _COUNTERS = ("total_rows", "not_applicable_rows", "null_rows", "good_rows")
 
 
@@ -86,10 +88,8 @@ def _lookups(check: FieldCheck) -> list[tuple[CodeSet, str]]:
 
 def _labels(check: FieldCheck) -> str:
     texts = (check.model, check.field, check.terminology_table, check.terminology_field)
-    return ", ".join(
-        f"{'cast(null as string)' if text is None else V.quoted(text)} as {name}"
-        for text, name in zip(texts, _LABELS)
-    )
+    named = [f"{'cast(null as string)' if text is None else V.quoted(text)} as {name}" for text, name in zip(texts, _LABELS)]
+    return ", ".join([*named, f"{str(check.kind == 'filled').lower()} as {_FILLED}"])
 
 
 @dataclass(frozen=True)
@@ -136,9 +136,9 @@ def _count_side_by_side(frame: DataFrame, counted: Sequence[_Counted]) -> DataFr
 
 
 def _with_broadcast_lookups(
-    frame: DataFrame, checks: Sequence[FieldCheck], counted_keys: Callable[[CodeSet], DataFrame]
+    frame: DataFrame, checks: Sequence[FieldCheck], codes: sets.PackedCodes
 ) -> tuple[DataFrame, dict[FieldCheck, str]]:
-    """Probe the code sets next to each row; a repeated key is kept as a count.
+    """Probe the packed code sets next to each row; a repeated key is kept as a count.
 
     Returns the frame and, per check, the number of copies found (NULL if none).
     """
@@ -146,56 +146,48 @@ def _with_broadcast_lookups(
     for i, check in enumerate(checks):
         probes = _lookups(check)
         for j, (code_set, value) in enumerate(probes):
-            found = counted_keys(code_set).selectExpr(f"key as key_{i}_{j}", f"copies as copies_{i}_{j}")
-            frame = frame.join(F.broadcast(found), F.expr(f"{value} = key_{i}_{j}"), "left")
+            found = codes.broadcast_table().withColumnsRenamed({"key": f"key_{i}_{j}", "copies": f"copies_{i}_{j}"})
+            frame = frame.join(found, F.expr(f"{value} = key_{i}_{j}"), "left")
         if probes:
-            found_copies = ", ".join(f"copies_{i}_{j}" for j in range(len(probes)))
+            found_copies = ", ".join(f"get(copies_{i}_{j}, {codes.places[s]})" for j, (s, _) in enumerate(probes))
             copies[check] = f"coalesce({found_copies})"
     return frame, copies
 
 
-def _count_by_value(
-    frame: DataFrame,
-    checks: Sequence[FieldCheck],
-    as_of: str,
-    counted_keys: Callable[[CodeSet], DataFrame],
-) -> DataFrame:
+def _probed_value(check: FieldCheck) -> str:
+    return f"coalesce({', '.join(value for _, value in _lookups(check))})"
+
+
+def _count_by_value(frame: DataFrame, checks: Sequence[FieldCheck], as_of: str, codes: sets.PackedCodes) -> DataFrame:
     """For code sets too large to broadcast: count values first, then join the counts.
 
     A value that fills a third of the table is one row per group when it
-    reaches the join, so the join has no hot key left.
+    reaches the join, so the join has no hot key left. Only values that could
+    be found become rows: NULL matches nothing and is counted beside the row.
     """
-    used = sorted({s for c in checks for s in c.code_sets}, key=lambda s: s.name)
-    number = {code_set: i for i, code_set in enumerate(used)}
     entries = []
     for i, check in enumerate(checks):
-        probes = _lookups(check)
-        set_no = " ".join(f"when {value} is not null then {number[s]}" for s, value in probes)
-        value = f"coalesce({', '.join(value for _, value in probes)})"
+        set_no = " ".join(f"when {value} is not null then {codes.numbers[s]}" for s, value in _lookups(check))
         code = verdict(check, as_of, hit="false").code()
-        entries.append(f"struct({i} as entry, case {set_no} end as set_no, {value} as value, {code} as code)")
+        entries.append(f"struct({i} as entry, case {set_no} end as set_no, {_probed_value(check)} as value, {code} as verdict)")
     values = (
-        frame.selectExpr(*GRAIN, f"inline(array({', '.join(entries)}))")
-        .groupBy(*GRAIN, "entry", "set_no", "value", "code")
+        frame.selectExpr(*GRAIN, f"inline(filter(array({', '.join(entries)}), e -> e.value is not null))")
+        .groupBy(*GRAIN, "entry", "set_no", "value", "verdict")
         .agg(F.expr("count(1) as n"))
     )
-    known = reduce(
-        DataFrame.unionByName,
-        [counted_keys(s).selectExpr("key", "copies", f"{number[s]} as known_set") for s in used],
-    )
     counted = (
-        values.join(known, F.expr("set_no = known_set and value = key"), "left")
+        values.join(codes.shuffled_table(), F.expr("set_no = known_set and value = key"), "left")
         .selectExpr(
             *GRAIN,
             "entry",
             "n * coalesce(copies, 1) as weight",
-            f"case when code = {V.BAD} and copies is not null then {V.GOOD} else code end as code",
+            f"case when verdict = {V.BAD} and copies is not null then {V.GOOD} else verdict end as verdict",
         )
         .groupBy(*GRAIN, "entry")
         .agg(
             F.expr("sum(weight) as total_rows"),
             *[
-                F.expr(f"sum(case when code = {code} then weight else 0 end) as {name}")
+                F.expr(f"sum(case when verdict = {code} then weight else 0 end) as {name}")
                 for name, code in zip(_COUNTERS[1:], (V.NOT_APPLICABLE, V.NULL, V.GOOD))
             ],
         )
@@ -214,28 +206,32 @@ def _tally(
 ) -> DataFrame:
     """Counters per (data_source, payer, plan, field) for all given checks."""
     checks = tuple(checks)
-    used = sorted({s for c in checks for s in c.code_sets}, key=lambda s: s.name)
-    small = sets.broadcastable(sources, used, broadcast_limit)
-    counted_keys = cache(lambda code_set: sets.counted_keys(sources, code_set))
-    parts = []
+    codes = sets.pack(sources, {s for c in checks for s in c.code_sets}, broadcast_limit)
+    parts, split = [], False
     for model in MODELS:
         mine = [c for c in checks if c.model == model]
-        beside = [c for c in mine if set(c.code_sets) <= small]
-        by_value = [c for c in mine if not set(c.code_sets) <= small]
-        if beside:
-            frame, copies = _with_broadcast_lookups(sources.table(model), beside, counted_keys)
-            counted = [
-                _Counted(c, verdict(c, as_of, f"{copies[c]} is not null"), f"coalesce({copies[c]}, 1L)")
-                if c in copies
-                else _Counted(c, verdict(c, as_of))
-                for c in beside
-            ]
-            parts.append(_count_side_by_side(frame, counted))
+        if not mine:
+            continue
+        by_value = [c for c in mine if not set(c.code_sets) <= codes.places.keys()]
+        beside = [c for c in mine if c not in by_value]
+        frame, copies = _with_broadcast_lookups(sources.table(model), beside, codes)
+        counted = [
+            _Counted(c, verdict(c, as_of, f"{copies[c]} is not null"), f"coalesce({copies[c]}, 1L)")
+            if c in copies
+            else _Counted(c, verdict(c, as_of))
+            for c in beside
+        ]
+        counted += [_Counted(c, verdict(c, as_of, "false"), f"if({_probed_value(c)} is null, 1L, 0L)") for c in by_value]
+        parts.append(_count_side_by_side(frame, counted))
         if by_value:
-            parts.append(_count_by_value(sources.table(model), by_value, as_of, counted_keys))
+            split = True
+            parts.append(_count_by_value(sources.table(model), by_value, as_of, codes))
     if not parts:
         raise ValueError("no checks given")
-    return reduce(DataFrame.unionByName, parts)
+    tally = reduce(DataFrame.unionByName, parts)
+    if not split:
+        return tally
+    return tally.groupBy(*GRAIN, *_LABELS, _FILLED).agg(*[F.expr(f"sum({c}) as {c}") for c in _COUNTERS])
 
 
 def _percent(part: str, whole: str) -> str:
@@ -260,35 +256,23 @@ def _finish(tally: DataFrame, run: RunMeta, labels: Sequence[str], shares: Seque
     )
 
 
-def completeness_summary(
-    sources: Sources, run: RunMeta, checks: Iterable[FieldCheck] = COMPLETENESS
-) -> DataFrame:
-    """Null, filled and not-applicable rows per source, payer, plan and field."""
-    tally = _tally(sources, checks, _as_of(None)).withColumnRenamed("good_rows", "non_null_rows")
+def _completeness(tally: DataFrame, run: RunMeta) -> DataFrame:
     return _finish(
-        tally,
+        tally.withColumnRenamed("good_rows", "non_null_rows"),
         run,
         ("model_name", "field_name"),
         ("not_applicable_rows", "null_rows", "non_null_rows"),
     )
 
 
-def validity_summary(
-    sources: Sources,
-    run: RunMeta,
-    checks: Iterable[FieldCheck] = VALIDITY,
-    as_of: dt.date | str | None = None,
-    broadcast_limit: int = sets.BROADCAST_LIMIT,
-) -> DataFrame:
-    """Valid, invalid, null and not-applicable rows per source, payer, plan and field."""
-    tally = (
-        _tally(sources, checks, _as_of(as_of), broadcast_limit)
-        .withColumnRenamed("good_rows", "valid_rows")
+def _validity(tally: DataFrame, run: RunMeta) -> DataFrame:
+    counted = (
+        tally.withColumnRenamed("good_rows", "valid_rows")
         .withColumn("non_null_rows", F.expr("total_rows - not_applicable_rows - null_rows"))
         .withColumn("invalid_rows", F.expr("non_null_rows - valid_rows"))
     )
     summary = _finish(
-        tally,
+        counted,
         run,
         _LABELS,
         ("not_applicable_rows", "null_rows", "non_null_rows", "valid_rows", "invalid_rows"),
@@ -296,3 +280,35 @@ def validity_summary(
     return summary.withColumn(
         "valid_rows_applicable_pct", F.expr(_percent("valid_rows", "applicable_rows"))
     )
+
+
+def completeness_summary(
+    sources: Sources, run: RunMeta, checks: Iterable[FieldCheck] = COMPLETENESS
+) -> DataFrame:
+    """Null, filled and not-applicable rows per source, payer, plan and field."""
+    return _completeness(_tally(sources, checks, _as_of(None)), run)
+
+
+def validity_summary(
+    sources: Sources,
+    run: RunMeta,
+    checks: Iterable[FieldCheck] = VALIDITY,
+    as_of: dt.date | str | None = None,
+    broadcast_limit: int = sets.BROADCAST_LIMIT,
+) -> DataFrame:
+    """Valid, invalid, null and not-applicable rows per source, payer, plan and field."""
+    return _validity(_tally(sources, checks, _as_of(as_of), broadcast_limit), run)
+
+
+def field_summaries(
+    sources: Sources,
+    run: RunMeta,
+    as_of: dt.date | str | None = None,
+    broadcast_limit: int = sets.BROADCAST_LIMIT,
+) -> tuple[DataFrame, DataFrame]:
+    """Completeness and validity from one pass: each checked table is read once for both.
+
+    The counters are written, and both summaries read them: a few rows per source, payer, plan and field.
+    """
+    tally = stage(_tally(sources, (*COMPLETENESS, *VALIDITY), _as_of(as_of), broadcast_limit), "field-counters")
+    return _completeness(tally.where(_FILLED), run), _validity(tally.where(f"not {_FILLED}"), run)

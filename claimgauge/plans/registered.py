@@ -5,7 +5,9 @@ Parameters are fixed so that results can be compared with independent SQL.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +18,12 @@ from claimgauge.operators import assertions, diagnostics, member_diagnostics
 from claimgauge.operators import reconciliation as R
 from claimgauge.operators.catalog import COMPLETENESS, MODELS, VALIDITY, CodeSet, only
 from claimgauge.operators.field_quality import completeness_summary, validity_summary
-from claimgauge.operators.history import History, ranked_runs, validity_run_delta
+from claimgauge.operators.history import validity_run_delta
+from claimgauge.operators.run_tables import RunTable
 from claimgauge.plans.runs import KEYS, Runs
+from claimgauge.sources.catalog_tables import ensure_schema
 from claimgauge.sources.sample_claims import sample_sources
-from claimgauge.sources.scratch import fresh_path
+from claimgauge.sources.scratch import shared_folder
 from claimgauge.sources.tables import Sources
 
 AS_OF = "2025-01-01"
@@ -52,28 +56,83 @@ SUMMARIES: dict[str, Callable[[Sources, RunMeta], DataFrame]] = {
     "reconciliation": R.monthly_summary,
 }
 
+_built: dict[tuple[str, str, str], object] = {}
 
-def _kept_history(spark: SparkSession, sf_dir: str, name: str) -> History:
-    """History of two official runs: the earlier one, and the later one stored twice."""
-    history = History(spark, fresh_path(spark, f"history-{name}"), KEYS[name])
-    history.upsert(SUMMARIES[name](sample_sources(spark, sf_dir, earlier_run=True), EARLIER))
-    later = SUMMARIES[name](sample_sources(spark, sf_dir), LATER)
-    history.upsert(later)
-    history.upsert(history.latest())
-    return history
 
+def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], object]) -> object:
+    """What ``build`` makes in a schema of its own, once per application and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _built:
+        schema = f"claims_{what}_{uuid.uuid4().hex}"
+        ensure_schema(spark, schema, f"{shared_folder(spark)}/{schema}")
+        _built[key] = build(schema)
+    return _built[key]
 
-def _history(name: str, pick: Callable[[History], DataFrame]) -> Query:
-    return lambda spark, sf_dir: comparable(pick(_kept_history(spark, sf_dir, name)))
+
+def _kept_runs(spark: SparkSession, sf_dir: str, name: str) -> RunTable:
+    """Two official runs of a summary: the earlier one, and the later one stored twice."""
+
+    def build(schema: str) -> RunTable:
+        kept = RunTable(spark, f"{schema}.{name}_history", KEYS[name])
+        kept.upsert(SUMMARIES[name](sample_sources(spark, sf_dir, earlier_run=True), EARLIER))
+        kept.upsert(SUMMARIES[name](sample_sources(spark, sf_dir), LATER))
+        kept.upsert(kept.latest())
+        return kept
+
+    return _once(spark, sf_dir, name, build)
+
+
+def _history(name: str, pick: Callable[[RunTable], DataFrame]) -> Query:
+    return lambda spark, sf_dir: comparable(pick(_kept_runs(spark, sf_dir, name)))
 
 
 def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An earlier run from before a column existed, then a run that brings it."""
-    history = History(spark, fresh_path(spark, "history-evolving"), KEYS["completeness"])
-    earlier = completeness_summary(sample_sources(spark, sf_dir, earlier_run=True), EARLIER)
-    history.upsert(earlier.drop("non_null_rows_pct"))
-    history.upsert(completeness_summary(sample_sources(spark, sf_dir), LATER))
-    return comparable(history.read())
+
+    def build(schema: str) -> RunTable:
+        kept = RunTable(spark, f"{schema}.completeness_history", KEYS["completeness"])
+        earlier = completeness_summary(sample_sources(spark, sf_dir, earlier_run=True), EARLIER)
+        kept.upsert(earlier.drop("non_null_rows_pct"))
+        kept.upsert(completeness_summary(sample_sources(spark, sf_dir), LATER))
+        return kept
+
+    return comparable(_once(spark, sf_dir, "evolving", build).read())
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> Runs:
+    """A schema after two official runs."""
+
+    def build(schema: str) -> Runs:
+        runs = Runs(spark, schema=schema)
+        runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True, as_of=AS_OF)
+        runs.build(sample_sources(spark, sf_dir), LATER, persist=True, as_of=AS_OF)
+        return runs
+
+    return _once(spark, sf_dir, "two_runs", build)
+
+
+def _by_name(name: str) -> Query:
+    """A table or lasting view of the two runs, by its name and in a session of its own."""
+    return lambda spark, sf_dir: comparable(spark.newSession().table(f"{_two_runs(spark, sf_dir).schema}.{name}"))
+
+
+def _unofficial_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each run is after an official one and one that is not kept: only the current table has the latter."""
+
+    def build(schema: str) -> Runs:
+        runs = Runs(spark, schema=schema, keys={"completeness": KEYS["completeness"]})
+        runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True)
+        runs.build(sample_sources(spark, sf_dir), LATER, persist=False)
+        return runs
+
+    runs = _once(spark, sf_dir, "unofficial", build)
+    places = {
+        "current": runs.current("completeness"),
+        "history": runs.history("completeness").read(),
+        "latest": spark.table(f"{runs.schema}.completeness_latest_official_run"),
+        "previous": spark.table(f"{runs.schema}.completeness_previous_official_run"),
+    }
+    return comparable(reduce(DataFrame.unionByName, [rows.withColumn("place", F.lit(p)) for p, rows in places.items()]))
 
 
 # Shapes of a supplied run timestamp, over the dates of all orders.
@@ -98,14 +157,6 @@ def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _two_runs(spark: SparkSession, sf_dir: str):
-    """Tables after two official runs, with what must hold for them."""
-    runs = Runs(spark, fresh_path(spark, "runs"))
-    runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True, as_of=AS_OF)
-    runs.build(sample_sources(spark, sf_dir), LATER, persist=True, as_of=AS_OF)
-    return runs.tables()
-
-
 def _repeated_codes(sources: Sources) -> DataFrame:
     sets = sorted({s for c in VALIDITY for s in c.code_sets if len(s.columns) == 1}, key=lambda s: s.name)
 
@@ -153,6 +204,8 @@ def registered() -> dict[str, Query]:
             lambda s, checks=checks: completeness_summary(s, LATER, checks)
         )
     found["validity_summary"] = _on_sources(lambda s: validity_summary(s, LATER, as_of=AS_OF))
+    # nothing fits into a broadcast: the way of a provider registry
+    found["validity_large_sets"] = _on_sources(lambda s: validity_summary(s, LATER, as_of=AS_OF, broadcast_limit=0))
     found |= {name: _validity_of_kind(kind) for name, kind in VALIDITY_KINDS.items()}
     found |= {
         "enrolled_member_months": _on_sources(R.enrolled_member_months),
@@ -164,11 +217,15 @@ def registered() -> dict[str, Query]:
         "monthly_reconciliation": _on_sources(lambda s: R.monthly_summary(s, LATER)),
     }
     for name in SUMMARIES:
-        found[f"history_{name}"] = _history(name, History.read)
-        found[f"history_latest_{name}"] = _history(name, History.latest)
-        found[f"history_previous_{name}"] = _history(name, History.previous)
+        found[f"history_{name}"] = _history(name, RunTable.read)
+        found[f"history_latest_{name}"] = _history(name, RunTable.latest)
+        found[f"history_previous_{name}"] = _history(name, RunTable.previous)
+        found[f"table_{name}"] = _by_name(name)
+        found[f"view_latest_{name}"] = _by_name(f"{name}_latest_official_run")
+        found[f"view_previous_{name}"] = _by_name(f"{name}_previous_official_run")
     found["history_schema_evolution"] = _schema_evolution
-    found["run_ranking"] = _history("reconciliation", lambda h: ranked_runs(h.read()))
+    found["unofficial_run"] = _unofficial_run
+    found["run_ranking"] = _history("reconciliation", RunTable.ranked)
     found["validity_run_delta"] = _history(
         "validity", lambda h: validity_run_delta(h.latest(), h.previous())
     )
@@ -190,9 +247,9 @@ def registered() -> dict[str, Query]:
         "nearby_enrollment": _on_sources(
             lambda s: member_diagnostics.nearby_enrollment(s, ONE_SOURCE, CUTOFF)
         ),
-        "assert_unique_grain": lambda spark, d: assertions.unique_report(_two_runs(spark, d)),
-        "assert_not_null": lambda spark, d: assertions.missing_report(_two_runs(spark, d)),
-        "assert_pct_bounds": lambda spark, d: comparable(assertions.bounds_report(_two_runs(spark, d))),
+        "assert_unique_grain": lambda spark, d: assertions.unique_report(_two_runs(spark, d).tables()),
+        "assert_not_null": lambda spark, d: assertions.missing_report(_two_runs(spark, d).tables()),
+        "assert_pct_bounds": lambda spark, d: comparable(assertions.bounds_report(_two_runs(spark, d).tables())),
         "assert_unique_reference": _on_sources(_repeated_codes),
     }
     return found

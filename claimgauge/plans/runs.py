@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators import assertions
-from claimgauge.operators.field_quality import completeness_summary, validity_summary
+from claimgauge.operators.field_quality import completeness_summary, field_summaries, validity_summary
 from claimgauge.operators.history import FIELD_KEY, LATEST, MONTH_KEY, PREVIOUS, History, validity_run_delta
 from claimgauge.operators.reconciliation import monthly_summary
 from claimgauge.operators.run_tables import RunTable
@@ -74,11 +74,7 @@ class Runs:
         Each summary is computed once, written, and read back for its history.
         """
         run = run or RunMeta()
-        summaries = {
-            "completeness": completeness_summary(sources, run),
-            "validity": validity_summary(sources, run, as_of=as_of),
-            "reconciliation": monthly_summary(sources, run),
-        }
+        summaries = self._summaries(sources, run, as_of)
         for name, summary in summaries.items():
             self._replace_current(name, summary)
         for name in summaries:
@@ -87,6 +83,17 @@ class Runs:
             self.register_views()
         return run
 
+    def _summaries(self, sources: Sources, run: RunMeta, as_of: dt.date | str | None) -> dict[str, DataFrame]:
+        if {"completeness", "validity"} <= self.keys.keys():  # from one pass over the checked tables
+            found = dict(zip(("completeness", "validity"), field_summaries(sources, run, as_of)))
+        elif "completeness" in self.keys:
+            found = {"completeness": completeness_summary(sources, run)}
+        else:
+            found = {"validity": validity_summary(sources, run, as_of=as_of)} if "validity" in self.keys else {}
+        if "reconciliation" in self.keys:
+            found["reconciliation"] = monthly_summary(sources, run)
+        return found
+
     def latest(self, name: str) -> DataFrame:
         return self.history(name).latest(self.current(name))
 

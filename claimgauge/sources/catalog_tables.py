@@ -18,8 +18,9 @@ from claimgauge.functions.verdicts import quoted
 from claimgauge.sources.scratch import folders_in, remove
 
 
-def ensure_schema(spark: SparkSession, schema: str) -> None:
-    spark.sql(f"create schema if not exists {schema}")
+def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    place = f" location {quoted(location)}" if location else ""
+    spark.sql(f"create schema if not exists {schema}{place}")
 
 
 def _ddl(frame: DataFrame, names: Sequence[str]) -> str:

@@ -150,6 +150,7 @@ def oracle_queries() -> dict[str, str]:
         "run_metadata": _RUN_METADATA,
         "completeness_summary": _fields(F.COMPLETENESS, False),
         "validity_summary": _fields(F.VALIDITY, True),
+        "validity_large_sets": _fields(F.VALIDITY, True),
         "valid_in_reference": _kind("in_reference"),
         "valid_drg": _kind("drg"),
         "valid_state": _kind("in_any_column"),
@@ -172,6 +173,15 @@ def oracle_queries() -> dict[str, str]:
         found[f"history_{name}"] = _runs(name, "from r1 union all from r2")
         found[f"history_latest_{name}"] = _runs(name, "from r2")
         found[f"history_previous_{name}"] = _runs(name, "from r1")
+        found[f"table_{name}"] = found[f"view_latest_{name}"] = found[f"history_latest_{name}"]
+        found[f"view_previous_{name}"] = found[f"history_previous_{name}"]
+    found["unofficial_run"] = _runs(
+        "completeness",
+        " union all ".join(
+            f"select *, '{place}' as place from {run}" + (" where false" if place == "previous" else "")
+            for place, run in {"current": "r2", "history": "r1", "latest": "r1", "previous": "r1"}.items()
+        ),
+    )
     found["history_schema_evolution"] = _runs("completeness", _EVOLVED)
     found["run_ranking"] = _runs("reconciliation", _RANKING)
     found["validity_run_delta"] = _delta()

@@ -6,8 +6,8 @@ import pytest
 
 from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators import catalog as C
-from claimgauge.operators.code_sets import broadcastable, counted_keys
-from claimgauge.operators.field_quality import completeness_summary, validity_summary
+from claimgauge.operators.code_sets import counted_keys, pack
+from claimgauge.operators.field_quality import completeness_summary, field_summaries, validity_summary
 from claimgauge.sources.sample_claims import RELATIONS, sample_sources
 from claimgauge.sources.tables import Sources
 
@@ -40,7 +40,7 @@ def validity(sample):
     return listed(validity_summary(sample, RUN, as_of=AS_OF))
 
 
-@pytest.mark.parametrize("limit", [0, 3_000])
+@pytest.mark.parametrize("limit", [0, 8_000])
 def test_lookups_do_not_depend_on_the_broadcast_limit(sample, validity, limit):
     assert listed(validity_summary(sample, RUN, as_of=AS_OF, broadcast_limit=limit)) == validity
 
@@ -57,13 +57,39 @@ def test_counters_add_up(sample, validity):
 
 def test_sets_beyond_the_limit_are_not_broadcast(sample):
     sets = sorted({s for c in C.VALIDITY for s in c.code_sets}, key=lambda s: s.name)
-    assert broadcastable(sample, sets) == set(sets)
+    packed = pack(sample, sets)
+    assert packed.places.keys() == set(sets)
     # Only sets without a single code fit into nothing.
-    assert all(counted_keys(sample, s).isEmpty() for s in broadcastable(sample, sets, limit=0))
-    some = broadcastable(sample, sets, limit=3_000)
+    full = {r.set_no for r in packed.counted.select("set_no").distinct().collect()}
+    assert {packed.numbers[s] for s in pack(sample, sets, limit=0).places}.isdisjoint(full)
+    some = pack(sample, sets, limit=8_000).places.keys()
     assert set() < some < set(sets)
 
 
+def final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+
+
+def test_all_fields_probe_one_broadcast(spark, sample):
+    plan = final_plan(validity_summary(sample, RUN, C.only(C.VALIDITY, model=C.MEDICAL), AS_OF))
+    assert plan.count("BroadcastHashJoin") > 10
+    built = [x for x in plan.splitlines() if "BroadcastExchange HashedRelationBroadcastMode(List(input[0, string" in x]
+    assert len([x for x in built if "ReusedExchange" not in x]) == 1
+
+
+def test_large_sets_take_one_shuffled_join(spark, sample):
+    checks = C.only(C.VALIDITY, model=C.MEDICAL)
+    plan = validity_summary(sample, RUN, checks, AS_OF, broadcast_limit=0)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter, ((set_no") == 1
+
+
+def test_one_pass_gives_both_summaries(sample, validity):
+    complete, valid = field_summaries(sample, RUN, AS_OF)
+    assert listed(valid) == validity
+    assert listed(complete) == listed(completeness_summary(sample, RUN))
+
+
 def medical(spark, rows):
     """One row per (claim_type, drg_code_type, drg_code, hcpcs_code)."""
     frame = spark.createDataFrame(rows, "claim_type string, drg_code_type string, drg_code string, hcpcs_code string")
