@@ -51,18 +51,23 @@ end"""
 def mismatch_reason(sources: Sources, cutoff: int = E.DEFAULT_CUTOFF) -> DataFrame:
     """Dropped paid amount, lines and claims per month and likely reason."""
     lines = E.claim_lines(sources, cutoff)
+    order = (*PERSON_MONTH, "data_source", "payer")
     flagged = (
         E.stacked_keys(lines, E.enrollment(sources))
         .withColumn("month_index", M.month_index(F.col("year_month_int")))
+        # one sort for all prefixes of its order, and one more for the neighbouring months
+        .sortWithinPartitions(*order)
         .selectExpr(
             *E.KEY,
             "is_claim",
-            f"{E.seen_in_enrollment((*PERSON_MONTH, *E.DIAGNOSTIC_GROUP))} as exact",
-            f"{E.seen_in_enrollment((*PERSON_MONTH, 'data_source', 'payer'))} as same_source_payer",
-            f"{E.seen_in_enrollment((*PERSON_MONTH, 'data_source'))} as same_source",
-            f"{E.seen_in_enrollment(PERSON_MONTH)} as same_month",
-            f"{E.seen_within_a_month(('person_id', *E.DIAGNOSTIC_GROUP))} as near_month",
+            "is_enrolled",
+            "exact",
+            "month_index",
+            f"{E.seen_in_enrollment(order)} as same_source_payer",
+            f"{E.seen_in_enrollment(order[:3])} as same_source",
+            f"{E.seen_in_enrollment(order[:2])} as same_month",
         )
+        .withColumn("near_month", F.expr(E.seen_within_a_month(("person_id", *E.DIAGNOSTIC_GROUP))))
         .where("is_claim = 1 and not exact")
         .selectExpr(*E.KEY, f"{_REASONS} as mismatch_reason")
     )
@@ -90,7 +95,7 @@ def normalization_recovery(sources: Sources, cutoff: int = E.DEFAULT_CUTOFF) ->
         .selectExpr(
             *E.KEY,
             "is_claim",
-            f"{E.seen_in_enrollment((*PERSON_MONTH, *normal, *E.DIAGNOSTIC_GROUP))} as exact",
+            "exact",
             f"{E.seen_in_enrollment((*PERSON_MONTH, *normal))} as normalized",
         )
         .where("is_claim = 1 and normalized and not exact")

@@ -4,7 +4,8 @@ Whether and how a claim line matches enrollment depends only on its key
 (source, payer, plan, person, month). So keys of claims and of enrollment are
 stacked and grouped once: the grouping de-duplicates both sides before the
 shuffle, and a row that saw both sides is an exact match. Looser matches are
-window maxima over prefixes of the key. No join pairs up rows of one person.
+window maxima over prefixes of one order of the key, for which it is sorted
+once. No join pairs up rows of one person.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from claimgauge.functions import months as M
 from claimgauge.operators.reconciliation import matchable
+from claimgauge.sources.scratch import stage
 from claimgauge.sources.tables import Sources
 
 DIAGNOSTIC_GROUP = ("data_source", "payer", "plan")
@@ -41,15 +43,17 @@ def claim_lines(
 
 
 def enrollment(sources: Sources, data_source: str | None = None) -> DataFrame:
-    """Enrollment rows with a readable month; unreadable months are skipped."""
-    rows = sources.table("core__member_months")
-    if data_source is not None:
-        rows = rows.where(F.col("data_source") == data_source)
-    return (
-        rows.withColumn("year_month_int", M.tolerant_year_month(F.col("year_month")))
-        .where("year_month_int is not null")
-        .select(*KEY)
-    )
+    """Distinct enrollment keys with a readable month; unreadable months are skipped.
+
+    They are laid out once for all diagnostics of these tables.
+    """
+
+    def keys() -> DataFrame:
+        rows = sources.table("core__member_months").withColumn("year_month_int", M.tolerant_year_month(F.col("year_month")))
+        return stage(rows.where("year_month_int is not null").select(*KEY).distinct(), "enrollment-keys")
+
+    rows = sources.derived("readable enrollment by key", keys)
+    return rows if data_source is None else rows.where(F.col("data_source") == data_source)
 
 
 def paid_by_match(lines: DataFrame, enrolled: DataFrame) -> DataFrame:
@@ -92,13 +96,15 @@ def stacked_keys(lines: DataFrame, enrolled: DataFrame) -> DataFrame:
     """Distinct keys of both sides, laid out by person for the windows to come.
 
     After de-duplication a person has at most one row per source, payer, plan
-    and month, however many claim lines stand behind it.
+    and month, however many claim lines stand behind it. ``exact`` needs no
+    window: it says that both sides have the key, and know all of it.
     """
     return (
         lines.selectExpr(*KEY, "1 as is_claim", "0 as is_enrolled")
         .unionByName(enrolled.selectExpr(*KEY, "0 as is_claim", "1 as is_enrolled"))
         .groupBy(*KEY)
         .agg(F.expr("max(is_claim) as is_claim"), F.expr("max(is_enrolled) as is_enrolled"))
+        .withColumn("exact", F.expr(f"is_claim = 1 and is_enrolled = 1 and {_all_known(KEY)}"))
         .repartition("person_id")
     )
 

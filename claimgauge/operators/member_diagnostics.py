@@ -137,10 +137,12 @@ def enrollment_footprint(
             F.expr("max(year_month_int) as last_unmatched_month"),
         )
     )
+    # written, because both joins below read it, and Spark then knows how many members there are
+    members = stage(members, "unmatched-members")
     in_source = (F.col("data_source") == data_source).cast("int")
     footprint = (
         E.enrollment(sources)
-        .where("person_id is not null")
+        .join(members.select("person_id"), "person_id", "left_semi")
         .groupBy("person_id", *E.DIAGNOSTIC_GROUP)
         .agg(F.expr("min(year_month_int) as first"), F.expr("max(year_month_int) as last"))
         .withColumn("in_source", in_source)
@@ -149,9 +151,10 @@ def enrollment_footprint(
             F.expr("max(coalesce(in_source, 0)) as in_source"),
             F.expr("min(first) as first_enrollment_month_anywhere"),
             F.expr("max(last) as last_enrollment_month_anywhere"),
-            F.expr("count(distinct data_source) as sources"),
-            F.expr("count(distinct payer) as payers"),
-            F.expr("count(distinct plan) as plans"),
+            # sets of one member's sources, payers and plans
+            F.expr("cast(size(collect_set(data_source)) as bigint) as sources"),
+            F.expr("cast(size(collect_set(payer)) as bigint) as payers"),
+            F.expr("cast(size(collect_set(plan)) as bigint) as plans"),
         )
     )
     return (
@@ -206,7 +209,6 @@ def nearby_enrollment(
     enrolled = (
         E.enrollment(sources)
         .where("person_id is not null")
-        .distinct()
         .selectExpr(
             "person_id",
             "year_month_int as enrollment_year_month_int",

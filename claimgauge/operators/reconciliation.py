@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from claimgauge.functions import months as M
 from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators.bounded import broadcast_if_within
+from claimgauge.sources.scratch import stage
 from claimgauge.sources.tables import Sources
 
 GROUP = ("data_source", "payer", "plan")
@@ -36,7 +37,7 @@ def dated_claims(sources: Sources) -> DataFrame:
     Lines without a date, or on a day that the calendar does not cover, are
     left out. Lines without a paid amount stay.
     """
-    days = sources.table("reference_data__calendar").selectExpr("full_date", "year_month_int")
+    days = sources.derived("calendar days", lambda: _days(sources))
     claims = sources.table("core__medical_claim").selectExpr(
         *GROUP,
         "person_id",
@@ -44,14 +45,24 @@ def dated_claims(sources: Sources) -> DataFrame:
         "paid_amount",
         "coalesce(claim_line_start_date, claim_start_date) as claim_date",
     )
-    return claims.join(
-        broadcast_if_within(days, MAX_CALENDAR_ROWS), F.expr("claim_date = full_date")
-    ).drop("claim_date", "full_date")
+    return claims.join(days, F.expr("claim_date = full_date")).drop("claim_date", "full_date")
+
+
+def _days(sources: Sources) -> DataFrame:
+    """Days of the calendar; measured once for all that read these tables."""
+    days = sources.table("reference_data__calendar").selectExpr("full_date", "year_month_int")
+    return broadcast_if_within(days, MAX_CALENDAR_ROWS)
+
+
+def _counted_keys(sources: Sources) -> DataFrame:
+    """Enrollment laid out once for all that read these tables: its distinct keys, with their rows counted."""
+    keys = member_months(sources).groupBy(*ENROLLMENT_KEY).agg(F.expr("count(1) as months"))
+    return sources.derived("enrollment by key", lambda: stage(keys, "enrollment-keys"))
 
 
 def enrolled_member_months(sources: Sources) -> DataFrame:
     """Distinct (source, payer, plan, person, month)."""
-    return member_months(sources).select(*ENROLLMENT_KEY).distinct()
+    return _counted_keys(sources).select(*ENROLLMENT_KEY)
 
 
 def matchable(frame: DataFrame) -> DataFrame:
@@ -60,7 +71,7 @@ def matchable(frame: DataFrame) -> DataFrame:
 
 
 def _clustered(enrollment: DataFrame, *flags: str) -> DataFrame:
-    """Distinct keys, shuffled once more right below the join.
+    """Enrollment keys, shuffled right below the join.
 
     Only a join whose two inputs both come straight from a shuffle can have its
     oversized partitions split at run time; a member-month that holds a third
@@ -81,8 +92,8 @@ def without_enrollment(claims: DataFrame, enrollment: DataFrame) -> DataFrame:
 
 def member_month_metrics(sources: Sources) -> DataFrame:
     """Member-month rows (not distinct) and distinct members per month."""
-    return member_months(sources).groupBy(*MONTH_GRAIN).agg(
-        F.expr("count(1) as member_months"), F.expr("count(distinct person_id) as members")
+    return _counted_keys(sources).groupBy(*MONTH_GRAIN).agg(
+        F.expr("sum(months) as member_months"), F.expr("count(person_id) as members")
     )
 
 
@@ -93,31 +104,51 @@ def paid_without_enrollment(sources: Sources) -> DataFrame:
     )
 
 
+def _sum_type(lines: DataFrame) -> str:
+    """Type that Spark gives the sum of paid amounts; a sum of sums would be wider."""
+    return lines.agg(F.sum("paid_amount").alias("paid")).schema["paid"].dataType.simpleString()
+
+
+def _by_claim(lines: DataFrame, *flags: str) -> DataFrame:
+    """Lines and paid amount per month, claim and member.
+
+    The member is wrapped, so that the partitioning of the join does not pass for one of this
+    grouping: with both in one stage, Spark could split no oversized partition of the join.
+    """
+    wrapped = lines.withColumn("member", F.struct("person_id"))
+    claims = wrapped.groupBy(*MONTH_GRAIN, "member", "claim_id", *flags).agg(
+        F.expr("count(1) as lines"), F.expr("sum(paid_amount) as paid")
+    )
+    return claims.selectExpr(*MONTH_GRAIN, "member.person_id", "claim_id", *flags, "lines", "paid")
+
+
 def enrolled_claim_metrics(sources: Sources) -> DataFrame:
-    """Claims, lines, paid amount and members per month of enrolled claim lines."""
-    matched = with_enrollment(dated_claims(sources), enrolled_member_months(sources))
-    return matched.groupBy(*MONTH_GRAIN).agg(
+    """Claims, lines, paid amount and members per month of enrolled claim lines.
+
+    Lines are added up per claim and member first, so that claims and members
+    are told apart among claims, and no line is multiplied for it.
+    """
+    lines = with_enrollment(dated_claims(sources), enrolled_member_months(sources))
+    claims = _by_claim(lines)
+    return claims.groupBy(*MONTH_GRAIN).agg(
         F.expr("count(distinct claim_id) as claims"),
-        F.expr("count(1) as claim_lines"),
-        F.expr("sum(paid_amount) as paid_amount"),
+        F.expr("sum(lines) as claim_lines"),
+        F.expr(f"cast(sum(paid) as {_sum_type(lines)}) as paid_amount"),
         F.expr("count(distinct person_id) as members_with_claims"),
     )
 
 
 def claim_metrics(sources: Sources) -> DataFrame:
-    """Both of the above in one pass over the claims: lines carry a match flag."""
+    """The above and the paid amount of all lines, in one pass over the claims: lines carry a match flag."""
     enrolled = _clustered(enrolled_member_months(sources), "true as enrolled")
-    return (
-        dated_claims(sources)
-        .join(enrolled, list(ENROLLMENT_KEY), "left")
-        .groupBy(*MONTH_GRAIN)
-        .agg(
-            F.expr("count(distinct case when enrolled then claim_id end) as claims"),
-            F.expr("count_if(enrolled) as claim_lines"),
-            F.expr("sum(case when enrolled then paid_amount end) as paid_amount"),
-            F.expr("count(distinct case when enrolled then person_id end) as members_with_claims"),
-            F.expr("sum(paid_amount) as paid_amount_without_enrollment"),
-        )
+    lines = dated_claims(sources).join(enrolled, list(ENROLLMENT_KEY), "left")
+    claims, paid = _by_claim(lines, "enrolled"), _sum_type(lines)
+    return claims.groupBy(*MONTH_GRAIN).agg(
+        F.expr("count(distinct case when enrolled then claim_id end) as claims"),
+        F.expr("coalesce(sum(case when enrolled then lines end), 0L) as claim_lines"),
+        F.expr(f"cast(sum(case when enrolled then paid end) as {paid}) as paid_amount"),
+        F.expr("count(distinct case when enrolled then person_id end) as members_with_claims"),
+        F.expr(f"cast(sum(paid) as {paid}) as paid_amount_without_enrollment"),
     )
 
 
@@ -132,7 +163,7 @@ def month_bounds(sources: Sources) -> DataFrame:
             frame.groupBy(*GROUP).agg(
                 F.expr("min(year_month_int) as first"), F.expr("max(year_month_int) as last")
             )
-            for frame in (member_months(sources), dated_claims(sources))
+            for frame in (_counted_keys(sources), dated_claims(sources))
         ],
     )
     return seen.groupBy(*GROUP).agg(
@@ -151,7 +182,7 @@ def calendar_months(sources: Sources) -> DataFrame:
 
 def _spelled_out(frame: DataFrame, sources: Sources) -> DataFrame:
     """Keep months that the calendar has, and add their text form."""
-    months = broadcast_if_within(calendar_months(sources), MAX_CALENDAR_ROWS)
+    months = sources.derived("calendar months", lambda: broadcast_if_within(calendar_months(sources), MAX_CALENDAR_ROWS))
     return frame.join(months, "year_month_int")
 
 

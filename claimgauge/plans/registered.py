@@ -46,8 +46,24 @@ def comparable(frame: DataFrame) -> DataFrame:
     return frame.select(*columns)
 
 
+_built: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], object]) -> object:
+    """What ``build`` makes, once per application and folder of tables."""
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _built:
+        _built[key] = build()
+    return _built[key]
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The mapped tables; queries share what is laid out of them."""
+    return _once(spark, sf_dir, "sources", lambda: sample_sources(spark, sf_dir))
+
+
 def _on_sources(build: Callable[[Sources], DataFrame]) -> Query:
-    return lambda spark, sf_dir: comparable(build(sample_sources(spark, sf_dir)))
+    return lambda spark, sf_dir: comparable(build(_sources(spark, sf_dir)))
 
 
 SUMMARIES: dict[str, Callable[[Sources, RunMeta], DataFrame]] = {
@@ -56,17 +72,15 @@ SUMMARIES: dict[str, Callable[[Sources, RunMeta], DataFrame]] = {
     "reconciliation": R.monthly_summary,
 }
 
-_built: dict[tuple[str, str, str], object] = {}
-
+def _in_schema(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], object]) -> object:
+    """What ``build`` makes in a schema of its own."""
 
-def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[str], object]) -> object:
-    """What ``build`` makes in a schema of its own, once per application and folder of tables."""
-    key = (spark.sparkContext.applicationId, sf_dir, what)
-    if key not in _built:
+    def in_new_schema() -> object:
         schema = f"claims_{what}_{uuid.uuid4().hex}"
         ensure_schema(spark, schema, f"{shared_folder(spark)}/{schema}")
-        _built[key] = build(schema)
-    return _built[key]
+        return build(schema)
+
+    return _once(spark, sf_dir, what, in_new_schema)
 
 
 def _kept_runs(spark: SparkSession, sf_dir: str, name: str) -> RunTable:
@@ -75,11 +89,11 @@ def _kept_runs(spark: SparkSession, sf_dir: str, name: str) -> RunTable:
     def build(schema: str) -> RunTable:
         kept = RunTable(spark, f"{schema}.{name}_history", KEYS[name])
         kept.upsert(SUMMARIES[name](sample_sources(spark, sf_dir, earlier_run=True), EARLIER))
-        kept.upsert(SUMMARIES[name](sample_sources(spark, sf_dir), LATER))
+        kept.upsert(SUMMARIES[name](_sources(spark, sf_dir), LATER))
         kept.upsert(kept.latest())
         return kept
 
-    return _once(spark, sf_dir, name, build)
+    return _in_schema(spark, sf_dir, name, build)
 
 
 def _history(name: str, pick: Callable[[RunTable], DataFrame]) -> Query:
@@ -93,10 +107,10 @@ def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
         kept = RunTable(spark, f"{schema}.completeness_history", KEYS["completeness"])
         earlier = completeness_summary(sample_sources(spark, sf_dir, earlier_run=True), EARLIER)
         kept.upsert(earlier.drop("non_null_rows_pct"))
-        kept.upsert(completeness_summary(sample_sources(spark, sf_dir), LATER))
+        kept.upsert(completeness_summary(_sources(spark, sf_dir), LATER))
         return kept
 
-    return comparable(_once(spark, sf_dir, "evolving", build).read())
+    return comparable(_in_schema(spark, sf_dir, "evolving", build).read())
 
 
 def _two_runs(spark: SparkSession, sf_dir: str) -> Runs:
@@ -105,10 +119,10 @@ def _two_runs(spark: SparkSession, sf_dir: str) -> Runs:
     def build(schema: str) -> Runs:
         runs = Runs(spark, schema=schema)
         runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True, as_of=AS_OF)
-        runs.build(sample_sources(spark, sf_dir), LATER, persist=True, as_of=AS_OF)
+        runs.build(_sources(spark, sf_dir), LATER, persist=True, as_of=AS_OF)
         return runs
 
-    return _once(spark, sf_dir, "two_runs", build)
+    return _in_schema(spark, sf_dir, "two_runs", build)
 
 
 def _by_name(name: str) -> Query:
@@ -122,10 +136,10 @@ def _unofficial_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build(schema: str) -> Runs:
         runs = Runs(spark, schema=schema, keys={"completeness": KEYS["completeness"]})
         runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True)
-        runs.build(sample_sources(spark, sf_dir), LATER, persist=False)
+        runs.build(_sources(spark, sf_dir), LATER, persist=False)
         return runs
 
-    runs = _once(spark, sf_dir, "unofficial", build)
+    runs = _in_schema(spark, sf_dir, "unofficial", build)
     places = {
         "current": runs.current("completeness"),
         "history": runs.history("completeness").read(),

@@ -108,3 +108,27 @@ def test_combined_metrics_equal_the_separate_ones(hot):
         separate.select(sorted(separate.columns))
     ).count() == 0
     assert combined.agg(F.count("*")).first()[0] == 1
+
+
+def test_no_claim_line_is_multiplied_to_count_distinct_values(hot):
+    """Spark's way to count several distinct columns is an Expand; it may only see claims that are added up."""
+    for frame in (R.enrolled_claim_metrics(hot), R.claim_metrics(hot)):
+        lines = frame._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        (at,) = [i for i, line in enumerate(lines) if "Expand [" in line]
+        assert any("Aggregate [" in line and "claim_id" in line for line in lines[at + 1 : at + 3])
+
+
+def test_flags_take_two_sorts(hot):
+    frame = mismatch_reason(hot)
+    plan = final_plan(frame)[1].partition("== Initial Plan ==")[0]
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    sorts = [line for line in plan.splitlines() if "Sort [person_id" in line and "is_claim" not in line]
+    assert len(windows) == 4
+    assert len([line for line in sorts if "month_index" in line or "year_month_int" in line and "coalesce" not in line]) == 2
+
+
+def test_enrollment_is_shuffled_once_for_all_that_share_it(hot):
+    R.enrolled_claim_metrics(hot).collect()
+    rows, plan = final_plan(R.member_month_metrics(hot))
+    assert "id % 250" not in plan and "Scan parquet" in plan
+    assert len(rows) == 1
