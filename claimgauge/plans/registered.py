@@ -261,9 +261,9 @@ def registered() -> dict[str, Query]:
         "nearby_enrollment": _on_sources(
             lambda s: member_diagnostics.nearby_enrollment(s, ONE_SOURCE, CUTOFF)
         ),
-        "assert_unique_grain": lambda spark, d: assertions.unique_report(_two_runs(spark, d).tables()),
-        "assert_not_null": lambda spark, d: assertions.missing_report(_two_runs(spark, d).tables()),
-        "assert_pct_bounds": lambda spark, d: comparable(assertions.bounds_report(_two_runs(spark, d).tables())),
+        "assert_unique_grain": lambda spark, d: _two_runs(spark, d).report("unique"),
+        "assert_not_null": lambda spark, d: _two_runs(spark, d).report("missing"),
+        "assert_pct_bounds": lambda spark, d: comparable(_two_runs(spark, d).report("bounds")),
         "assert_unique_reference": _on_sources(_repeated_codes),
     }
     return found

@@ -11,6 +11,7 @@ from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators import assertions
 from claimgauge.operators.field_quality import completeness_summary, field_summaries, validity_summary
 from claimgauge.operators.history import FIELD_KEY, LATEST, MONTH_KEY, PREVIOUS, History, validity_run_delta
+from claimgauge.operators.kept_verdicts import KeptVerdicts
 from claimgauge.operators.reconciliation import monthly_summary
 from claimgauge.operators.run_tables import RunTable
 from claimgauge.sources.catalog_tables import CatalogTable, ensure_schema
@@ -138,6 +139,19 @@ class Runs:
             found[f"{name}_history"] = (self.history(name).read(like=current), expected)
         return found
 
+    def kept_verdicts(self, name: str) -> KeptVerdicts:
+        """Assertions on the history of a summary; a run that was checked is not read again."""
+        return KeptVerdicts(self.spark, f"{self.schema}.{name}_verdicts", self.history(name), assertions.EXPECTED[name])
+
+    def report(self, kind: str) -> DataFrame:
+        """The report ``unique``, ``missing`` or ``bounds`` of the tables of a schema, histories from what is kept."""
+        whole = {"unique": assertions.unique_report, "missing": assertions.missing_report, "bounds": assertions.bounds_report}[kind]
+        found = whole({name: (self.current(name), assertions.EXPECTED[name]) for name in self.keys})
+        for name in self.keys:
+            if kind != "bounds" or assertions.EXPECTED[name].percents:
+                found = found.unionByName(getattr(self.kept_verdicts(name), kind)(f"{name}_history"))
+        return found
+
     def failures(self) -> dict[str, DataFrame]:
         """Failing rows of every assertion on current and historical tables."""
         return {

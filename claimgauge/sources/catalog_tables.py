@@ -109,6 +109,16 @@ class PartitionedCatalogTable(CatalogTable):
         listed = self._spark.sql(f"show partitions {self.name}").collect()
         return [{c: unquote(part.partition("=")[2]) for c, part in zip(self.by, row[0].split("/"), strict=True)} for row in listed]
 
+    def folders(self) -> list[tuple[str, dict[str, str]]]:
+        """(folder of one write, values) of the published partitions, from a listing of their files."""
+        if not self.exists():
+            return []
+        found = {}
+        for file in self.read().inputFiles():
+            values = {c: unquote(unquote(file.partition(f"/{c}=")[2].partition("/")[0])) for c in self.by}
+            found[(self._first_below(file), *values.values())] = values
+        return [(key[0], values) for key, values in sorted(found.items())]
+
     def prepare(self, frame: DataFrame) -> None:
         """Create the table, or add the columns that it does not have."""
         values = [c for c in frame.columns if c not in self.by]
