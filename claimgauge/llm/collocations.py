@@ -8,7 +8,10 @@
    sends fingerprints with their counts and a pointer to an occurrence. They
    travel packed, sorted and dealt to buckets of the hash range, whose number
    follows the size of the texts; a frequent n-gram is one entry per flush, so
-   that no bucket is hot.
+   that no bucket is hot. Words and pairs come first. An n-gram of three words or
+   more is sent only if both of its parts of one word less may be frequent: each
+   task has a bitmap of ``FILTER_BITS`` bits with the frequent ones. Its size is
+   fixed; for very many frequent parts it lets more through, and loses none.
 3. Fingerprints that occur often enough are looked up in the texts that their
    pointers name: the text must hold an n-gram of this fingerprint under both
    polynomials. Only then an n-gram becomes a string.
@@ -27,8 +30,8 @@ repeated rows count repeatedly. An empty table gives no phrases.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterator, Sequence
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +46,8 @@ _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: odd multipliers of the two polynomials, and of the mix that ends a hash
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+#: a bit for each value of so many leading bits of a fingerprint: 16 MB, whatever the corpus
+FILTER_BITS = 27
 _ENTRY = np.dtype([("fp", "<u8"), ("check", "<u4"), ("n", "<u8"), ("pointer", "<u4")])
 
 _byte = np.arange(256)
@@ -100,11 +105,16 @@ class Words:
     def phrase(self, at: int, n: int) -> str:
         return self.bytes[self.starts[at] : self.ends[at + n - 1]].tobytes().decode()
 
-    def hashed(self, longest: int, bits: int, block: int = 200_000) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """(n, first word, fingerprint, check) of all n-grams, for ``block`` words at a time."""
+    def hashed(
+        self, lengths: Sequence[int], bits: int = 64, block: int = 200_000, ahead: int = 0
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(n, first word, fingerprint, check) of all n-grams, for ``block`` words at a time.
+
+        Those of the first length go on for ``ahead`` words of the next block.
+        """
         for low in range(0, len(self), block):
             high = min(low + block, len(self))
-            last = min(high + longest - 1, len(self))
+            last = min(high + ahead + max(lengths) - 1, len(self))
             origin = self.starts[low]
             part = self.bytes[origin : self.ends[last - 1]]
             sums = []
@@ -113,8 +123,9 @@ class Words:
                 terms = _letters(which)[part]
                 terms *= powers[: len(part)]
                 sums.append((np.r_[np.uint64(0), np.cumsum(terms)], inverse))
-            for n in range(1, longest + 1):
-                first = np.arange(low, min(high, len(self) - n + 1))
+            for n in lengths:
+                until = high + (ahead if n == lengths[0] else 0)
+                first = np.arange(low, min(until, len(self) - n + 1))
                 first = first[self.piece[first] == self.piece[first + n - 1]]
                 a, z = self.starts[first] - origin, self.ends[first + n - 1] - origin
                 made = []
@@ -166,8 +177,32 @@ def _summed(entries: np.ndarray) -> np.ndarray:
 _PACKED = "bucket int, lang string, n int, entries long, occurrences long, packed binary"
 
 
-def _packed(rows: DataFrame, longest: int, buckets: int, flush: int, bits: int, batch_bytes: int) -> DataFrame:
-    """Counted fingerprints of each task, by bucket, language and length."""
+def _filter_place(fp: np.ndarray, bits: int) -> np.ndarray:
+    return (fp << np.uint64(64 - bits)) >> np.uint64(64 - FILTER_BITS)
+
+
+def _frequent_parts(found: DataFrame, n: int, bits: int) -> np.ndarray:
+    """A bit for each n-gram that is frequent in any language; the driver and every task hold 16 MB."""
+    place = F.shiftrightunsigned(F.shiftleft("fp", 64 - bits), 64 - FILTER_BITS)
+    places = found.where(F.col("n") == n).select((place + 1).alias("place"))  # buckets count from 1
+    parts = places.groupBy(F.bitmap_bucket_number("place").alias("at")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
+    )
+    out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
+    for row in parts.collect():
+        part = np.frombuffer(row["bits"], dtype=np.uint8)
+        out[(row["at"] - 1) * len(part) : row["at"] * len(part)] = part
+    return out
+
+
+def _packed(
+    rows: DataFrame, lengths: Sequence[int], buckets: int, flush: int, bits: int, batch_bytes: int, parts: np.ndarray | None = None
+) -> DataFrame:
+    """Counted fingerprints of each task, by bucket, language and length.
+
+    With ``parts`` only those whose parts of one word less are among them.
+    """
+    kept = None if parts is None else rows.sparkSession.sparkContext.broadcast(parts)
 
     def send(held: dict) -> Iterator[pa.RecordBatch]:
         for (lang, n), parts in held.items():
@@ -197,7 +232,7 @@ def _packed(rows: DataFrame, longest: int, buckets: int, flush: int, bits: int,
         for lang, pointers, texts in _by_language(frames, batch_bytes):
             words = Words(texts)
             pointer_of = np.asarray(pointers, dtype=np.uint32)[words.text]
-            for n, first, fp, check in words.hashed(longest, bits):
+            for n, first, fp, check in _hashed(words, lengths, bits, kept):
                 held.setdefault((lang, n), []).append((fp, check, pointer_of[first]))
                 count += len(fp)
                 if count >= flush:
@@ -208,6 +243,21 @@ def _packed(rows: DataFrame, longest: int, buckets: int, flush: int, bits: int,
     return rows.select("lang", "pointer", "text").mapInArrow(batches, _PACKED)
 
 
+def _hashed(words: Words, lengths: Sequence[int], bits: int, kept) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    if kept is None:
+        yield from words.hashed(lengths, bits)
+        return
+    (n,) = lengths
+    frequent = np.zeros(len(words) + 1, dtype=bool)
+    for length, first, fp, check in words.hashed((n - 1, n), bits, ahead=1):
+        if length < n:
+            place = _filter_place(fp, bits)
+            frequent[first] = (kept.value[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+        else:
+            both = frequent[first] & frequent[first + 1]
+            yield n, first[both], fp[both], check[both]
+
+
 def _by_language(frames: Iterator[pa.RecordBatch], batch_bytes: int) -> Iterator[tuple[str, list[int], list[bytes]]]:
     """(language, pointers, texts) of about ``batch_bytes`` each; a text is never split."""
     open_: dict[str, tuple[list[int], list[bytes]]] = {}
@@ -282,7 +332,7 @@ def _spelled(rows: DataFrame, found: DataFrame, longest: int, bits: int) -> Data
                 ends = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())]
                 words = Words(texts)
                 owner = words.text
-                for n, first, fp, check in words.hashed(longest, bits):
+                for n, first, fp, check in words.hashed(range(1, longest + 1), bits):
                     # the wanted ones of length n, looked up by text and fingerprint
                     fp = fp.view(np.int64)
                     mine = np.flatnonzero(fields["n"] == n)
@@ -326,10 +376,15 @@ def frequent_phrases(
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), body.alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rows = rows.withColumn("pointer", F.xxhash64("text").bitwiseAND(0xFFFFFFFF))
-    packed = _packed(rows, longest, max(1, -(-size // bucket_bytes)), flush, bits, batch_bytes)
-    found = stage(_frequent(packed, least), "fingerprints")
+    buckets = max(1, -(-size // bucket_bytes))
+    lengths = tuple(range(1, min(longest, 2) + 1))
+    found = [stage(_frequent(_packed(rows, lengths, buckets, flush, bits, batch_bytes), least), "fingerprints")]
+    totals = found[0].where("n = 0").groupBy("lang").agg(F.sum("f").alias("n"))
+    for n in range(3, longest + 1):
+        parts = _frequent_parts(found[-1], n - 1, bits)
+        found.append(stage(_frequent(_packed(rows, (n,), buckets, flush, bits, batch_bytes, parts), least), "fingerprints"))
+    found = reduce(DataFrame.unionByName, found)
     phrases = stage(_spelled(rows, found, longest, bits), "phrases")
-    totals = found.where("n = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     return phrases, totals
 
 

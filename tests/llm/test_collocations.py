@@ -72,8 +72,8 @@ def test_longer_phrases_and_short_lists(some):
 
 def test_blocks_of_words_change_nothing():
     words = C.Words([b"one two three. four five one two three", b"one two", b"", b"x\ty  Z"])
-    whole = {(n, k, int(h)) for n, first, fp, _ in words.hashed(3, 64) for k, h in zip(first, fp, strict=True)}
-    parts = {(n, k, int(h)) for n, first, fp, _ in words.hashed(3, 64, block=2) for k, h in zip(first, fp, strict=True)}
+    whole = {(n, k, int(h)) for n, first, fp, _ in words.hashed((1, 2, 3)) for k, h in zip(first, fp, strict=True)}
+    parts = {(n, k, int(h)) for n, first, fp, _ in words.hashed((1, 2, 3), block=2) for k, h in zip(first, fp, strict=True)}
     assert whole == parts
     by_phrase = {}
     for n, k, h in whole:
@@ -82,6 +82,17 @@ def test_blocks_of_words_change_nothing():
     assert by_phrase.keys() >= {"one two three", "x y z", "four five one"} and "three four" not in by_phrase
 
 
+def test_the_filter_passes_all_frequent_parts(spark):
+    import numpy as np
+
+    fps = np.random.default_rng(5).integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
+    found = spark.createDataFrame([(2, int(x)) for x in fps.view(np.int64)], "n int, fp long")
+    bits = C._frequent_parts(found, 2, 64)
+    place = C._filter_place(fps, 64)
+    assert ((bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).all()
+    assert int(np.unpackbits(bits).sum()) == len(np.unique(place)) and bits.nbytes == 16 << 20
+
+
 def test_edge_rows(spark):
     texts = [(None, "a b a b a b"), ("en", None), ("en", ""), ("en", "..."), ("en", "A b"), (None, "a b ab\x0bc d")]
     rows = texts * 6 + [("de", "wort " * 5000), ("de", "é é")] * 12 + [("fr", "x" * 200_000 + " y")] * 10
