@@ -11,13 +11,17 @@ blocks as often as its quota allows, and the rest as a run of blocks that
 starts at a seeded place of its order and goes round at the end: a random set
 of documents, of which only those at the run's ends are taken in part.
 
-Everything grows with documents only as far as Spark deals them out: a hot source has many shards, a shard is
-bounded by ``shard_words``, and what is gathered per source is one row per
+Blocks have ``block_words`` words, or fewer where a source's target is small: no
+more than a sixteenth of the smallest target, down to single words.
+
+Everything grows with documents only as far as Spark deals them out: a hot source has many shards, a shard has
+``shard_words`` words unless there would be more than ``max_shards`` of them, and what is gathered per source is one row per
 shard. Equal input and seed give the same mix, whatever the partitioning.
 
 Defined results: a null text has size 0 and is not taken. A null source is a
-source of its own, the last one. Repeated rows are documents of their own; those
-with equal doc_id are taken in the order of their size. Empty table, empty result.
+source of its own, the last one. Documents are dealt by id and text, so that many
+texts under one id, or without an id, are spread. Repeated rows are documents of
+their own in one shard. Empty table, empty result.
 """
 
 from __future__ import annotations
@@ -43,8 +47,19 @@ class MixPlan:
     max_repeats: int = 3
     block_words: int = 64
     shard_words: int = 1 << 20
+    max_shards: int = 1 << 16
+    #: more sources than these are joined by a shuffle
+    broadcast_sources: int = 100_000
     seed: int = 17
 
+    def block(self, goals: Sequence[float]) -> int:
+        """Words of a block, so that the smallest target has sixteen of them."""
+        smallest = min((g for g in goals if g > 0), default=float(self.block_words))
+        return max(1, min(self.block_words, int(smallest / 16)))
+
+    def shards(self, size: int) -> int:
+        return min(self.max_shards, max(1, -(-size // self.shard_words)))
+
 
 def sainte_lague(votes: Sequence[int], seats: int, most: Sequence[int] | None = None) -> list[int]:
     """Seats by highest quotients votes / (2 seats + 1); on ties the earlier party is first.
@@ -109,9 +124,9 @@ def targets(sizes: Sequence[int], weights: Sequence[float], max_repeats: int) ->
     return out
 
 
-def _hash(key: Column, seed: int, part: int) -> Column:
+def _hash(seed: int, part: int, *keys: Column) -> Column:
     """A seeded number of 60 bits per key, the same in every SQL engine."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:{part}:"), F.coalesce(key.cast("string"), F.lit("null"))))
+    digest = F.md5(F.concat_ws(":", F.lit(f"{seed}:{part}"), *(F.coalesce(key.cast("string"), F.lit("null")) for key in keys)))
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
@@ -133,7 +148,7 @@ def taken_words(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text",
     whole rows come along as the struct ``row``.
     """
     extra = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")] if carry else []
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), *extra)
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"), word_count(F.col(f"`{text}`")).alias("size"), F.md5(F.col(f"`{text}`")).alias("tie"), *extra)
     if not carry:  # the texts are read once
         rows = stage(rows, "mix-sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size")).orderBy(F.col("source").asc_nulls_last()).collect()
@@ -141,20 +156,21 @@ def taken_words(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text",
     size_of = {r.source: int(r.source_size) for r in sources}
     sizes = [size_of[n] for n in names]
     goal = targets(sizes, [plan.weights[i % len(plan.weights)] for i in range(len(names))], plan.max_repeats)
-    seats = sainte_lague([round(g) for g in goal], max(1, round(sum(goal) / plan.block_words)) if sum(goal) else 0)
+    block = plan.block(goal)
+    seats = sainte_lague([round(g) for g in goal], max(1, round(sum(goal) / block)) if sum(goal) else 0)
     spark = docs.sparkSession
     table = spark.createDataFrame(
-        [(n, n is None, s, g, b, max(1, -(-s // plan.shard_words))) for n, s, g, b in zip(names, sizes, goal, seats, strict=True)],
+        [(n, n is None, s, g, b, plan.shards(s)) for n, s, g, b in zip(names, sizes, goal, seats, strict=True)],
         "name string, unnamed boolean, source_size long, target double, source_blocks long, n_shards long",
     )
-    # one row per source: this is what a mix is configured with, and small by nature
+    # one row per source: this is what a mix is configured with
     at_source = rows["source"].eqNullSafe(table["name"])
-    rows = rows.join(F.broadcast(table), at_source).drop("name", "unnamed")
-    rows = rows.withColumn("shard", _hash(F.col("key"), plan.seed, 0) % F.col("n_shards"))
-    rows = rows.withColumn("place", _hash(F.col("key"), plan.seed, 1))
-    order = Window.partitionBy("source", "shard").orderBy("place", "key", "size")
+    rows = rows.join(F.broadcast(table) if len(names) <= plan.broadcast_sources else table, at_source).drop("name", "unnamed")
+    rows = rows.withColumn("shard", _hash(plan.seed, 0, F.col("key"), F.col("tie")) % F.col("n_shards"))
+    rows = rows.withColumn("place", _hash(plan.seed, 1, F.col("key"), F.col("tie")))
+    order = Window.partitionBy("source", "shard").orderBy("place", "key", "tie")
     rows = rows.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    blocks = F.greatest(F.lit(1), F.round(F.col("shard_size") / plan.block_words).cast("long"))
+    blocks = F.greatest(F.lit(1), F.round(F.col("shard_size") / block).cast("long"))
     shards = (
         rows.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.first("source_blocks").alias("source_blocks"))
         .where("shard_size > 0").withColumn("n_blocks", blocks)
@@ -166,7 +182,7 @@ def taken_words(docs: DataFrame, plan: MixPlan = MixPlan(), text: str = "text",
     quotas = stage(quotas.drop("source_blocks"), "mix-quotas").withColumnRenamed("source", "of").withColumnRenamed("shard", "nr")
     rows = rows.join(quotas, rows["source"].eqNullSafe(quotas["of"]) & (rows["shard"] == quotas["nr"]), "left")
     n, size, quota = F.col("n_blocks"), F.col("shard_size"), F.coalesce(F.col("quota"), F.lit(0))
-    first = F.pmod(_hash(F.concat_ws(":", F.coalesce("source", F.lit("")), F.col("shard")), plan.seed, 2), n)
+    first = F.pmod(_hash(plan.seed, 2, F.col("source"), F.col("shard")), n)
     rows = rows.withColumn("passes", F.coalesce(F.floor(quota / n), F.lit(0)).cast("long"))
     rows = rows.withColumn("first", first).withColumn("last", F.col("first") + F.pmod(quota, n))
     start = F.col("end") - F.col("size")

@@ -1,6 +1,8 @@
 """Apportionment against its definition, mixes against their targets."""
 
+import hashlib
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -35,6 +37,79 @@ def test_targets_stop_at_three_times_the_size():
     assert mixing.targets([0, 0], [1, 2], 3) == [0.0, 0.0]
 
 
+def number(seed, part, *keys):
+    text = ":".join([f"{seed}:{part}", *("null" if k is None else str(k) for k in keys)])
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+
+
+def plain(rows, plan):
+    """The whole mix of (id, text, source) rows, word by word: sorted (id, text, taken)."""
+    docs = [(i, t, s, len(re.findall("[^\x20\x09-\x0d]+", t or ""))) for i, t, s in rows]
+    names = sorted({s for _, _, s, _ in docs}, key=lambda s: (s is None, s or ""))
+    sizes = [sum(n for _, _, s, n in docs if s == name) for name in names]
+    goals = mixing.targets(sizes, [(1, 2, 3)[i % 3] for i in range(len(names))], 3)
+    block = max(1, min(plan.block_words, int(min([g for g in goals if g > 0], default=1024) / 16)))
+    seats = by_quotients([round(g) for g in goals], max(1, round(sum(goals) / block)), [10**9] * len(names))
+    out = []
+    for name, size, blocks in zip(names, sizes, seats, strict=True):
+        shards = {}
+        for i, t, s, n in docs:
+            if s == name:
+                tie = None if t is None else hashlib.md5(t.encode()).hexdigest()
+                nr = number(plan.seed, 0, i, tie) % max(1, -(-size // plan.shard_words))
+                shards.setdefault(nr, []).append((number(plan.seed, 1, i, tie), i is not None, i or 0, tie or "", i, t, n))
+        full = [nr for nr in sorted(shards) if sum(d[-1] for d in shards[nr])]
+        words = {nr: [k for k, d in enumerate(sorted(shards[nr], key=lambda d: d[:4])) for _ in range(d[-1])] for nr in shards}
+        n_blocks = {nr: max(1, int(len(words[nr]) / block + 0.5)) for nr in full}
+        quotas = by_quotients([len(words[nr]) for nr in full], blocks, [3 * n_blocks[nr] for nr in full])
+        for nr in shards:
+            taken = [0] * len(shards[nr])
+            if nr in full:
+                n, quota, total = n_blocks[nr], quotas[full.index(nr)], len(words[nr])
+                first = number(plan.seed, 2, name, nr) % n
+                for k in words[nr]:
+                    taken[k] += quota // n
+                for b in range(first, first + quota % n):
+                    for k in words[nr][b % n * total // n : (b % n + 1) * total // n]:
+                        taken[k] += 1
+            out += [(d[4], d[5], x) for d, x in zip(sorted(shards[nr], key=lambda d: d[:4]), taken, strict=True)]
+    return sorted(out, key=str)
+
+
+def mix_of(docs, plan):
+    rows = mixing.taken_words(docs, plan, carry=True)
+    return sorted(((r.row.doc_id, r.row.text, r.taken) for r in rows.collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_the_whole_mix_is_that_of_the_plain_version(spark, seed):
+    rng = random.Random(seed)
+    rows = [
+        (rng.choice([None, k, k]), rng.choice([None, "", "w " * rng.randrange(400), "a b"]) and "x" * rng.randrange(3) + " w" * rng.randrange(400), s, 0)
+        for k, s in enumerate(rng.choices(["a", "b", None, "c", "d"], [30, 5, 3, 1, 1], k=150))
+    ]
+    plan = mixing.MixPlan(shard_words=3000)
+    want = plain([r[:3] for r in rows], plan)
+    assert mix_of(spark.createDataFrame(rows, SCHEMA).repartition(5), plan) == want
+
+
+def test_small_sources_come_near_their_target(spark):
+    rows = [(1, "w " * 10, "a", 0), (2, "v " * 100, "b", 0), (3, "x " * 50_000, "c", 0), (4, "one", "d", 0)]
+    out = {r.source: (r.taken, r.target) for r in mixing.taken_words(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for taken, target in out.values():
+        assert abs(taken - target) <= max(1, 0.02 * target)
+    assert out["a"] == (30, 30.0) and out["d"][0] == 3
+
+
+def test_many_texts_under_one_id_are_spread(spark):
+    rows = [(None, f"text {k} " + "w " * 50, "a", 0) for k in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    plan = mixing.MixPlan(shard_words=1000)
+    assert mix_of(docs, plan) == plain([r[:3] for r in rows], plan)
+    shards = {mixing.MixPlan().shards(0), plan.shards(400 * 52)}
+    assert shards == {1, 21}
+
+
 def test_documents(spark, documents):
     plan = mixing.MixPlan(shard_words=2000)
     out = mixing.taken_words(documents, plan).toPandas()
