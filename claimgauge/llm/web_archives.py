@@ -8,7 +8,8 @@ names the original. Archives are read back by their lengths alone, so that a
 payload may hold anything, a whole record included.
 
 Archives are gzip files in a folder that Spark's own writers and readers reach,
-about ``archive_mb`` of records each; reading keeps one archive in a task. An
+of at most ``archive_mb`` of records each, or of one longer record; writing and
+reading keep one archive in a task. An
 archive that was lost half-way is written anew by its task's next attempt.
 
 Defined results: a null payload counts as empty. Payloads of fewer than
@@ -87,12 +88,25 @@ def _record(page_id, url, payload, digest, size, original, original_url, date) -
     return BREAK.join(fields) + END + block
 
 
-def _records(batches: Iterator[pa.RecordBatch], date: str) -> Iterator[pa.RecordBatch]:
+def _archives(batches: Iterator[pa.RecordBatch], date: str, archive_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Each row is the text of one archive, records joined by blank lines; a record that is longer has one to itself."""
+
+    def row(records: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([END.join(records)], pa.string())], names=["value"])
+
+    held, size = [], 0
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            rows = zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True)
-            lines = [_record(i, u, p or "", d, n, o, ou, date) for i, u, p, d, n, o, ou in rows]
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        for at in range(0, batch.num_rows, 100):
+            for i, u, p, d, n, o, ou in zip(*(c.to_pylist() for c in batch.slice(at, 100).columns), strict=True):
+                record = _record(i, u, p or "", d, n, o, ou, date)
+                length = len(record) if record.isascii() else len(record.encode())
+                if held and size + length > archive_bytes:
+                    yield row(held)
+                    held, size = [], 0
+                held.append(record)
+                size += length
+    if held:
+        yield row(held)
 
 
 def resolve_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
@@ -118,10 +132,10 @@ def resolve_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z", archive_mb: int = 32) -> None:
     """Writes page_id, url and payload as deduplicated archives into the new ``folder``."""
-    records = resolve_revisits(pages, min_bytes).mapInArrow(lambda batches: _records(batches, date), "value string")
-    per_file = max(1, archive_mb * (1 << 20) // (1 << 13))  # records of 8 KB, which pages seldom exceed on average
+    archive_bytes = archive_mb << 20
+    archives = resolve_revisits(pages, min_bytes).mapInArrow(lambda batches: _archives(batches, date, archive_bytes), "value string")
     (
-        records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", per_file)
+        archives.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", 1)
         .mode("errorifexists").text(folder)
     )
 

@@ -73,3 +73,19 @@ def test_pages(spark, sf_dir):
 
 def test_empty_table(spark):
     assert warc.archived(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_archives_are_cut_by_bytes(spark, tmp_path):
+    import glob
+    import gzip
+
+    sizes = [10, 400_000, 700_000, 3_000_000, 5, 900_000, 900_000, 20]
+    pages = spark.createDataFrame([(i, f"u{i}", chr(233) * (n // 2) + str(i)) for i, n in enumerate(sizes)], "page_id long, url string, payload string")
+    folder = f"{tmp_path}/cut"
+    warc.write_archives(pages.coalesce(1), folder, archive_mb=1)
+    found = [gzip.open(f).read() for f in sorted(glob.glob(f"{folder}/*.gz"))]
+    counts = [len(list(warc.parse(raw))) for raw in found]
+    assert sum(counts) == len(sizes) and max(counts) > 1
+    assert all(len(raw) <= (1 << 20) + 4 * n or n == 1 for raw, n in zip(found, counts, strict=True))
+    back = {r.page_id: r.payload for r in warc.read_archives(spark, folder).collect()}
+    assert back == {r.page_id: r.payload for r in pages.collect()}
