@@ -14,7 +14,8 @@ a large group is spread, and no link inside a component is missed.
 
 Defined results: vectors that are null, zero or hold null or non-finite numbers
 link with nothing, and neither do vectors of different lengths. Rows that
-repeat count as vectors of their own. A null vec_id stays by itself.
+repeat count as vectors of their own; so do different vectors under one vec_id,
+which do not tie each other's groups together. A null vec_id stays by itself.
 """
 
 from __future__ import annotations
@@ -182,7 +183,9 @@ def near_vectors(rows: DataFrame, plan: HashPlan = HashPlan(), vector: str = "em
     marked = stage(source.mapInArrow(_fingerprints, "vec_id long, fa long, fb long, vector array<double>"), "vectors")
     members = stage(
         marked.where("fa is not null and vec_id is not null").groupBy("fa", "fb")
-        .agg(F.min("vec_id").alias("member"), F.count("*").alias("copies"), F.first("vector").alias("vector")),
+        .agg(F.min("vec_id").alias("low"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
+        # a name of its own, since a vec_id may stand for several vectors
+        .withColumn("member", F.monotonically_increasing_id()),
         "vector-members",
     )
     k, tables = plan.shape(members.count())
@@ -211,9 +214,11 @@ def near_vectors(rows: DataFrame, plan: HashPlan = HashPlan(), vector: str = "em
     second = links(one.join(two, "bucket").where("a < b and ca <> cb"))
     labels = connected(second.union(labels.select(F.col("member").alias("a"), F.col("component").alias("b"))))
     counts = _link_counts(members, labels, plan)
-    found = members.select("fa", "fb", "member", "copies").join(labels.withColumnRenamed("node", "member"), "member", "left")
-    found = found.join(counts, "member", "left").withColumn("component", F.coalesce("component", "member"))
-    found = stage(found.select("fa", "fb", "copies", "links", "component"), "vector-found")
+    found = members.select("fa", "fb", "member", "copies", "low").join(labels.withColumnRenamed("node", "member"), "member", "left")
+    found = stage(found.join(counts, "member", "left"), "vector-found")
+    lowest = stage(found.where("component is not null").groupBy("component").agg(F.min("low").alias("least")), "vector-lowest")
+    found = found.join(lowest, "component", "left")
+    found = stage(found.select("fa", "fb", "copies", "links", F.coalesce("least", "low").alias("component")), "vector-named")
     out = marked.select("vec_id", "fa", "fb").join(found, ["fa", "fb"], "left")
     alone = F.col("vec_id").isNull()
     others = F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1
