@@ -11,11 +11,11 @@ cell that is left with a single one gives it up, which may lay open others
 differ are known, and with them the likeness: common paragraphs by all.
 
 Where peeling fails the pair is tried again on larger sketches: digests are dealt
-by a salted hash to parts that have a sketch each, and parts that fail again are
-dealt anew. A part has a few digests by then, so that the work grows with the
-length of the texts. Two digests that stay together in all ``TRIES`` deals and
-share all three cells are compared as they are; that takes eight equal bits in
-each of twelve independent hashes.
+by a salted hash to parts that have a sketch of twelve cells each, as many as
+the failed sketch lets expect, and parts that fail again are dealt anew. A part
+has a few digests by then, so that the work grows with the length of the texts.
+Digests that no sketch has told apart after ``TRIES`` deals are compared as they
+are; for two of them to come there takes twelve deals into the same part.
 
 Everything is done with column functions. Texts are shuffled once, by id and
 text; a text that edits the one before it in the order of ids sends that one its
@@ -37,17 +37,22 @@ from pyspark.sql import functions as F
 
 from claimgauge.sources.scratch import stage
 
-ROWS, WIDTH = 3, 8
+#: a sketch has three rows, whose cells are numbered by bits of a digest; sketches of parts are smaller
+ROWS, BITS, PART_BITS = 3, 3, 2
 #: deals of the digests that no smaller sketch could tell
 TRIES = 12
 PARAGRAPH_BREAK = r"\n+|(?<=[.,;:!?])[ \t]+"
 
-# Digests have 16 bits of check below; each row takes three of the bits above them.
-_PLACES = [(16 + 3 * row, cell) for row in range(ROWS) for cell in range(WIDTH)]
-_CELLS = ", ".join(f"named_struct('s', {shift}, 'p', {place}L)" for shift, place in _PLACES)
+# Digests have 16 bits of check below; rows take the bits above them.
 _CHECK = "(xxhash64(shiftright({0}, 16)) & 65535L)"
 _NONE = "cast(array() as array<bigint>)"
-_NO_PARTS = "cast(array() as array<struct<a: array<bigint>, b: array<bigint>>>)"
+_NO_PARTS = "cast(array() as array<array<struct<k: bigint, s: bigint, q: bigint>>>)"
+
+
+def _cells(bits: int) -> str:
+    """Where the cells of a sketch look: shift and value of a digest's bits."""
+    places = [(16 + bits * row, place) for row in range(ROWS) for place in range(1 << bits)]
+    return "array(" + ", ".join(f"named_struct('s', {shift}, 'p', {place}L)" for shift, place in places) + ")"
 
 
 def digests(text: Column) -> Column:
@@ -59,11 +64,22 @@ def digests(text: Column) -> Column:
 
 def sketch(of: str) -> str:
     """Cells (n, x) of the array of digests that the SQL expression ``of`` names."""
-    return f"""transform(array({_CELLS}), c -> aggregate(
-        filter({of}, k -> (shiftright(k, c.s) & {WIDTH - 1}) = c.p), named_struct('n', 0L, 'x', 0L),
+    return f"""transform({_cells(BITS)}, c -> aggregate(
+        filter({of}, k -> (shiftright(k, c.s) & {(1 << BITS) - 1}) = c.p), named_struct('n', 0L, 'x', 0L),
         (t, k) -> named_struct('n', t.n + 1L, 'x', t.x ^ k)))"""
 
 
+def _subtracted(first: str, second: str) -> str:
+    return f"zip_with({first}, {second}, (p, q) -> named_struct('n', p.n - q.n, 'x', p.x ^ q.x))"
+
+
+def _part_difference(part: str) -> str:
+    """The difference of the sketches of both sides of a part, summed over its signed digests."""
+    return f"""transform({_cells(PART_BITS)}, c -> aggregate(
+        filter({part}, t -> (shiftright(t.k, c.s) & {(1 << PART_BITS) - 1}) = c.p), named_struct('n', 0L, 'x', 0L),
+        (d, t) -> named_struct('n', d.n + t.s, 'x', d.x ^ t.k)))"""
+
+
 def written(cells: str) -> str:
     """A sketch as text: cells as count:digests in hexadecimal, joined by points."""
     return f"array_join(transform({cells}, c -> concat(hex(c.n), ':', hex(c.x))), '.')"
@@ -73,31 +89,32 @@ def _let(value: str, name: str, then: str) -> str:
     return f"get(transform(array({value}), {name} -> {then}), 0)"
 
 
-def _peeled(first: str, second: str) -> str:
-    """What two sketches differ in: ok, l (only in the first), r (only in the second)."""
-    left = f"zip_with({first}, {second}, (p, q) -> named_struct('n', p.n - q.n, 'x', p.x ^ q.x))"
-    alone = f"""filter(transform(s.cells, (c, i) -> named_struct('n', c.n, 'x', c.x, 'i', i)), c ->
+def _peeled(cells: str, bits: int) -> str:
+    """What a difference of sketches holds: ok, l (only in the first), r (only in the second)."""
+    width, mask = 1 << bits, (1 << bits) - 1
+    # the first cell with a single digest gives it up, and it leaves the cells that it falls into
+    alone = f"""get(filter(s.cells, (c, i) ->
         abs(c.n) = 1L and (c.x & 65535L) = {_CHECK.format("c.x")}
-        and (shiftright(c.x, 16 + 3 * (c.i div {WIDTH})) & {WIDTH - 1}) = c.i % {WIDTH})"""
-    here = f"k -> (shiftright(k, 16 + 3 * (i div {WIDTH})) & {WIDTH - 1}) = i % {WIDTH}"
-    removed = f"""transform(s.cells, (c, i) -> named_struct(
-        'n', c.n - size(filter(m.l, {here})) + size(filter(m.r, {here})),
-        'x', aggregate(filter(concat(m.l, m.r), {here}), c.x, (x, k) -> x ^ k)))"""
-    keys = "named_struct(" + ", ".join(
-        f"'{side}', array_distinct(transform(filter(u, c -> c.n = {sign}L), c -> c.x))" for side, sign in (("l", 1), ("r", -1))
-    ) + ")"
-    after = f"named_struct('cells', {removed}, 'l', concat(s.l, m.l), 'r', concat(s.r, m.r), 'done', size(m.l) + size(m.r) = 0)"
-    step = _let(alone, "u", _let(keys, "m", after))
-    start = f"named_struct('cells', {left}, 'l', {_NONE}, 'r', {_NONE}, 'done', false)"
-    rounds = f"aggregate(sequence(1, {ROWS * WIDTH + 1}), {start}, (s, round) -> if(s.done, s, {step}))"
+        and (shiftright(c.x, 16 + {bits} * (i div {width})) & {mask}) = i % {width}), 0)"""
+    cells_of = [f"{width * row} + (shiftright(u.x, {16 + bits * row}) & {mask})" for row in range(ROWS)]
+    places = "named_struct(" + ", ".join(f"'p{row}', {cell}" for row, cell in enumerate(cells_of)) + ")"
+    touched = " or ".join(f"i = w.p{row}" for row in range(ROWS))
+    removed = f"transform(s.cells, (c, i) -> if({touched}, named_struct('n', c.n - u.n, 'x', c.x ^ u.x), c))"
+    after = f"""named_struct('cells', {_let(places, "w", removed)},
+        'l', if(u.n = 1L, array_append(s.l, u.x), s.l), 'r', if(u.n = 1L, s.r, array_append(s.r, u.x)), 'done', false)"""
+    stuck = "named_struct('cells', s.cells, 'l', s.l, 'r', s.r, 'done', true)"
+    step = _let(alone, "u", f"if(u is null, {stuck}, {after})")
+    start = f"named_struct('cells', {cells}, 'l', {_NONE}, 'r', {_NONE}, 'done', false)"
+    rounds = f"aggregate(sequence(1, {ROWS * width + 1}), {start}, (s, round) -> if(s.done, s, {step}))"
     return _let(rounds, "w", "named_struct('ok', forall(w.cells, c -> c.n = 0L and c.x = 0L), 'l', w.l, 'r', w.r)")
 
 
-def _dealt(a: str, b: str, salt: str) -> str:
-    """The digests of both sides in parts of a few each, 64 parts at most."""
-    parts = f"greatest(4, least(64, (size({a}) + size({b})) div 4))"
-    mine = f"k -> pmod(xxhash64(k, {salt}), {parts}) = q"
-    return f"transform(sequence(0, {parts} - 1), q -> named_struct('a', filter({a}, {mine}), 'b', filter({b}, {mine})))"
+def _dealt(signed: str, salt: str, parts: str) -> str:
+    """Signed digests in 2 to 64 parts, by a hash that ``salt`` changes."""
+    part = f"pmod(xxhash64(t.k, {salt}), parts)"
+    numbered = f"transform({signed}, t -> named_struct('k', t.k, 's', t.s, 'q', {part}))"
+    deal = _let(numbered, "f", "transform(sequence(0L, parts - 1L), q -> filter(f, t -> t.q = q))")
+    return _let(f"greatest(2L, least(64L, {parts}))", "parts", deal)
 
 
 def differences(a: str, b: str, cells_a: str, cells_b: str) -> Column:
@@ -105,20 +122,31 @@ def differences(a: str, b: str, cells_a: str, cells_b: str) -> Column:
 
     All four name columns: digests and their sketches. Larger sketches are made where those do not suffice.
     """
+    # counts of differing digests in a cell add up like a random walk, so that their squares tell how many there are
+    excess = f"cast(size({a}) - size({b}) as bigint)"
+    squares = "aggregate(g, 0L, (t, c) -> t + c.n * c.n)"
+    differing = f"({squares} div {ROWS} - {excess} * {excess} div {1 << BITS})"
+    signed = ", ".join(f"transform({x}, k -> named_struct('k', k, 's', {sign}L, 'q', 0L))" for x, sign in ((a, 1), (b, -1)))
     start = _let(
-        _peeled(cells_a, cells_b),
-        "y",
-        f"""named_struct('l', if(y.ok, y.l, {_NONE}), 'r', if(y.ok, y.r, {_NONE}),
-            'open', if(y.ok, {_NO_PARTS}, {_dealt(a, b, "0")}))""",
+        _subtracted(cells_a, cells_b),
+        "g",
+        _let(
+            _peeled("g", BITS),
+            "y",
+            f"""named_struct('l', if(y.ok, y.l, {_NONE}), 'r', if(y.ok, y.r, {_NONE}),
+                'open', if(y.ok, {_NO_PARTS}, {_dealt(f"concat({signed})", "0", f"{differing} div 3")}))""",
+        ),
     )
-    tried = _let(_peeled(sketch("d.a"), sketch("d.b")), "y", "named_struct('ok', y.ok, 'l', y.l, 'r', y.r, 'a', d.a, 'b', d.b)")
+    tried = _let(_peeled(_part_difference("d"), PART_BITS), "y", "named_struct('ok', y.ok, 'l', y.l, 'r', y.r, 'd', d)")
     results = f"transform(z.open, d -> {tried})"
+    again = _dealt("h.d", "try", "cast(size(h.d) div 4 as bigint)")
     after = f"""named_struct(
         'l', concat(z.l, flatten(transform(filter(g, h -> h.ok), h -> h.l))),
         'r', concat(z.r, flatten(transform(filter(g, h -> h.ok), h -> h.r))),
-        'open', flatten(transform(filter(g, h -> not h.ok), h -> {_dealt("h.a", "h.b", "try")})))"""
+        'open', flatten(transform(filter(g, h -> not h.ok), h -> {again})))"""
     loop = f"aggregate(sequence(1, {TRIES}), {start}, (z, try) -> if(size(z.open) = 0, z, {_let(results, 'g', after)}))"
-    rest = [f"flatten(transform(v.open, d -> array_except(d.{x}, d.{y})))" for x, y in ("ab", "ba")]
+    side = {x: f"transform(filter(d, t -> t.s = {sign}L), t -> t.k)" for x, sign in (("l", 1), ("r", -1))}
+    rest = [f"flatten(transform(v.open, d -> array_except({side[x]}, {side[y]})))" for x, y in ("lr", "rl")]
     return F.expr(_let(loop, "v", f"named_struct('l', concat(v.l, {rest[0]}), 'r', concat(v.r, {rest[1]}))"))
 
 
