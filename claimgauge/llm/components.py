@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimgauge.sources.scratch import stage
+from claimgauge.sources.scratch import discard, stage
 
 
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -31,8 +31,11 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         moved = labels.join(near, "node").select("node", "component", F.least("component", "near").alias("new"))
         moved = stage(moved, "labels")
         if not moved.where("new < component").limit(1).count():
+            discard(both, moved)
             return labels
         # on to the label's own label
         up = moved.select(F.col("node").alias("new"), F.col("new").alias("above"))
         jumped = moved.select("node", "new").join(up, "new", "left")
+        last = labels
         labels = stage(jumped.select("node", F.least("new", F.coalesce("above", "new")).alias("component")), "labels")
+        discard(last, moved)

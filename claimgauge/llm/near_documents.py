@@ -1,29 +1,29 @@
 """Near-duplicate documents by a chosen-path similarity join over sets of word shingles.
 
 Texts with equal sets are one member. Members start at the root of several
-independent trees. A node with few members is a leaf, whose pairs are all
-compared. A larger node compares its members with one of them, the centre, and
-then branches: two of the sketch's minwise positions are chosen from the node's
-path, and a member goes into the child of its minwise token at each of them, so
-that similar members go down together. Members at similarity s share a token
-with probability s at each chosen position; with two of them per node, the
-chance to part in a whole tree stays below ``miss`` at any depth, and the number
-of trees follows from ``recall``.
-
-Candidate pairs are tested on their sketches, with a margin of four standard
-deviations, and then confirmed on the full sets of shingles. Links are few:
-in each round only pairs are confirmed whose members are not connected yet, and
-nodes whose members all are connected already are not taken further. Thus a
-group of many near copies is linked to a centre and is done, and is never
-expanded into its pairs.
-
-Trees grow until every node with unconnected members is a leaf. After
-``max_depth`` levels what is left is compared within its nodes, whatever their size: no pair is dropped.
+independent trees. In a node one of the sketch's minwise positions is chosen
+from the node's path, and by chance a second one, so that a member goes into
+1 / s children on the average, s being the threshold: into the child of its
+minwise token at each chosen position. Similar members go down together, and
+others part. A node with at most ``leaf`` members is compared exhaustively, and
+so is, after ``max_depth`` branchings, whatever is left: in blocks that are
+dealt to tasks, on sketches and sizes alone, so that no pair becomes a row that
+cannot link. Members at similarity s stay together through a whole tree with a
+probability that follows from the branching; the number of trees follows from
+that and ``recall``.
+
+Candidates of a node must agree in size and sketch, with a margin of four
+standard deviations, and are then confirmed on the full sets of shingles. Before
+anything else, members of a large node are compared with its centre, a member
+that the tree's turn chooses; nodes whose members all are connected are done.
+The first trees' links are known before the others grow. Thus a group of many near
+copies is linked to some centres and is done, and is never expanded into its pairs.
 
 Defined results: a document without words has no shingles and links with
 nothing. A text with fewer than five words is one shingle. A null doc_id stays
 by itself, with a null component, and is kept. Rows with equal doc_ids and
-texts are one member and have one verdict.
+texts are one member and have one verdict; different texts under one doc_id are
+members of their own, and do not tie each other's groups together.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimgauge.llm.components import connected
-from claimgauge.sources.scratch import stage
+from claimgauge.sources.scratch import discard, stage
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _POSITIONS = 64
@@ -51,22 +52,30 @@ class JoinPlan:
     #: linked if 100 * intersection >= percent * union
     percent: int = 75
     recall: float = 0.9999
-    leaf: int = 16
-    max_depth: int = 8
+    leaf: int = 256
+    #: members of a block, where a node is compared that has more than a leaf
+    block: int = 1024
+    max_depth: int = 3
+    #: trees whose links are confirmed before the others grow, and different centres among them
+    first_trees: int = 3
     seed: int = 5
 
     @property
-    def miss(self) -> float:
-        """Probability that two members at the threshold part somewhere in a tree: the fixed point of two choices a level."""
-        s = self.percent / 100
-        together = 1.0
-        for _ in range(200):
-            together = 1 - (1 - s * together) ** 2
-        return 1 - together
+    def second(self) -> float:
+        """Probability that a node chooses a second position."""
+        return 100 / self.percent - 1
+
+    @property
+    def together(self) -> float:
+        """Probability that two members at the threshold meet in a node of the last level of a tree."""
+        s, p = self.percent / 100, 1.0
+        for _ in range(self.max_depth + 1):
+            p = 1 - (1 - self.second) * (1 - s * p) - self.second * (1 - s * p) ** 2
+        return p
 
     @property
     def trees(self) -> int:
-        return max(1, math.ceil(math.log(1 - self.recall) / math.log(max(self.miss, 1e-9))))
+        return max(1, math.ceil(math.log(1 - self.recall) / math.log(1 - self.together)))
 
     @property
     def least_agreement(self) -> int:
@@ -138,23 +147,23 @@ def _sketch(tokens: np.ndarray) -> list[int]:
     return [int(np.sum(((bits >> np.uint64(j)) & np.uint64(1)) * weights, dtype=np.uint64).astype(np.int64)) for j in range(4)]
 
 
-_SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, tokens array<int>, s0 long, s1 long, s2 long, s3 long"
+_SIGNATURE = "doc_id long, tie long, n_shingles long, set_a long, set_b long, tokens array<int>, s0 long, s1 long, s2 long, s3 long"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     names = [f.split()[0] for f in _SIGNATURE.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()), *[pa.int64()] * 4]
+    types = [*[pa.int64()] * 5, pa.list_(pa.int32()), *[pa.int64()] * 4]
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part, rows = batch.slice(at, 500), []
-            for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+            for doc_id, text, tie in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 found = shingles(text, width)
                 if not len(found):
-                    rows.append((doc_id, 0, None, None, None, None, None, None, None))
+                    rows.append((doc_id, tie, 0, *[None] * 7))
                     continue
                 tokens = minwise(found)
                 whole = [int(np.bitwise_xor.reduce(_mixed(found * m)).astype(np.int64)) for m in _PLACES[1:3]]
-                rows.append((doc_id, len(found), *whole, tokens.view(np.int32), *_sketch(tokens)))
+                rows.append((doc_id, tie, len(found), *whole, tokens.view(np.int32), *_sketch(tokens)))
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
@@ -179,26 +188,67 @@ def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Ite
 _S = ("s0", "s1", "s2", "s3")
 
 
-def _may_link(plan: JoinPlan) -> Column:
-    """Sizes that can reach the threshold at all, and sketches that agree as linked ones do; of sides x and y."""
-    differ = F.col("x.s0").bitwiseXOR(F.col("y.s0"))
-    for part in _S[1:]:
-        differ = differ.bitwiseOR(F.col(f"x.{part}").bitwiseXOR(F.col(f"y.{part}")))
-    n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
-    sizes = 100 * F.least(n, m) >= plan.percent * F.greatest(n, m)
-    return sizes & (F.bit_count(differ) <= _POSITIONS - plan.least_agreement)
+def _likely(component, sizes, sketches, a, b, plan: JoinPlan) -> np.ndarray:
+    """Which rows of side ``a`` may link with which of side ``b``: sizes that can reach the threshold, and sketches that agree."""
+    differ = np.zeros((len(a), len(b)), dtype=np.uint64)
+    for s in sketches:
+        differ |= s[a][:, None] ^ s[b][None, :]
+    fits = np.bitwise_count(differ) <= _POSITIONS - plan.least_agreement
+    n, m = sizes[a][:, None], sizes[b][None, :]
+    fits &= 100 * np.minimum(n, m) >= plan.percent * np.maximum(n, m)
+    fits &= component[a][:, None] != component[b][None, :]
+    return fits
+
+
+def _compare(batches: Iterator[pa.RecordBatch], plan: JoinPlan) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of runs of rows with equal (node, i, j): rows of side 0 among themselves, or against side 1."""
+
+    def candidates(rows: pa.Table) -> pa.RecordBatch:
+        member, component = rows["member"].to_numpy(), rows["component"].to_numpy()
+        sizes, side = rows["n_shingles"].to_numpy(), rows["side"].to_numpy()
+        sketches = [rows[s].to_numpy().view(np.uint64) for s in _S]
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        alone = not len(b)  # a block with itself
+        fits = _likely(component, sizes, sketches, a, a if alone else b, plan)
+        x, y = np.nonzero(np.triu(fits, 1) if alone else fits)
+        one, two = member[a[x]], member[(a if alone else b)[y]]
+        low, high = np.minimum(one, two), np.maximum(one, two)
+        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+    def cut(table: pa.Table, last: bool) -> tuple[list[pa.RecordBatch], pa.Table]:
+        keys = np.stack([table[c].to_numpy() for c in ("node", "i", "j")])
+        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()]
+        if last:
+            edges.append(table.num_rows)
+        return [candidates(table.slice(x, y - x)) for x, y in zip(edges, edges[1:], strict=False)], table.slice(edges[-1])
+
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        held = table if held is None or not held.num_rows else pa.concat_tables([held, table]).combine_chunks()
+        if held.num_rows:
+            found, held = cut(held, False)
+            yield from found
+    if held is not None and held.num_rows:
+        yield from cut(held, True)[0]
 
 
 def _children(rows: DataFrame, plan: JoinPlan, level: int) -> DataFrame:
-    """Each row goes into the children of two positions, chosen from its node's path."""
-    pick = F.pmod(F.xxhash64("node", F.lit(f"{plan.seed}:{level}")), F.lit(_POSITIONS)).cast("int")
-    step = F.pmod(F.xxhash64("node", F.lit(f"{plan.seed}:{level}:b")), F.lit(_POSITIONS - 1)).cast("int") + 1
-    positions = F.array(pick, F.pmod(pick + step, F.lit(_POSITIONS)))
+    """Each row goes into the children of one or two positions, chosen from its node's path."""
+
+    def drawn(what: str, n: int) -> Column:
+        return F.pmod(F.xxhash64("node", F.lit(f"{plan.seed}:{level}:{what}")), F.lit(n)).cast("int")
+
+    pick, step = drawn("a", _POSITIONS), drawn("b", _POSITIONS - 1) + 1
+    two = F.array(pick, F.pmod(pick + step, F.lit(_POSITIONS)))
+    positions = F.when(drawn("c", 1 << 20) < int(plan.second * (1 << 20)), two).otherwise(F.array(pick))
     nodes = F.transform(positions, lambda i: F.xxhash64("node", i, F.get("tokens", i)))
     return rows.withColumn("node", F.explode(nodes))
 
 
 class _Join:
+    """``texts``: tie, doc_id and text; ``members``: member, rep (doc_id and tie of one of its texts), n_shingles, tokens, sketch."""
+
     def __init__(self, texts: DataFrame, members: DataFrame, plan: JoinPlan) -> None:
         self.texts, self.members, self.plan = texts, members, plan
         self.labels: DataFrame | None = None
@@ -210,94 +260,139 @@ class _Join:
         labels = self.labels.select(F.col("node").alias("member"), F.col("component").alias("label"))
         return rows.join(labels, "member", "left").withColumn("component", F.coalesce("label", "member")).drop("label")
 
-    def live(self, rows: DataFrame, name: str) -> DataFrame:
-        """Rows (member, node) of nodes whose members are not all connected yet, with component, size and centre."""
-        rows = stage(self.with_component(rows), f"{name}-rows")
-        # one order of members for all nodes, so that trees agree on centres
-        centre = F.min_by("member", F.struct(F.xxhash64("member"), "member"))
+    def live(self, rows: DataFrame, turn: int = 0) -> DataFrame:
+        """Rows (member, node, turn) of nodes whose members are not all connected yet, with component, size and centre."""
+        rows = stage(self.with_component(rows), "path-rows")
+        # one order of members for all nodes of a turn, so that its trees agree on centres
+        centre = F.min_by("member", F.struct(F.xxhash64("member", "turn", F.lit(turn)), "member"))
         nodes = rows.groupBy("node").agg(
             F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"), centre.alias("centre")
         )
-        nodes = stage(nodes.where("low <> high").select("node", "n", "centre"), f"{name}-nodes")
-        return stage(rows.join(nodes, "node"), f"{name}-live")
+        nodes = stage(nodes.where("low <> high").select("node", "n", "centre"), "path-nodes")
+        found = stage(rows.join(nodes, "node"), "path-live")
+        discard(rows, nodes)
+        return found
 
-    def likely(self, pairs: DataFrame) -> DataFrame:
-        """Those distinct pairs (a, b) that sizes and sketches allow to link."""
-        pairs = stage(pairs.select("a", "b").distinct(), "near-candidates")
+    def compared(self, live: DataFrame) -> DataFrame:
+        """Candidate pairs of whole nodes, in blocks of their members."""
+        plan = self.plan
+        rows = live.select("node", "member", "component", "n").join(self.members.select("member", "n_shingles", *_S), "member")
+        blocks = F.ceil(F.col("n") / plan.block).cast("int")
+        rows = rows.withColumn("blocks", F.when(F.col("n") <= plan.leaf, 1).otherwise(blocks))
+        rows = rows.withColumn("own", F.pmod(F.xxhash64("member", "node"), F.col("blocks")).cast("int"))
+        # block i meets every block j >= i: a member is side 0 where its block is i, and side 1 where it is j > i
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        rows = rows.select(
+            "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            (F.col("own") > F.col("other")).cast("int").alias("side"), "member", "component", "n_shingles", *_S,
+        )
+        dealt = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
+        pairs = dealt.mapInArrow(lambda batches: _compare(batches, plan), "a long, b long")
+        return stage(pairs.distinct(), "near-candidates")
+
+    def centre_pairs(self, live: DataFrame) -> DataFrame:
+        """Candidate pairs of a large node's centre with each of its members."""
+        pairs = live.where(F.col("n") > self.plan.leaf).where("member <> centre")
+        pairs = stage(pairs.select(F.least("centre", "member").alias("a"), F.greatest("centre", "member").alias("b")).distinct(), "near-centres")
         sketch = F.struct("n_shingles", *_S)
         full = pairs.join(self.members.select(F.col("member").alias("b"), sketch.alias("y")), "b")
         full = full.join(self.members.select(F.col("member").alias("a"), sketch.alias("x")), "a")
-        return stage(full.where(_may_link(self.plan)).select("a", "b"), "near-pairs")
+        found = stage(full.where(_may_link(self.plan)).select("a", "b"), "near-candidates")
+        discard(pairs)
+        return found
 
-    def confirm(self, pairs: DataFrame) -> None:
+    def confirm(self, parts: list[DataFrame]) -> None:
         """Adds those candidate pairs that are links, and brings the components up to date."""
-        wanted = stage(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-wanted")
+        pairs = parts[0]
+        if len(parts) > 1:
+            pairs = stage(reduce(DataFrame.union, parts).distinct(), "near-pairs")
+            discard(*parts)
+        wanted = pairs.select(F.col("a").alias("member")).union(pairs.select("b")).distinct()
+        wanted = stage(wanted.join(self.members.select("member", "rep"), "member").select("member", "rep.*"), "near-wanted")
         # written, so that both joins read a table and a centre with very many pairs can be split
-        texts = stage(self.texts.join(wanted, "doc_id", "left_semi"), "near-texts")
-        full = pairs.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
-        full = full.join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a").select("a", "b", "text_a", "text_b")
+        texts = self.texts.join(wanted, ["doc_id", "tie"]).groupBy("member").agg(F.first("text").alias("text"))
+        texts = stage(texts, "near-texts")
+        full = pairs.join(texts.withColumnsRenamed({"member": "b", "text": "text_b"}), "b")
+        full = full.join(texts.withColumnsRenamed({"member": "a", "text": "text_a"}), "a").select("a", "b", "text_a", "text_b")
         width, percent = self.plan.width, self.plan.percent
         found = stage(full.mapInArrow(lambda batches: _confirm(batches, width, percent), "a long, b long"), "near-links")
+        discard(pairs, wanted, texts)
+        links = found
         if self.labels is not None:
-            found = found.union(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        self.labels = connected(found)
-
-    def branch(self, rows: DataFrame, level: int) -> DataFrame:
-        """Rows (member, node) one level further down."""
-        with_tokens = rows.select("member", "node").join(self.members.select("member", "tokens"), "member")
-        return _children(with_tokens, self.plan, level).select("member", "node")
-
-    @staticmethod
-    def centre_pairs(live: DataFrame) -> DataFrame:
-        return live.where("member <> centre").select(F.col("centre").alias("a"), F.col("member").alias("b"))
-
-    @staticmethod
-    def leaf_pairs(leaves: DataFrame) -> DataFrame:
-        one = leaves.select("node", F.col("component").alias("ca"), F.col("member").alias("a"))
-        two = leaves.select("node", F.col("component").alias("cb"), F.col("member").alias("b"))
-        return one.join(two, "node").where("a < b and ca <> cb").select("a", "b")
-
-    def run(self) -> DataFrame:
+            links = found.union(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+        before, self.labels = self.labels, connected(links)
+        discard(found)
+        if before is not None:
+            discard(before)
+
+    def grow(self, trees: range) -> None:
+        """Grows these trees, and confirms what they find; the first of all tell large nodes' centres first."""
         plan = self.plan
-        roots = F.explode(F.array(*(F.lit(t).cast("long") for t in range(plan.trees))))
-        rows = _children(self.members.select("member", "tokens", roots.alias("node")), plan, 0).select("member", "node")
-        live = self.live(rows, "path-0")
-        self.confirm(self.likely(self.centre_pairs(live)))
-        # what the centres did not connect
-        live = self.live(live.select("member", "node"), "path-1")
-        pairs = None
-        for level in range(1, plan.max_depth + 1):
-            last = level == plan.max_depth
-            more = self.leaf_pairs(live if last else live.where(F.col("n") <= plan.leaf))
-            large = None if last else live.where(F.col("n") > plan.leaf)
-            if large is not None:
-                more = more.union(self.centre_pairs(large))
-            more = self.likely(more)
-            pairs = more if pairs is None else pairs.union(more)
-            if large is None or not large.limit(1).count():
+        roots = F.explode(F.array(*(F.lit(t).cast("long") for t in trees)))
+        rows = self.members.select("member", "tokens", roots.alias("node"))
+        rows = rows.withColumn("turn", F.pmod("node", F.lit(plan.first_trees)).cast("int"))
+        live = self.live(_children(rows, plan, 0).drop("tokens"))
+        if self.labels is None:
+            self.confirm([self.centre_pairs(live)])
+            last, live = live, self.live(live.select("member", "node", "turn"))
+            discard(last)
+        found = []
+        for level in range(plan.max_depth + 1):
+            whole = level == plan.max_depth
+            found.append(self.compared(live if whole else live.where(F.col("n") <= plan.leaf)))
+            large = live.where(F.col("n") > plan.leaf)
+            if whole or not large.limit(1).count():
                 break
-            live = self.live(self.branch(large, level), f"path-{level + 1}")
-        self.confirm(stage(pairs.distinct(), "near-pairs"))
+            with_tokens = large.select("member", "node", "turn").join(self.members.select("member", "tokens"), "member")
+            last, live = live, self.live(_children(with_tokens, plan, level + 1).drop("tokens"), level + 1)
+            discard(last)
+        discard(live)
+        self.confirm(found)
+
+    def run(self) -> DataFrame:
+        trees, first = self.plan.trees, min(self.plan.first_trees, self.plan.trees)
+        self.grow(range(first))
+        if first < trees:
+            self.grow(range(first, trees))
         return self.labels
 
 
+def _may_link(plan: JoinPlan) -> Column:
+    """Sizes that can reach the threshold at all, and sketches that agree as linked ones do; of sides x and y."""
+    differ = F.col("x.s0").bitwiseXOR(F.col("y.s0"))
+    for part in _S[1:]:
+        differ = differ.bitwiseOR(F.col(f"x.{part}").bitwiseXOR(F.col(f"y.{part}")))
+    n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
+    sizes = 100 * F.least(n, m) >= plan.percent * F.greatest(n, m)
+    return sizes & (F.bit_count(differ) <= _POSITIONS - plan.least_agreement)
+
+
 def near_duplicates(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id and kept (whether it is its component's smallest id)."""
-    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
+    return members_of(docs, plan, text, key).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def members_of(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text", key: str = "doc_id") -> DataFrame:
+    """As :func:`near_duplicates`, with ``tie``, the hash of the row's text."""
+    body = F.col(f"`{text}`")
+    rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("tie"))
     width = plan.width
     signed = stage(rows.mapInArrow(lambda batches: _signatures(batches, width), _SIGNATURE), "near-signatures")
-    # equal sets are one member, named by its smallest id
-    sets = signed.where("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b", "n_shingles").agg(
-        F.min("doc_id").alias("member"), F.min_by(F.struct("tokens", *_S), "doc_id").alias("of")
+    # equal sets are one member, whatever their ids
+    same = ["set_a", "set_b", "n_shingles"]
+    sets = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*same).agg(
+        F.min(F.struct("doc_id", "tie")).alias("rep"), F.min_by(F.struct("tokens", *_S), F.struct("doc_id", "tie")).alias("of")
     )
-    sets = stage(sets.select("set_a", "set_b", "n_shingles", "member", "of.*"), "near-sets")
-    join = _Join(rows, sets.select("member", "n_shingles", "tokens", *_S), plan)
-    labels = join.run()
-    named = sets.select("set_a", "set_b", "n_shingles", "member").join(
+    sets = stage(sets.select(*same, "rep", "of.*").withColumn("member", F.monotonically_increasing_id()), "near-sets")
+    labels = _Join(rows, sets.select("member", "rep", "n_shingles", "tokens", *_S), plan).run()
+    named = sets.select(*same, "member", F.col("rep.doc_id").alias("low")).join(
         labels.select(F.col("node").alias("member"), "component"), "member", "left"
     )
-    named = stage(named.select("set_a", "set_b", "n_shingles", F.coalesce("component", "member").alias("found")), "near-named")
-    out = signed.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b", "n_shingles"], "left")
+    named = stage(named, "near-named")
+    lowest = stage(named.where("component is not null").groupBy("component").agg(F.min("low").alias("least")), "near-lowest")
+    named = stage(named.join(lowest, "component", "left").select(*same, F.coalesce("least", "low").alias("found")), "near-components")
+    discard(sets, lowest)
+    out = signed.select("doc_id", "tie", *same).join(named, same, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select("doc_id", "tie", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

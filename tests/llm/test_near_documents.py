@@ -72,7 +72,7 @@ def test_many_near_copies_and_a_shared_passage(spark):
         rows.append((i, " ".join(passage + [word() for _ in range(rng.choice([4, 8, 12, 60]))])))
     rng.shuffle(rows)
     check(spark, rows, leaf=4)
-    check(spark, rows, leaf=2, max_depth=2)
+    check(spark, rows, leaf=2, max_depth=2, block=3)
 
 
 def test_edge_rows(spark):
@@ -93,8 +93,49 @@ def test_edge_rows(spark):
 
 def test_recall_follows_from_the_number_of_trees():
     plan = near_documents.JoinPlan()
-    assert abs(plan.miss - (0.25 + 0.75 * plan.miss) ** 2) < 1e-9
-    assert plan.miss**plan.trees <= 1 - plan.recall
+    assert plan.second == pytest.approx(1 / 3)
+    p = 1.0
+    for _ in range(plan.max_depth + 1):  # one child, or by a third two, and 0.75 to share its token
+        p = 2 / 3 * 0.75 * p + 1 / 3 * (1 - (1 - 0.75 * p) ** 2)
+    assert plan.together == pytest.approx(p)
+    assert (1 - p) ** plan.trees <= 1 - plan.recall
+
+
+def pairs_at(rng, n, low, high):
+    """Pairs of texts of distinct words whose sets have a similarity within the bounds."""
+    out = []
+    while len(out) < n:
+        words = [f"p{len(out)}x{rng.random()}" for _ in range(rng.randrange(80, 200))]
+        copy = list(words)
+        for _ in range(rng.randrange(1, 8)):
+            copy[rng.randrange(len(copy))] = f"q{rng.random()}"
+        a, b = shingle_set(" ".join(words)), shingle_set(" ".join(copy))
+        if low <= len(a & b) / len(a | b) < high:
+            out.append((" ".join(words), " ".join(copy)))
+    return out
+
+
+@pytest.mark.parametrize("settings", [{}, {"leaf": 1, "block": 4}])
+def test_pairs_near_the_threshold_are_found(spark, settings):
+    """Measured on the operator, sketch filter included, for small nodes and for nodes that branch to the end."""
+    rng = random.Random(9)
+    near, apart = pairs_at(rng, 400, 0.75, 0.8), pairs_at(rng, 100, 0.65, 0.75)
+    rows = [(i, t) for i, t in enumerate(t for pair in near + apart for t in pair)]
+    out = near_documents.near_duplicates(spark.createDataFrame(rows, SCHEMA), near_documents.JoinPlan(**settings)).collect()
+    component = {r.doc_id: r.component_id for r in out}
+    found = sum(component[2 * k] == component[2 * k + 1] for k in range(400))
+    assert found >= 399
+    assert all(component[2 * k] != component[2 * k + 1] for k in range(400, 500))
+
+
+def test_an_id_of_several_texts_does_not_tie_their_groups(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    rows = [(1, a), (1, b), (2, b + " more"), (3, a + " more"), (4, "else " * 9)]
+    out = near_documents.members_of(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in out) == [(1, 56, 1), (1, 56, 1), (2, 57, 1), (3, 57, 1), (4, 1, 4)]
+    rows = [(7, a), (7, b), (2, b + " more"), (3, a + " more")]
+    out = near_documents.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in out) == [(2, 2), (3, 3), (7, 2), (7, 3)]
 
 
 @pytest.mark.parametrize("seed", range(2))
