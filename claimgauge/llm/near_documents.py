@@ -373,7 +373,10 @@ def near_duplicates(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "t
 
 
 def members_of(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text", key: str = "doc_id") -> DataFrame:
-    """As :func:`near_duplicates`, with ``tie``, the hash of the row's text."""
+    """As :func:`near_duplicates`, with ``tie``, the hash of the row's text, and ``group``.
+
+    Linked rows have one group, which no others have, even where ids repeat; it is null for rows without shingles or id.
+    """
     body = F.col(f"`{text}`")
     rows = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), body.alias("text"), F.xxhash64(body).alias("tie"))
     width = plan.width
@@ -390,9 +393,11 @@ def members_of(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text",
     )
     named = stage(named, "near-named")
     lowest = stage(named.where("component is not null").groupBy("component").agg(F.min("low").alias("least")), "near-lowest")
-    named = stage(named.join(lowest, "component", "left").select(*same, F.coalesce("least", "low").alias("found")), "near-components")
+    group = F.coalesce("component", "member").alias("group")
+    named = stage(named.join(lowest, "component", "left").select(*same, F.coalesce("least", "low").alias("found"), group), "near-components")
     discard(sets, lowest)
     out = signed.select("doc_id", "tie", *same).join(named, same, "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    out = out.select("doc_id", "tie", "n_shingles", component.alias("component_id"))
+    known = F.col("doc_id").isNotNull()
+    component = F.when(known, F.coalesce("found", "doc_id")).alias("component_id")
+    out = out.select("doc_id", "tie", "n_shingles", component, F.when(known, F.col("group")).alias("group"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

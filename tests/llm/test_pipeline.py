@@ -62,3 +62,13 @@ def test_odd_rows_pass_through_every_stage(spark, documents, sf_dir):
             if name != "sentence_pieces":
                 assert frame.columns == docs.columns
         assert frame.count() >= 0
+
+
+def test_texts_of_one_id_are_judged_apart(spark, documents, sf_dir):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    texts = [(7, a), (7, b), (8, b + " more"), (9, a + " more"), (3, c), (3, c), (3, c + " end"), (4, ""), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in texts], documents.schema)
+    out = dict(pipeline.STAGES)["near_dedup"](spark, docs, sf_dir).collect()
+    kept = sorted(((r.doc_id, r.text) for r in out), key=str)
+    assert [i for i, _ in kept].count(7) == 2 and {t for i, t in kept if i == 7} == {a, b}
+    assert len([1 for i, _ in kept if i == 3]) == 1 and {i for i, _ in kept} == {3, 4, 7}
