@@ -29,15 +29,19 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays, and one row of each document."""
-    found = near_documents.near_duplicates(docs).where("kept").select("doc_id")
-    found = stage(found.where("doc_id is not null").distinct(), "kept-documents")
-    alone = docs.where("doc_id is null")
-    # rows with one id are one document; of several texts under it the first in order stays
-    row = F.struct("text", *(F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")))
-    known = docs.where("doc_id is not null").join(found, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(row).alias("row"))
-    first = known.select(*(F.col("doc_id") if c == "doc_id" else F.col("row").getField(c).alias(c) for c in docs.columns))
-    return first.unionByName(alone)
+    """One document of each group of near duplicates stays: the first by id and text; repeated rows are one document."""
+    found = stage(near_documents.members_of(docs).where("doc_id is not null").select("doc_id", "tie", "group"), "near-groups")
+    first = found.where("group is not null").groupBy("group").agg(F.min(F.struct("doc_id", "tie")).alias("first"))
+    kept = first.select("first.*").union(found.where("group is null").select("doc_id", "tie").distinct())
+    kept = stage(kept, "kept-documents").withColumnsRenamed({"doc_id": "kept_id", "tie": "kept_tie"})
+    # of equal ids and texts the first row in order stays
+    rows = docs.where("doc_id is not null").select(
+        F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), F.struct("text", *(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("row")
+    )
+    rows = rows.join(kept, (F.col("id") == F.col("kept_id")) & (F.col("tie") == F.col("kept_tie")), "left_semi")
+    single = rows.groupBy("id", "tie").agg(F.min("row").alias("row"))
+    single = single.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
+    return single.unionByName(docs.where("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
