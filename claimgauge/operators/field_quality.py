@@ -16,6 +16,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from claimgauge.functions import verdicts as V
 from claimgauge.functions.run_stamp import RunMeta
@@ -198,6 +199,21 @@ def _count_by_value(frame: DataFrame, checks: Sequence[FieldCheck], as_of: str,
     )
 
 
+#: kinds whose rules look at a value as it is; all others compare it with text
+_TYPED_KINDS = ("date_range", "positive_number", "not_null")
+
+
+def _as_text(frame: DataFrame, checks: Sequence[FieldCheck]) -> DataFrame:
+    """Codes as text, whatever type the table gives them: 0450 and 450 are told apart only by text columns."""
+    wanted = {c.field for c in checks if c.kind not in _TYPED_KINDS}
+    if any(c.gate for c in checks):
+        wanted.add("claim_type")
+    if any(c.kind == "drg" for c in checks):
+        wanted.add("drg_code_type")
+    typed = {f.name: f.dataType for f in frame.schema.fields if f.name in wanted}
+    return frame.withColumns({n: F.col(n).cast("string") for n, kind in typed.items() if not isinstance(kind, StringType)})
+
+
 def _tally(
     sources: Sources,
     checks: Iterable[FieldCheck],
@@ -214,7 +230,8 @@ def _tally(
             continue
         by_value = [c for c in mine if not set(c.code_sets) <= codes.places.keys()]
         beside = [c for c in mine if c not in by_value]
-        frame, copies = _with_broadcast_lookups(sources.table(model), beside, codes)
+        table = _as_text(sources.table(model), mine)
+        frame, copies = _with_broadcast_lookups(table, beside, codes)
         counted = [
             _Counted(c, verdict(c, as_of, f"{copies[c]} is not null"), f"coalesce({copies[c]}, 1L)")
             if c in copies
@@ -225,7 +242,7 @@ def _tally(
         parts.append(_count_side_by_side(frame, counted))
         if by_value:
             split = True
-            parts.append(_count_by_value(sources.table(model), by_value, as_of, codes))
+            parts.append(_count_by_value(table, by_value, as_of, codes))
     if not parts:
         raise ValueError("no checks given")
     tally = reduce(DataFrame.unionByName, parts)

@@ -142,6 +142,17 @@ def test_repeated_codes_inflate_every_class(spark, limit):
     assert (row.valid_rows, row.null_rows, row.invalid_rows, row.total_rows) == (7, 5, 1, 13)
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_codes_of_other_types_are_compared_as_text(spark, limit):
+    rows = spark.sql("select 'S' as data_source, 'P' as payer, 'X' as plan, 1 as claim_type, code as hcpcs_code from values (12), (13), (null) as t(code)")
+    sources = Sources.from_frames({C.MEDICAL: rows} | sets(spark, hcpcs_level_2=("hcpcs", ["12"])))
+    checks = [c for c in C.VALIDITY if c.field == "hcpcs_code"]
+    (row,) = validity_summary(sources, RUN, checks, AS_OF, limit).collect()
+    assert (row.valid_rows, row.invalid_rows, row.null_rows) == (1, 1, 1)
+    (row,) = completeness_summary(sources, RUN, [c for c in C.COMPLETENESS if c.field == "hcpcs_code"]).collect()
+    assert (row.non_null_rows, row.null_rows) == (2, 1)
+
+
 def test_state_values_are_distinct_over_three_columns(spark):
     states = spark.createDataFrame(
         [("N1", "One", "01"), ("N1", "N1", "01"), ("N2", None, "02")],
