@@ -11,7 +11,8 @@ multinomial logistic regression that knows the licence families and an unknown
 class. It is trained on notices, on notices with words left out and words
 around them, on sentences that only look like notices, and on paragraphs of the
 corpus without any licence word. Whether a paragraph is known at all is a
-probability calibrated on variants that training did not see. A prediction
+probability, calibrated on whole notices and sentences that a first model has
+not seen in any variant. A prediction
 is confirmed by the family's templates: the share of a template's word triples
 that the paragraph holds has to reach ``least_coverage``.
 
@@ -21,7 +22,8 @@ none of its features, and is unknown without being looked at further. What
 is left of a paragraph is counted per document and place, so that a hot source or a notice in
 very many documents is no group of its own.
 
-Training reads about ``sample_docs`` documents, chosen by a hash.
+Training reads about ``sample_docs`` whole documents, chosen by a hash of the
+text, and of their distinct paragraphs about ``sample_paragraphs``, chosen by a hash as well.
 
 Defined results: null and empty texts have no paragraph and no licence. Rows
 with equal doc_id and text get the same result each.
@@ -52,6 +54,7 @@ class ScanPlan:
     line_break: str = "\n"
     vocabulary: int = 4000
     sample_docs: int = 300
+    sample_paragraphs: int = 6000
     variants: int = 12
     least_known: float = 0.5
     least_coverage: float = 0.5
@@ -85,8 +88,8 @@ def grams(words: str, most: int = 3, least: int = 1) -> Column:
     return F.array_distinct(F.concat(*(runs(n) for n in range(least, most + 1))))
 
 
-def _variants(plan: ScanPlan) -> list[tuple[str, str, int]]:
-    """Made-up paragraphs: text, family or unknown, number of the variant."""
+def _variants(plan: ScanPlan) -> list[tuple[str, str, int, int]]:
+    """Made-up paragraphs: text, family or unknown, number of the variant, and of the notice or sentence behind it."""
     rng, out = random.Random(plan.seed), []
     filler = "the of and to in that it was for on are as with his they at one have this from or had by hot some what there".split()
 
@@ -96,40 +99,44 @@ def _variants(plan: ScanPlan) -> list[tuple[str, str, int]]:
         return " ".join(before + words + after)
 
     known = [(f, t) for f, texts in NOTICES.items() for t in texts]
-    for family, text in known + [(UNKNOWN, t) for t in LOOKALIKES]:
-        out.append((text, family, 0))
+    for notice, (family, text) in enumerate(known + [(UNKNOWN, t) for t in LOOKALIKES]):
+        out.append((text, family, 0, notice))
         for n in range(1, plan.variants):
             words = text.split()
             gone = rng.choice([0, 0.05, 0.15])
             left = [w for w in words if rng.random() >= gone or w.lower().strip(".,") in (family.lower(), "license")]
-            out.append((around(left), family, n))
+            out.append((around(left), family, n, notice))
     for n in range(plan.variants * 10):  # words of notices in no order
         words = [w for _ in range(2) for w in rng.choice(known)[1].split()]
-        out.append((around(rng.sample(words, min(len(words), rng.randint(1, 6)))), UNKNOWN, n % plan.variants))
+        out.append((around(rng.sample(words, min(len(words), rng.randint(1, 6)))), UNKNOWN, n % plan.variants, n))
     return out
 
 
 def train(docs: DataFrame, plan: ScanPlan = ScanPlan(), text: str = "text") -> ScanModel:
     spark = docs.sparkSession
     body = docs.select(F.col(f"`{text}`").alias("body")).where("body is not null")
-    sample = bounded_sample(body.select(F.xxhash64("body").alias("hash"), F.substring("body", 1, 4000).alias("part")), plan.sample_docs, "hash")
-    plain = sorted({p for r in sample for p in r.part.split(plan.line_break) if p.strip()})
-    plain = [p for p in plain if not any(w in p.lower() for w in ("licen", "copyright", "spdx", "public domain"))]
-    rows = _variants(plan) + [(p, UNKNOWN, i % plan.variants) for i, p in enumerate(plain[: 20 * plan.sample_docs])]
+    share = min(1.0, plan.sample_docs / max(1, body.count()))
+    chosen = body.where(F.pmod(F.xxhash64("body"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    parts = chosen.select(F.explode(F.split("body", plan.line_break)).alias("part")).distinct()
+    licensed = F.regexp(F.lower("part"), F.lit("licen|copyright|spdx|public domain"))
+    parts = stage(parts.where(~licensed).where(F.regexp("part", F.lit(r"\S"))), "licence-plain")
+    plain = sorted(r.part for r in bounded_sample(parts, plan.sample_paragraphs, "part"))
+    rows = _variants(plan) + [(p, UNKNOWN, i % plan.variants, i) for i, p in enumerate(plain)]
     families = [*NOTICES, UNKNOWN]
-    made = spark.createDataFrame([(t, float(families.index(f)), n) for t, f, n in rows], "body string, label double, variant int")
-    words = stage(made.select(word_list(F.col("body")).alias("words"), "label", "variant"), "licence-training")
+    made = spark.createDataFrame([(t, float(families.index(f)), n, k) for t, f, n, k in rows], "body string, label double, variant int, notice int")
+    words = stage(made.select(word_list(F.col("body")).alias("words"), "label", "variant", "notice"), "licence-training")
     telling = sorted({w for r in words.where("variant = 0 and label < " + str(len(NOTICES))).select("words").collect() for w in r.words} - set(PLAIN_WORDS))
-    featured = words.select(_telling_grams("words", telling).alias("grams"), "label", "variant")
+    featured = words.select(_telling_grams("words", telling).alias("grams"), "label", "notice")
     counter = CountVectorizer(inputCol="grams", outputCol="features", vocabSize=plan.vocabulary, minDF=2, binary=True).fit(featured)
-    ready = stage(counter.transform(featured).select("features", "label", "variant"), "licence-features")
-    held = F.col("variant") % 4 == 3
+    ready = stage(counter.transform(featured).select("features", "label", "notice"), "licence-features")
+    # a quarter of the notices and sentences, with all their variants
+    held = F.pmod(F.xxhash64("notice"), F.lit(4)) == 3
     fitted = LogisticRegression(family="multinomial", regParam=0.002, elasticNetParam=0.3, maxIter=60, standardization=False)
-    model = fitted.fit(ready.where(~held))
+    model = fitted.fit(ready)
     matrix, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray().tolist()
     weights = [(gram, *map(float, matrix[:, i])) for i, gram in enumerate(counter.vocabulary) if abs(matrix[:, i]).max() > 1e-6]
-    # calibration: how far the best family is above unknown, on variants that training has not seen
-    logits = model.transform(ready.where(held)).select("rawPrediction", "label")
+    # calibration: how far the best family is above unknown, where a model has not seen the notice
+    logits = fitted.fit(ready.where(~held)).transform(ready.where(held)).select("rawPrediction", "label")
     from pyspark.ml.functions import vector_to_array
 
     z = vector_to_array("rawPrediction")

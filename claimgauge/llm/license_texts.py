@@ -7,12 +7,22 @@ NOTICES = {
         "SPDX-License-Identifier: MIT",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
+        'Released under the MIT Licence.',
+        'The MIT License (MIT)',
+        '@license MIT',
+        'The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.',
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS",
+        'Apache License Version 2.0, January 2004',
+        'Released under the Apache 2.0 License.',
+        '@license Apache-2.0',
+        'You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
+        'WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
     ],
     "GPL": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -20,32 +30,81 @@ NOTICES = {
         "SPDX-License-Identifier: GPL-2.0-only",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
         "Released under the GNU GPL version 2.",
+        'GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007',
+        '@license GPL-3.0-or-later',
+        'You should have received a copy of the GNU General Public License along with this program.',
+        'This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.',
     ],
     "LGPL": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+        'GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007',
+        '@license LGPL-3.0-or-later',
+        'You should have received a copy of the GNU Lesser General Public License along with this library.',
     ],
     "AGPL": [
         "Licensed under the GNU Affero General Public License, version 3.",
         "SPDX-License-Identifier: AGPL-3.0-only",
         "You should have received a copy of the GNU Affero General Public License along with this program.",
+        'GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007',
+        '@license AGPL-3.0-only',
+        'it under the terms of the GNU Affero General Public License as published by the Free Software Foundation',
     ],
     "MPL": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
         "Licensed under the Mozilla Public License 2.0.",
+        'Mozilla Public License Version 2.0',
+        '@license MPL-2.0',
+        'If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.',
     ],
     "BSD": [
         "Released under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-2-Clause",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
         "Licensed under the simplified BSD license.",
+        'Released under the BSD 2-Clause License.',
+        '@license BSD-3-Clause',
+        'The 3-Clause BSD License',
+        'Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.',
+        'Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.',
+        'Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.',
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.',
     ],
     "ISC": [
         "Released under the ISC License.",
         "SPDX-License-Identifier: ISC",
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        '@license ISC',
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.',
+    ],
+    "EPL": [
+        'Eclipse Public License - v 2.0',
+        'Eclipse Public License - v 1.0',
+        'SPDX-License-Identifier: EPL-2.0',
+        '@license EPL-2.0',
+        'This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0',
+        'THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE',
+    ],
+    "Zlib": [
+        'Released under the zlib License.',
+        'SPDX-License-Identifier: Zlib',
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        'Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:',
+        'The origin of this software must not be misrepresented; you must not claim that you wrote the original software.',
+        'Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.',
+    ],
+    "BSL-1.0": [
+        'Distributed under the Boost Software License, Version 1.0.',
+        'SPDX-License-Identifier: BSL-1.0',
+        'Boost Software License - Version 1.0 - August 17th, 2003',
+        'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license',
+    ],
+    "Artistic-2.0": [
+        'Licensed under the Artistic License 2.0.',
+        'SPDX-License-Identifier: Artistic-2.0',
+        'You may redistribute it under the terms of the Artistic License 2.0.',
     ],
     "CC-BY": [
         "Licensed under CC BY 4.0.",
@@ -100,6 +159,16 @@ LOOKALIKES = [
     "Software license fees rose by 4.0 percent.",
     "Commercial use of the lake is not permitted.",
     "The notice was published under the apache pine.",
+    'The eclipse was public and could be seen without a licence.',
+    'An artistic programme was distributed under the terms of the festival.',
+    'The warranty covers damages to the engine for two years.',
+    'In no event was the driver held liable for the damages.',
+    'The author disclaims any connection with the company.',
+    'She gave a boost to the software version.',
+    'The above conditions apply to the list of materials.',
+    'Neither the name of the street nor the number of the house was known.',
+    'Permission was granted to anyone who asked.',
+    'Mozilla and Eclipse are names of programs.',
 ]
 
 # Words that say nothing about a licence by themselves.

@@ -94,3 +94,53 @@ def test_wrapped_notices(spark, model):
     # comment marks alone break paragraphs
     out = families(spark, model, ["/*\n" + "\n".join(" * " + x for x in t.split("\n")) + "\n */\nint main() {\n}" for t in WRAPPED.values()])
     assert [out[i].family for i in range(len(WRAPPED))] == list(WRAPPED)
+
+
+def test_notices_beyond_the_first_line(spark, model):
+    """Parts of licence texts as they are published, in other line lengths, and short forms."""
+    texts = {
+        "MIT": """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+        "MPL": "Mozilla Public License Version 2.0",
+        "EPL": "Eclipse Public License - v 2.0",
+        "Zlib": """  This software is provided 'as-is', without any express or implied
+  warranty. In no event will the authors be held liable for any damages
+  arising from the use of this software.""",
+        "BSD": "@license BSD-3-Clause",
+    }
+    out = families(spark, model, list(texts.values()))
+    assert [out[i].family for i in range(len(texts))] == list(texts)
+    out = families(spark, model, ["Released under the MIT Licence", "the warranty of the software is provided by the holders of the copyright"])
+    assert out[0].family == "MIT" and out[1].n_confirmed == 0
+
+
+def test_features_and_coverage_against_plain_python(spark, model):
+    """Scores, templates and coverage of paragraphs of one line, computed without Spark."""
+    import math
+
+    texts = [t for part in NOTICES.values() for t in part][::3] + LOOKALIKES[::4] + ["Licensed, said the fox, under the MIT license of old", "GNU GNU public"]
+    weight = {row[0]: row[1:] for row in model.weights}
+    templates = {}
+    for r in scan.templates(spark).collect():
+        templates.setdefault((r.family, r.template), set()).add(r.gram)
+    want = {}
+    for i, text in enumerate(texts):
+        words = re.findall(r"[a-z0-9]+(?:\.[0-9]+)*", text.lower())
+        grams = {" ".join(words[k : k + n]) for n in (1, 2, 3) for k in range(len(words) - n + 1)}
+        hit = [weight[g] for g in grams if g in weight]
+        if not hit or not set(words) & set(model.telling):
+            continue
+        logits = [b + sum(h[j] for h in hit) for j, b in enumerate(model.intercepts)]
+        best, family = max((x, f) for x, f in zip(logits[:-1], model.families, strict=False))
+        score = 1 / (1 + math.exp(-(model.known[0] + model.known[1] * (best - logits[-1]))))
+        if score >= model.plan.least_known:
+            cover = max(len(grams & g) / len(g) for (f, _), g in templates.items() if f == family)
+            want[i] = (family, round(score, 6), round(cover, 6))
+    out = families(spark, model, texts)
+    got = {i: (r.paragraphs[0].family, round(r.paragraphs[0].score, 6), round(r.paragraphs[0].coverage, 6)) for i, r in out.items() if r.paragraphs}
+    assert got == want and len(want) > 15
