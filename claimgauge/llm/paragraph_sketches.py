@@ -1,6 +1,6 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A paragraph is a line, or a clause of it that ends in punctuation. A text is the
+A paragraph is a line, or a clause of it up to punctuation and a blank. A text is the
 set of its paragraphs' digests: 48 bits, and 16 that check them. A sketch has
 three rows of eight cells. Each digest falls into one cell of each row, and a
 cell holds how many digests it has and their exclusive or.
@@ -41,7 +41,7 @@ from claimgauge.sources.scratch import stage
 ROWS, BITS, PART_BITS = 3, 3, 2
 #: deals of the digests that no smaller sketch could tell
 TRIES = 12
-PARAGRAPH_BREAK = r"\n+|(?<=[.,;:!?])[ \t]+"
+PARAGRAPH_BREAK = r"[.,;:!?][ \t]+|\n+"
 
 # Digests have 16 bits of check below; rows take the bits above them.
 _CHECK = "(xxhash64(shiftright({0}, 16)) & 65535L)"
@@ -92,13 +92,14 @@ def _let(value: str, name: str, then: str) -> str:
 def _peeled(cells: str, bits: int) -> str:
     """What a difference of sketches holds: ok, l (only in the first), r (only in the second)."""
     width, mask = 1 << bits, (1 << bits) - 1
-    # the first cell with a single digest gives it up, and it leaves the cells that it falls into
-    alone = f"""get(filter(s.cells, (c, i) ->
-        abs(c.n) = 1L and (c.x & 65535L) = {_CHECK.format("c.x")}
-        and (shiftright(c.x, 16 + {bits} * (i div {width})) & {mask}) = i % {width}), 0)"""
+    # the first cell with a single digest gives it up, and it leaves the cells that it falls into; a cell of several
+    # that passes the check by chance does not come out empty in every row
+    single = f"abs(c.n) = 1L and (c.x & 65535L) = {_CHECK.format('c.x')}"
+    nothing = "cast(null as struct<n: bigint, x: bigint>)"
+    alone = f"aggregate(s.cells, {nothing}, (u, c) -> if(u is not null, u, if({single}, c, u)))"
     cells_of = [f"{width * row} + (shiftright(u.x, {16 + bits * row}) & {mask})" for row in range(ROWS)]
-    places = "named_struct(" + ", ".join(f"'p{row}', {cell}" for row, cell in enumerate(cells_of)) + ")"
-    touched = " or ".join(f"i = w.p{row}" for row in range(ROWS))
+    places = " | ".join(f"shiftleft(1, cast({cell} as int))" for cell in cells_of)
+    touched = "(shiftright(w, i) & 1) = 1"
     removed = f"transform(s.cells, (c, i) -> if({touched}, named_struct('n', c.n - u.n, 'x', c.x ^ u.x), c))"
     after = f"""named_struct('cells', {_let(places, "w", removed)},
         'l', if(u.n = 1L, array_append(s.l, u.x), s.l), 'r', if(u.n = 1L, s.r, array_append(s.r, u.x)), 'done', false)"""
@@ -113,7 +114,9 @@ def _dealt(signed: str, salt: str, parts: str) -> str:
     """Signed digests in 2 to 64 parts, by a hash that ``salt`` changes."""
     part = f"pmod(xxhash64(t.k, {salt}), parts)"
     numbered = f"transform({signed}, t -> named_struct('k', t.k, 's', t.s, 'q', {part}))"
-    deal = _let(numbered, "f", "transform(sequence(0L, parts - 1L), q -> filter(f, t -> t.q = q))")
+    # by eights first, so that a part is not looked for among all digests
+    of_eight = _let("filter(f, t -> t.q div 8 = g)", "e", "transform(sequence(8 * g, least(8 * g + 7, parts - 1L)), q -> filter(e, t -> t.q = q))")
+    deal = _let(numbered, "f", f"flatten(transform(sequence(0L, (parts - 1L) div 8), g -> {of_eight}))")
     return _let(f"greatest(2L, least(64L, {parts}))", "parts", deal)
 
 

@@ -13,7 +13,7 @@ COLUMNS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerpr
 
 
 def paragraphs(text):
-    return {p for p in re.split(r"\n+|(?<=[.,;:!?])[ \t]+", text) if p}
+    return {p for p in re.split(r"[.,;:!?][ \t]+|\n+", text) if p}
 
 
 def alike(one, other):
