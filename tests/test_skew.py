@@ -132,3 +132,11 @@ def test_enrollment_is_shuffled_once_for_all_that_share_it(hot):
     rows, plan = final_plan(R.member_month_metrics(hot))
     assert "id % 250" not in plan and "Scan parquet" in plan
     assert len(rows) == 1
+
+
+def test_sums_of_sums_keep_the_type_of_a_sum(hot):
+    paid = R.paid_without_enrollment(hot).schema["paid_amount_without_enrollment"].dataType.simpleString()
+    assert paid == "decimal(28,2)"
+    assert R.enrolled_claim_metrics(hot).schema["paid_amount"].dataType.simpleString() == paid
+    both = R.claim_metrics(hot).schema
+    assert {both[c].dataType.simpleString() for c in ("paid_amount", "paid_amount_without_enrollment")} == {paid}
