@@ -6,18 +6,19 @@ from the node's path, and by chance a second one, so that a member goes into
 1 / s children on the average, s being the threshold: into the child of its
 minwise token at each chosen position. Similar members go down together, and
 others part. A node with at most ``leaf`` members is compared exhaustively, and
-so is, after ``max_depth`` branchings, whatever is left: in blocks that are
-dealt to tasks, on sketches and sizes alone, so that no pair becomes a row that
-cannot link. Members at similarity s stay together through a whole tree with a
+so is, after ``max_depth`` branchings, whatever is left, in blocks that are
+dealt to tasks. Members at similarity s stay together through a whole tree with a
 probability that follows from the branching; the number of trees follows from
 that and ``recall``.
 
-Candidates of a node must agree in size and sketch, with a margin of four
-standard deviations, and are then confirmed on the full sets of shingles. Before
-anything else, members of a large node are compared with its centre, a member
+Candidates of a node must agree with another one in size and sketch, with a
+margin of four standard deviations. Their texts go to the node, where the full
+sets of shingles are compared, all of a block at once by products of their
+incidence; no pair becomes a row, and a block gives one link for each member
+that it ties to another. Before anything else, members of a large node are compared with its centre, a member
 that the tree's turn chooses; nodes whose members all are connected are done.
-The first trees' links are known before the others grow. Thus a group of many near
-copies is linked to some centres and is done, and is never expanded into its pairs.
+The first trees' links are known before the others grow, so that a group of many near
+copies is linked to some centres and is done.
 
 Defined results: a document without words has no shingles and links with
 nothing. A text with fewer than five words is one shingle. A null doc_id stays
@@ -39,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from claimgauge.llm import hash_filter
 from claimgauge.llm.components import connected
 from claimgauge.sources.scratch import discard, stage
 
@@ -168,23 +170,6 @@ def _signatures(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
 
-def _confirm(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs with both texts to linked pairs; the last text's set is kept, as pairs of a centre follow each other."""
-    last, held = None, None
-    for batch in batches:
-        a, b = [], []
-        for at in range(0, batch.num_rows, 200):
-            for one, two, text_a, text_b in zip(*(c.to_pylist() for c in batch.slice(at, 200).columns), strict=True):
-                if one != last:
-                    last, held = one, shingles(text_a, width)
-                other = shingles(text_b, width)
-                common = len(np.intersect1d(held, other, assume_unique=True))
-                if 100 * common >= percent * (len(held) + len(other) - common):
-                    a.append(one)
-                    b.append(two)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
 _S = ("s0", "s1", "s2", "s3")
 
 
@@ -200,37 +185,80 @@ def _likely(component, sizes, sketches, a, b, plan: JoinPlan) -> np.ndarray:
     return fits
 
 
-def _compare(batches: Iterator[pa.RecordBatch], plan: JoinPlan) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of runs of rows with equal (node, i, j): rows of side 0 among themselves, or against side 1."""
-
-    def candidates(rows: pa.Table) -> pa.RecordBatch:
-        member, component = rows["member"].to_numpy(), rows["component"].to_numpy()
-        sizes, side = rows["n_shingles"].to_numpy(), rows["side"].to_numpy()
-        sketches = [rows[s].to_numpy().view(np.uint64) for s in _S]
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        alone = not len(b)  # a block with itself
-        fits = _likely(component, sizes, sketches, a, a if alone else b, plan)
-        x, y = np.nonzero(np.triu(fits, 1) if alone else fits)
-        one, two = member[a[x]], member[(a if alone else b)[y]]
-        low, high = np.minimum(one, two), np.maximum(one, two)
-        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
-
-    def cut(table: pa.Table, last: bool) -> tuple[list[pa.RecordBatch], pa.Table]:
-        keys = np.stack([table[c].to_numpy() for c in ("node", "i", "j")])
-        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist()]
-        if last:
-            edges.append(table.num_rows)
-        return [candidates(table.slice(x, y - x)) for x, y in zip(edges, edges[1:], strict=False)], table.slice(edges[-1])
-
+def _runs(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Rows with equal keys, of batches that are sorted by them."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         held = table if held is None or not held.num_rows else pa.concat_tables([held, table]).combine_chunks()
         if held.num_rows:
-            found, held = cut(held, False)
-            yield from found
+            columns = np.stack([held[c].to_numpy() for c in keys])
+            edges = [0, *(np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(0)) + 1).tolist()]
+            yield from (held.slice(x, y - x) for x, y in zip(edges, edges[1:], strict=False))
+            held = held.slice(edges[-1])
     if held is not None and held.num_rows:
-        yield from cut(held, True)[0]
+        yield held
+
+
+_BLOCK = ("node", "i", "j")
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], plan: JoinPlan) -> Iterator[pa.RecordBatch]:
+    """Rows (node, i, j, side, member, component) of members that may link with another of their block, or of the other side."""
+    for rows in _runs(batches, _BLOCK):
+        component, sizes, side = (rows[c].to_numpy() for c in ("component", "n_shingles", "side"))
+        sketches = [rows[s].to_numpy().view(np.uint64) for s in _S]
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(b):  # a block with itself
+            some = a[_likely(component, sizes, sketches, a, a, plan).any(1)]
+        else:
+            fits = _likely(component, sizes, sketches, a, b, plan)
+            some = np.r_[a[fits.any(1)], b[fits.any(0)]]
+        kept = rows.select([*_BLOCK, "side", "member", "component"]).take(pa.array(some))
+        yield from kept.combine_chunks().to_batches()
+
+
+def _common(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, columns: int = 4096) -> np.ndarray:
+    """Sizes of the intersections of sets ``a`` with sets ``b``, by products of their incidence."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    token, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[place]
+    owner, place = owner[keep], number[place[keep]]
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    for low in range(0, int(shared.sum()), columns):
+        x, y = np.searchsorted(place, (low, low + columns))
+        has = np.zeros((len(sets), columns), dtype=np.float32)
+        has[owner[x:y], place[x:y] - low] = 1
+        out += has[a] @ has[b].T
+    return out.astype(np.int64)
+
+
+def _confirm(batches: Iterator[pa.RecordBatch], plan: JoinPlan) -> Iterator[pa.RecordBatch]:
+    """Links of blocks on the full sets, as one pair (a, b) for each member that is tied to a smaller one."""
+    for rows in _runs(batches, _BLOCK):
+        member, component, side = (rows[c].to_numpy() for c in ("member", "component", "side"))
+        sets = [shingles(t, plan.width) for t in rows["text"].to_pylist()]
+        sizes = np.array([len(x) for x in sets])
+        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        b = b if len(b) else a
+        common = _common(sets, a, b)
+        linked = 100 * common >= plan.percent * (sizes[a][:, None] + sizes[b][None, :] - common)
+        linked &= component[a][:, None] != component[b][None, :]
+        label = np.arange(len(member))
+        while True:  # the smallest number that links lead to
+            far = np.where(linked, label[b][None, :], len(label))
+            new = label.copy()
+            np.minimum.at(new, a, far.min(1, initial=len(label)))
+            np.minimum.at(new, b, np.where(linked, label[a][:, None], len(label)).min(0, initial=len(label)))
+            if (new == label).all():
+                break
+            label = new
+        tied = np.flatnonzero(label != np.arange(len(label)))
+        yield pa.RecordBatch.from_arrays([pa.array(member[tied]), pa.array(member[label[tied]])], names=["a", "b"])
 
 
 def _children(rows: DataFrame, plan: JoinPlan, level: int) -> DataFrame:
@@ -273,50 +301,50 @@ class _Join:
         discard(rows, nodes)
         return found
 
-    def compared(self, live: DataFrame) -> DataFrame:
-        """Candidate pairs of whole nodes, in blocks of their members."""
+    def blocks(self, live: DataFrame) -> DataFrame:
+        """Members of whole nodes in blocks: block i meets every block j >= i; a member is side 0 of its own, and side 1 of j > i."""
         plan = self.plan
-        rows = live.select("node", "member", "component", "n").join(self.members.select("member", "n_shingles", *_S), "member")
-        blocks = F.ceil(F.col("n") / plan.block).cast("int")
-        rows = rows.withColumn("blocks", F.when(F.col("n") <= plan.leaf, 1).otherwise(blocks))
+        blocks = F.when(F.col("n") <= plan.leaf, 1).otherwise(F.ceil(F.col("n") / plan.block)).cast("int")
+        rows = live.select("node", "member", "component", blocks.alias("blocks"))
         rows = rows.withColumn("own", F.pmod(F.xxhash64("member", "node"), F.col("blocks")).cast("int"))
-        # block i meets every block j >= i: a member is side 0 where its block is i, and side 1 where it is j > i
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        rows = rows.select(
+        return rows.select(
             "node", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            (F.col("own") > F.col("other")).cast("int").alias("side"), "member", "component", "n_shingles", *_S,
+            (F.col("own") > F.col("other")).cast("int").alias("side"), "member", "component",
         )
-        dealt = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j")
-        pairs = dealt.mapInArrow(lambda batches: _compare(batches, plan), "a long, b long")
-        return stage(pairs.distinct(), "near-candidates")
-
-    def centre_pairs(self, live: DataFrame) -> DataFrame:
-        """Candidate pairs of a large node's centre with each of its members."""
-        pairs = live.where(F.col("n") > self.plan.leaf).where("member <> centre")
-        pairs = stage(pairs.select(F.least("centre", "member").alias("a"), F.greatest("centre", "member").alias("b")).distinct(), "near-centres")
-        sketch = F.struct("n_shingles", *_S)
-        full = pairs.join(self.members.select(F.col("member").alias("b"), sketch.alias("y")), "b")
-        full = full.join(self.members.select(F.col("member").alias("a"), sketch.alias("x")), "a")
-        found = stage(full.where(_may_link(self.plan)).select("a", "b"), "near-candidates")
-        discard(pairs)
-        return found
+
+    def candidates(self, blocks: DataFrame) -> DataFrame:
+        """The rows of blocks whose members may link with another there."""
+        plan = self.plan
+        rows = blocks.join(self.members.select("member", "n_shingles", *_S), "member")
+        rows = rows.select(*_BLOCK, "side", "member", "component", "n_shingles", *_S)
+        dealt = rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+        kind = "node long, i int, j int, side int, member long, component long"
+        return stage(dealt.mapInArrow(lambda batches: _candidates(batches, plan), kind), "near-candidates")
+
+    def stars(self, live: DataFrame) -> DataFrame:
+        """A large node's centre (side 0) with its other members (side 1), in blocks of members."""
+        plan = self.plan
+        large = live.where(F.col("n") > plan.leaf)
+        j = F.pmod(F.xxhash64("member"), F.ceil(F.col("n") / plan.block)).cast("int") + 1
+        spokes = large.where("member <> centre").select("node", F.lit(0).alias("i"), j.alias("j"), F.lit(1).alias("side"), "member", "component")
+        hubs = large.where("member = centre").withColumn("j", F.explode(F.sequence(F.lit(1), F.ceil(F.col("n") / plan.block).cast("int"))))
+        return spokes.unionByName(hubs.select("node", F.lit(0).alias("i"), "j", F.lit(0).alias("side"), "member", "component"))
 
     def confirm(self, parts: list[DataFrame]) -> None:
-        """Adds those candidate pairs that are links, and brings the components up to date."""
-        pairs = parts[0]
-        if len(parts) > 1:
-            pairs = stage(reduce(DataFrame.union, parts).distinct(), "near-pairs")
-            discard(*parts)
-        wanted = pairs.select(F.col("a").alias("member")).union(pairs.select("b")).distinct()
-        wanted = stage(wanted.join(self.members.select("member", "rep"), "member").select("member", "rep.*"), "near-wanted")
-        # written, so that both joins read a table and a centre with very many pairs can be split
-        texts = self.texts.join(wanted, ["doc_id", "tie"]).groupBy("member").agg(F.first("text").alias("text"))
+        """Adds the links among candidates, and brings the components up to date."""
+        rows = reduce(DataFrame.unionByName, parts)
+        wanted = rows.select("member").distinct().join(self.members.select("member", "rep"), "member").select("member", "rep.*")
+        wanted = stage(wanted, "near-wanted")
+        name = F.xxhash64("doc_id", "tie")
+        likely = hash_filter.likely(self.texts, name, hash_filter.bitmap_rows(wanted, name))
+        texts = likely.join(wanted, ["doc_id", "tie"]).groupBy("member").agg(F.first("text").alias("text"))
         texts = stage(texts, "near-texts")
-        full = pairs.join(texts.withColumnsRenamed({"member": "b", "text": "text_b"}), "b")
-        full = full.join(texts.withColumnsRenamed({"member": "a", "text": "text_a"}), "a").select("a", "b", "text_a", "text_b")
-        width, percent = self.plan.width, self.plan.percent
-        found = stage(full.mapInArrow(lambda batches: _confirm(batches, width, percent), "a long, b long"), "near-links")
-        discard(pairs, wanted, texts)
+        plan = self.plan
+        full = rows.join(texts, "member").select(*_BLOCK, "side", "member", "component", "text")
+        dealt = full.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+        found = stage(dealt.mapInArrow(lambda batches: _confirm(batches, plan), "a long, b long"), "near-links")
+        discard(wanted, texts, *parts)
         links = found
         if self.labels is not None:
             links = found.union(self.labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
@@ -333,13 +361,13 @@ class _Join:
         rows = rows.withColumn("turn", F.pmod("node", F.lit(plan.first_trees)).cast("int"))
         live = self.live(_children(rows, plan, 0).drop("tokens"))
         if self.labels is None:
-            self.confirm([self.centre_pairs(live)])
+            self.confirm([self.candidates(self.stars(live))])
             last, live = live, self.live(live.select("member", "node", "turn"))
             discard(last)
         found = []
         for level in range(plan.max_depth + 1):
             whole = level == plan.max_depth
-            found.append(self.compared(live if whole else live.where(F.col("n") <= plan.leaf)))
+            found.append(self.candidates(self.blocks(live if whole else live.where(F.col("n") <= plan.leaf))))
             large = live.where(F.col("n") > plan.leaf)
             if whole or not large.limit(1).count():
                 break
@@ -357,16 +385,6 @@ class _Join:
         return self.labels
 
 
-def _may_link(plan: JoinPlan) -> Column:
-    """Sizes that can reach the threshold at all, and sketches that agree as linked ones do; of sides x and y."""
-    differ = F.col("x.s0").bitwiseXOR(F.col("y.s0"))
-    for part in _S[1:]:
-        differ = differ.bitwiseOR(F.col(f"x.{part}").bitwiseXOR(F.col(f"y.{part}")))
-    n, m = F.col("x.n_shingles"), F.col("y.n_shingles")
-    sizes = 100 * F.least(n, m) >= plan.percent * F.greatest(n, m)
-    return sizes & (F.bit_count(differ) <= _POSITIONS - plan.least_agreement)
-
-
 def near_duplicates(docs: DataFrame, plan: JoinPlan = JoinPlan(), text: str = "text", key: str = "doc_id") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id and kept (whether it is its component's smallest id)."""
     return members_of(docs, plan, text, key).select("doc_id", "n_shingles", "component_id", "kept")
