@@ -222,7 +222,10 @@ def _tally(
 ) -> DataFrame:
     """Counters per (data_source, payer, plan, field) for all given checks."""
     checks = tuple(checks)
-    codes = sets.pack(sources, {s for c in checks for s in c.code_sets}, broadcast_limit)
+    used = {s for c in checks for s in c.code_sets}
+    # counted once for all that share these tables
+    name = f"codes within {broadcast_limit}: {sorted(s.name for s in used)}"
+    codes = sources.derived(name, lambda: sets.pack(sources, used, broadcast_limit))
     parts, split = [], False
     for model in MODELS:
         mine = [c for c in checks if c.model == model]

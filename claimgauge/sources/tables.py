@@ -15,7 +15,7 @@ class Sources:
     def __init__(self, resolve: Callable[[str], DataFrame]):
         self._resolve = resolve
         self._tables: dict[str, DataFrame] = {}
-        self._derived: dict[str, DataFrame] = {}
+        self._derived: dict[str, object] = {}
 
     def table(self, name: str) -> DataFrame:
         # Opening a table may cost a job (file listing, footer schema): once per relation.
@@ -23,7 +23,7 @@ class Sources:
             self._tables[name] = self._resolve(name)
         return self._tables[name]
 
-    def derived(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def derived(self, name: str, build: Callable[[], object]) -> object:
         """What ``build`` makes of these tables, once for all operators that share them."""
         if name not in self._derived:
             self._derived[name] = build()
