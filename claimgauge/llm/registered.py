@@ -29,9 +29,9 @@ def byte_model_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def sentence_piece_digests(docs: DataFrame, model_path: str) -> DataFrame:
+def sentence_piece_digests(docs: DataFrame, model_path: str, cache_words: int = 200_000) -> DataFrame:
     """doc_id, number of ids, SHA-256 of the ids and of the decoded text; null texts count as empty."""
-    encoded = sentence_pieces.encode(docs.select("doc_id", "text"), model_path).select("doc_id", "ids")
+    encoded = sentence_pieces.encode(docs.select("doc_id", "text"), model_path, cache_words=cache_words).select("doc_id", "ids")
     decoded = sentence_pieces.decode(encoded, model_path)
     return decoded.select(
         "doc_id",
