@@ -50,8 +50,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Number and digests of the ids and of the text decoded from them, per row of the mix."""
-    return sentence_piece_digests(docs, piece_model_path())
+    """Number and digests of the ids and of the text decoded from them, per row of the mix.
+
+    Python workers keep their words for later tasks: fewer here, because they go on to other stages.
+    """
+    return sentence_piece_digests(docs, piece_model_path(), cache_words=30_000)
 
 
 STAGES = [
