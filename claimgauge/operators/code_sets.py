@@ -49,13 +49,16 @@ class PackedCodes:
     places: dict[CodeSet, int] = field(default_factory=dict)
     counted: DataFrame | None = None  # set_no, key, copies
     packed: DataFrame | None = None  # key, copies
+    #: copies of the empty code, for sets that list it
+    blanks: dict[CodeSet, int] = field(default_factory=dict)
 
     def broadcast_table(self) -> DataFrame:
         """Every use is the same plan without a condition of its own, so that it is broadcast once."""
         return F.broadcast(self.packed)
 
-    def shuffled_table(self) -> DataFrame:
-        wanted = [i for s, i in self.numbers.items() if s not in self.places]
+    def shuffled_table(self, used: Iterable[CodeSet]) -> DataFrame:
+        """Codes of the given sets; a check that has one set beyond the limit looks up all of its sets here."""
+        wanted = sorted({self.numbers[s] for s in used})
         return self.counted.where(F.col("set_no").isin(*wanted)).selectExpr("set_no as known_set", "key", "copies")
 
 
@@ -74,15 +77,19 @@ def pack(sources: Sources, code_sets: Iterable[CodeSet], limit: int = BROADCAST_
     copies = f"case when set_no in ({distinct}) then 1L else count(1) end" if distinct else "count(1)"
     counted = stage(listed.groupBy("set_no", "key").agg(F.expr(f"{copies} as copies")), "code-sets")
     entry = _ENTRY_OVERHEAD + 8 * len(numbers)
-    sizes = counted.groupBy("set_no").agg(F.expr(f"count(1) * {entry} + sum(octet_length(key)) as size"))
-    measured = dict.fromkeys(numbers.values(), 0) | {row["set_no"]: row["size"] for row in sizes.collect()}
+    sizes = counted.groupBy("set_no").agg(
+        F.expr(f"count(1) * {entry} + sum(octet_length(key)) as size"), F.expr("max(case when key = '' then copies end) as blank")
+    ).collect()
+    measured = dict.fromkeys(numbers.values(), 0) | {row["set_no"]: row["size"] for row in sizes}
     small, used = [], 0
     for code_set, number in sorted(numbers.items(), key=lambda item: (measured[item[1]], item[1])):
         used += measured[number]
         if used > limit:
             break
         small.append(code_set)
-    found = PackedCodes(numbers, {s: i for i, s in enumerate(small)}, counted)
+    blanks = {row["set_no"]: row["blank"] for row in sizes if row["blank"] is not None}
+    blanks = {s: blanks[i] for s, i in numbers.items() if i in blanks}
+    found = PackedCodes(numbers, {s: i for i, s in enumerate(small)}, counted, blanks=blanks)
     if small:
         by_set = [F.expr(f"max(case when set_no = {numbers[s]} then copies end)") for s in small]
         wanted = counted.where(F.col("set_no").isin(*(numbers[s] for s in small)))

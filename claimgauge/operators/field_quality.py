@@ -21,6 +21,7 @@ from pyspark.sql.types import StringType
 from claimgauge.functions import verdicts as V
 from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators import code_sets as sets
+from claimgauge.operators.bounded import broadcast_if_within
 from claimgauge.operators.catalog import (
     COMPLETENESS,
     DRG_SETS,
@@ -100,6 +101,8 @@ class _Counted:
     check: FieldCheck
     rule: V.Verdict
     weight: str | None = None
+    #: counters of a check whose values are counted elsewhere
+    beside: dict[str, str] | None = None
 
 
 def _count_side_by_side(frame: DataFrame, counted: Sequence[_Counted]) -> DataFrame:
@@ -111,6 +114,12 @@ def _count_side_by_side(frame: DataFrame, counted: Sequence[_Counted]) -> DataFr
     """
     totals, unfolded = ["count(1) as n"], []
     for i, item in enumerate(counted):
+        if item.beside is not None:
+            totals += [f"{count} as {name}{i}" for name, count in item.beside.items()]
+            counts = {name: f"{name}{i}" if name in item.beside else "0" for name in _COUNTERS}
+            numbers = ", ".join(f"cast({counts[name]} as bigint) as {name}" for name in _COUNTERS)
+            unfolded.append(f"struct({_labels(item.check)}, {numbers})")
+            continue
         code = item.rule.code()
         wanted = {"null_rows": V.NULL}
         if item.rule.applies is not None:
@@ -159,42 +168,83 @@ def _probed_value(check: FieldCheck) -> str:
     return f"coalesce({', '.join(value for _, value in _lookups(check))})"
 
 
-def _count_by_value(frame: DataFrame, checks: Sequence[FieldCheck], as_of: str, codes: sets.PackedCodes) -> DataFrame:
-    """For code sets too large to broadcast: count values first, then join the counts.
+def _beside_values(check: FieldCheck, codes: sets.PackedCodes) -> dict[str, str]:
+    """Counters of the rows that have no value to look up: NULL matches nothing, and the copies of the empty code are known."""
+    rule = verdict(check, "", "false")
+    blanks = " ".join(f"when {value} = '' then {codes.blanks.get(s, 1)}L" for s, value in _lookups(check))
+    weight = f"case when {_probed_value(check)} is null then 1L {blanks} else 0L end"
+    wanted = {"null_rows": V.NULL} | ({} if rule.applies is None else {"not_applicable_rows": V.NOT_APPLICABLE})
+    return {"total_rows": f"sum({weight})"} | {
+        name: f"sum(case when {rule.code()} = {v} then {weight} else 0L end)" for name, v in wanted.items()
+    }
+
+
+# Groups of a table that may be broadcast: source, payer, plan and a number.
+MAX_BROADCAST_GRAINS = 1_000_000
+
+
+def _numbered_grains(beside: DataFrame) -> DataFrame:
+    """A number for each source, payer and plan, written so that it stays."""
+    return stage(beside.select(*GRAIN).distinct().withColumn("grain", F.expr("monotonically_increasing_id()")), "grains")
+
+
+def _count_by_value(
+    frame: DataFrame, checks: Sequence[FieldCheck], codes: sets.PackedCodes, grains: DataFrame
+) -> DataFrame:
+    """For code sets too large to broadcast: one narrow row per value, joined to the codes by one shuffle.
 
-    A value that fills a third of the table is one row per group when it
-    reaches the join, so the join has no hot key left. Only values that could
-    be found become rows: NULL matches nothing and is counted beside the row.
+    A row has the number of its group, the value and the gates that fail, nothing else. Codes are hashed, so that
+    the values are not sorted. NULL and the empty text, often the commonest values, are counted beside the row;
+    both inputs of the join come straight from a shuffle, so that any other hot value is split at run time.
     """
-    entries = []
-    for i, check in enumerate(checks):
-        set_no = " ".join(f"when {value} is not null then {codes.numbers[s]}" for s, value in _lookups(check))
-        code = verdict(check, as_of, hit="false").code()
-        entries.append(f"struct({i} as entry, case {set_no} end as set_no, {_probed_value(check)} as value, {code} as verdict)")
+    grains = broadcast_if_within(grains, MAX_BROADCAST_GRAINS)
+    probes = [(i, check, s, value) for i, check in enumerate(checks) for s, value in _lookups(check)]
+    gates = sorted({c.gate for c in checks if c.gate})
+    failed = " + ".join(f"case when not (claim_type = {V.quoted(g)}) then {1 << k} else 0 end" for k, g in enumerate(gates))
+    same = " and ".join(f"{g} <=> grain_{g}" for g in GRAIN)
+    known = grains.selectExpr("grain", *[f"{g} as grain_{g}" for g in GRAIN])
+    lines = frame.join(known, F.expr(same)).selectExpr(
+        "grain", f"{failed or 0} as failed_gates", *[f"nullif({value}, '') as `{k}`" for k, (_, _, _, value) in enumerate(probes)]
+    )
+
+    def by_probe(numbers: Iterable[int]) -> str:
+        return f"array({', '.join(map(str, numbers))})[cast(probe as int)]"
+
+    gated = by_probe(1 << gates.index(c.gate) if c.gate else 0 for _, c, _, _ in probes)
+
+    literal_null = [str(i) for i, c in enumerate(checks) if c.kind == "in_any_column"]
+    blank = f"when entry in ({', '.join(literal_null)}) and value = 'NULL' then {V.NULL}" if literal_null else ""
     values = (
-        frame.selectExpr(*GRAIN, f"inline(filter(array({', '.join(entries)}), e -> e.value is not null))")
-        .groupBy(*GRAIN, "entry", "set_no", "value", "verdict")
-        .agg(F.expr("count(1) as n"))
+        lines.unpivot(["grain", "failed_gates"], [f"`{k}`" for k in range(len(probes))], "probe", "value")
+        .where("value is not null")
+        .selectExpr(
+            # entry and failed gate in one number, so that a row stays narrow
+            f"2 * {by_probe(i for i, *_ in probes)} + if((failed_gates & {gated}) > 0, 1, 0) as tag",
+            "grain",
+            f"{by_probe(codes.numbers[s] for _, _, s, _ in probes)} as set_no",
+            "value",
+        )
     )
     counted = (
-        values.join(codes.shuffled_table(), F.expr("set_no = known_set and value = key"), "left")
+        values.join(codes.shuffled_table(s for _, _, s, _ in probes).hint("shuffle_hash"), F.expr("set_no = known_set and value = key"), "left")
+        .withColumn("entry", F.expr("tag div 2"))
         .selectExpr(
-            *GRAIN,
+            "grain",
             "entry",
-            "n * coalesce(copies, 1) as weight",
-            f"case when verdict = {V.BAD} and copies is not null then {V.GOOD} else verdict end as verdict",
+            "coalesce(copies, 1L) as weight",
+            f"case when tag % 2 = 1 then {V.NOT_APPLICABLE} {blank} when copies is null then {V.BAD} else {V.GOOD} end as verdict",
         )
-        .groupBy(*GRAIN, "entry")
+        .groupBy("grain", "entry")
         .agg(
             F.expr("sum(weight) as total_rows"),
             *[
-                F.expr(f"sum(case when verdict = {code} then weight else 0 end) as {name}")
+                F.expr(f"sum(case when verdict = {code} then weight else 0L end) as {name}")
                 for name, code in zip(_COUNTERS[1:], (V.NOT_APPLICABLE, V.NULL, V.GOOD))
             ],
         )
     )
     labels = ", ".join(f"struct({_labels(check)})" for check in checks)
-    return counted.selectExpr(*GRAIN, f"array({labels})[entry] as label", *_COUNTERS).select(
+    return counted.join(grains, "grain").selectExpr(*GRAIN, f"array({labels})[cast(entry as int)] as label", *_COUNTERS).select(
         *GRAIN, "label.*", *_COUNTERS
     )
 
@@ -241,11 +291,12 @@ def _tally(
             else _Counted(c, verdict(c, as_of))
             for c in beside
         ]
-        counted += [_Counted(c, verdict(c, as_of, "false"), f"if({_probed_value(c)} is null, 1L, 0L)") for c in by_value]
+        counted += [_Counted(c, verdict(c, as_of, "false"), beside=_beside_values(c, codes)) for c in by_value]
         parts.append(_count_side_by_side(frame, counted))
         if by_value:
             split = True
-            parts.append(_count_by_value(table, by_value, as_of, codes))
+            parts[-1] = stage(parts[-1], "beside-values")
+            parts.append(_count_by_value(table, by_value, codes, _numbered_grains(parts[-1])))
     if not parts:
         raise ValueError("no checks given")
     tally = reduce(DataFrame.unionByName, parts)

@@ -213,3 +213,25 @@ def test_the_loop_over_rows_is_small_enough_to_be_compiled(spark, sample, tmp_pa
         if "HashAggregate" in tree.splitlines()[0] and "FileScan parquet [data_source" in tree
     ]
     assert len(loops) == 1 and loops[0] < 8000
+
+
+def test_a_check_with_one_set_beyond_the_limit_looks_up_both(spark):
+    """Both sets of drg_code are found where only the smaller one may be broadcast."""
+    rows = [("institutional", "ms-drg", "m", None), ("institutional", "apr-drg", "a7", None), ("institutional", "ms-drg", "a7", None)]
+    sources = Sources.from_frames(
+        {C.MEDICAL: medical(spark, rows)}
+        | sets(spark, ms_drg=("ms_drg_code", ["m"]), apr_drg=("apr_drg_code", [f"a{i}" for i in range(50)]))
+    )
+    used = {s for c in C.only(C.VALIDITY, kind="drg") for s in c.code_sets}
+    assert len(pack(sources, used, limit=1_000).places) == 1
+    (row,) = validity_summary(sources, RUN, C.only(C.VALIDITY, kind="drg"), AS_OF, 1_000).collect()
+    assert (row.valid_rows, row.invalid_rows) == (2, 1)
+
+
+def test_values_of_large_sets_travel_as_narrow_rows(spark, sample):
+    """A value is shuffled with a number of its group, not with source, payer and plan, and is not aggregated before."""
+    checks = C.only(C.VALIDITY, model=C.MEDICAL)
+    plan = validity_summary(sample, RUN, checks, AS_OF, broadcast_limit=0)._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "lambdafunction" not in plan
+    grouped = [x for x in plan.splitlines() if "HashAggregate(keys=[" in x and "value#" in x.partition("functions=")[0]]
+    assert grouped == []
