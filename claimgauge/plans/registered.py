@@ -22,7 +22,7 @@ from claimgauge.operators.history import validity_run_delta
 from claimgauge.operators.run_tables import RunTable
 from claimgauge.plans.runs import KEYS, Runs
 from claimgauge.sources.catalog_tables import ensure_schema
-from claimgauge.sources.sample_claims import sample_sources
+from claimgauge.sources.sample_claims import claim_lines, sample_sources
 from claimgauge.sources.scratch import shared_folder
 from claimgauge.sources.tables import Sources
 
@@ -59,7 +59,16 @@ def _once(spark: SparkSession, sf_dir: str, what: str, build: Callable[[], objec
 
 def _sources(spark: SparkSession, sf_dir: str) -> Sources:
     """The mapped tables; queries share what is laid out of them."""
-    return _once(spark, sf_dir, "sources", lambda: sample_sources(spark, sf_dir))
+    return _once(spark, sf_dir, "sources", lambda: sample_sources(spark, sf_dir, lines=lambda: _claim_lines(spark, sf_dir)))
+
+
+def _claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "claim lines", lambda: claim_lines(spark, sf_dir))
+
+
+def _earlier_sources(spark: SparkSession, sf_dir: str) -> Sources:
+    """The tables of the earlier run, over the same claim lines."""
+    return sample_sources(spark, sf_dir, earlier_run=True, lines=lambda: _claim_lines(spark, sf_dir))
 
 
 def _on_sources(build: Callable[[Sources], DataFrame]) -> Query:
@@ -88,7 +97,7 @@ def _kept_runs(spark: SparkSession, sf_dir: str, name: str) -> RunTable:
 
     def build(schema: str) -> RunTable:
         kept = RunTable(spark, f"{schema}.{name}_history", KEYS[name])
-        kept.upsert(SUMMARIES[name](sample_sources(spark, sf_dir, earlier_run=True), EARLIER))
+        kept.upsert(SUMMARIES[name](_earlier_sources(spark, sf_dir), EARLIER))
         kept.upsert(SUMMARIES[name](_sources(spark, sf_dir), LATER))
         kept.upsert(kept.latest())
         return kept
@@ -105,7 +114,7 @@ def _schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(schema: str) -> RunTable:
         kept = RunTable(spark, f"{schema}.completeness_history", KEYS["completeness"])
-        earlier = completeness_summary(sample_sources(spark, sf_dir, earlier_run=True), EARLIER)
+        earlier = completeness_summary(_earlier_sources(spark, sf_dir), EARLIER)
         kept.upsert(earlier.drop("non_null_rows_pct"))
         kept.upsert(completeness_summary(_sources(spark, sf_dir), LATER))
         return kept
@@ -118,7 +127,7 @@ def _two_runs(spark: SparkSession, sf_dir: str) -> Runs:
 
     def build(schema: str) -> Runs:
         runs = Runs(spark, schema=schema)
-        runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True, as_of=AS_OF)
+        runs.build(_earlier_sources(spark, sf_dir), EARLIER, persist=True, as_of=AS_OF)
         runs.build(_sources(spark, sf_dir), LATER, persist=True, as_of=AS_OF)
         return runs
 
@@ -135,7 +144,7 @@ def _unofficial_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(schema: str) -> Runs:
         runs = Runs(spark, schema=schema, keys={"completeness": KEYS["completeness"]})
-        runs.build(sample_sources(spark, sf_dir, earlier_run=True), EARLIER, persist=True)
+        runs.build(_earlier_sources(spark, sf_dir), EARLIER, persist=True)
         runs.build(_sources(spark, sf_dir), LATER, persist=False)
         return runs
 

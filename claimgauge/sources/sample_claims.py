@@ -9,8 +9,11 @@ are listed under other codes, and some members enrolled in other plans.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from claimgauge.sources.scratch import stage
 from claimgauge.sources.tables import Sources
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -20,6 +23,12 @@ CLAIM_LINES = (
     " join customer c on o.o_custkey = c.c_custkey"
 )
 
+CLAIM_LINES_FLAT = CLAIM_LINES.replace("l.l_", "l_").replace("o.o_", "o_").replace("c.c_", "c_")
+LINE_COLUMNS = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
+    "o_orderkey", "o_orderdate", "c_custkey", "c_nationkey", "c_mktsegment",
+)
+
 SOURCE = "'SRC_' || cast(c.c_nationkey % 3 as string)"
 PAYER = "case when c.c_custkey % 37 = 0 then null else c.c_mktsegment end"
 PLAN = "case when c.c_custkey % 41 = 0 then null else 'HMO' end"
@@ -214,18 +223,40 @@ def _calendar(spark: SparkSession) -> DataFrame:
     return spark.sql(f"select {listed} from (select explode(sequence({CALENDAR_DAYS})) as d)")
 
 
-def sample_sources(spark: SparkSession, sf_dir: str, earlier_run: bool = False) -> Sources:
-    """Claims relations over the driver's Parquet files in ``sf_dir``."""
+def claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with their order and customer, written once: the claims relations are projections of them."""
+    base = Sources(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    text = f"select /*+ merge(l, o) */ {', '.join(LINE_COLUMNS)} from {CLAIM_LINES}"
+    return stage(_over(spark, text, CLAIM_LINES, base), "claim-lines")
+
+
+def _over(spark: SparkSession, text: str, source: str, base: Sources) -> DataFrame:
+    used = [table for table in BASE_TABLES if f"{table} " in f"{source} "]
+    for table in used:
+        for before in ("from ", "join "):
+            text = text.replace(f"{before}{table}", f"{before}{{{table}}}")
+    return spark.sql(text, **{t: base.table(t) for t in used})
+
+
+def sample_sources(
+    spark: SparkSession, sf_dir: str, earlier_run: bool = False, lines: Callable[[], DataFrame] | None = None
+) -> Sources:
+    """Claims relations over the driver's Parquet files in ``sf_dir``.
+
+    ``lines`` gives the table of :func:`claim_lines`, if several runs share it.
+    """
     base = Sources(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    joined = Sources(lambda _: lines() if lines else claim_lines(spark, sf_dir))
 
     def resolve(name: str) -> DataFrame:
         if name == CALENDAR:
             return _calendar(spark)
-        text = relation_sql(name, earlier_run)
-        used = [table for table in BASE_TABLES if f"{table} " in f"{RELATIONS[name][0]} "]
-        for table in used:
-            for before in ("from ", "join "):
-                text = text.replace(f"{before}{table}", f"{before}{{{table}}}")
-        return spark.sql(text, **{t: base.table(t) for t in used})
+        source, text = RELATIONS[name][0], relation_sql(name, earlier_run)
+        if source != CLAIM_LINES:
+            return _over(spark, text, source, base)
+        for alias in ("l", "o", "c"):  # the joined lines have the columns of all three tables
+            text = text.replace(f"{alias}.{alias}_", f"{alias}_")
+        text = text.replace("/*+ merge(l, o) */ ", "").replace(f" from {CLAIM_LINES_FLAT}", " from {lines}")
+        return spark.sql(text, lines=joined.table("lines"))
 
     return Sources(resolve)
