@@ -16,6 +16,11 @@ from pyspark.sql import DataFrame, SparkSession
 from claimgauge.sources.scratch import stage
 from claimgauge.sources.tables import Sources
 
+#: more partitions than any table has
+MAX_PARTITIONS = 1 << 24
+#: columns from which a projection is compiled apart from what reads it
+WIDE = 16
+
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 CLAIM_LINES = (
@@ -238,6 +243,15 @@ def _over(spark: SparkSession, text: str, source: str, base: Sources) -> DataFra
     return spark.sql(text, **{t: base.table(t) for t in used})
 
 
+def _compiled_apart(relation: DataFrame, apart: bool) -> DataFrame:
+    """The relation behind a boundary that moves no row: partitions stay as they are.
+
+    What is generated for a projection of many columns and for the loop that counts them does not fit into
+    one method of less than 8000 bytes, and the JVM would only interpret it.
+    """
+    return relation.coalesce(MAX_PARTITIONS) if apart else relation
+
+
 def sample_sources(
     spark: SparkSession, sf_dir: str, earlier_run: bool = False, lines: Callable[[], DataFrame] | None = None
 ) -> Sources:
@@ -252,11 +266,12 @@ def sample_sources(
         if name == CALENDAR:
             return _calendar(spark)
         source, text = RELATIONS[name][0], relation_sql(name, earlier_run)
+        apart = len(RELATIONS[name][1]) > WIDE
         if source != CLAIM_LINES:
-            return _over(spark, text, source, base)
+            return _compiled_apart(_over(spark, text, source, base), apart)
         for alias in ("l", "o", "c"):  # the joined lines have the columns of all three tables
             text = text.replace(f"{alias}.{alias}_", f"{alias}_")
         text = text.replace("/*+ merge(l, o) */ ", "").replace(f" from {CLAIM_LINES_FLAT}", " from {lines}")
-        return spark.sql(text, lines=joined.table("lines"))
+        return _compiled_apart(spark.sql(text, lines=joined.table("lines")), apart)
 
     return Sources(resolve)

@@ -1,5 +1,8 @@
 """The mapped claims are joined once for all relations and runs."""
 
+from claimgauge.functions.run_stamp import RunMeta
+from claimgauge.operators.catalog import MODELS, VALIDITY, only
+from claimgauge.operators.field_quality import validity_summary
 from claimgauge.plans import registered as Q
 from claimgauge.sources import sample_claims
 from claimgauge.sources.sample_claims import CLAIM_LINES, RELATIONS, relation_sql, sample_sources
@@ -30,3 +33,19 @@ def test_relations_are_those_of_the_sql(spark, small_dir):
                 assert found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0
     for name in base:
         spark.catalog.dropTempView(name)
+
+
+def test_counting_loops_of_the_mapped_tables_are_small_enough_to_be_compiled(spark, small_dir):
+    """The JVM interprets generated methods of 8000 bytes and more, projections in them included."""
+    sources = sample_sources(spark, small_dir)
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for model in MODELS:
+            rows = validity_summary(sources, RunMeta("r"), only(VALIDITY, model=model), "2025-01-01")
+            stages = debug.codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+            found = [(stages.apply(i)._1().splitlines()[0], stages.apply(i)._3()) for i in range(stages.size())]
+            # what unfolds the few counted rows is no loop over rows of the table
+            assert max(size.maxMethodCodeSize() for top, size in found if "AS run_id#" not in top) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
