@@ -6,14 +6,15 @@ equal stretches, the first ``bands * rows`` of which give the smallest hash of
 the line's shingles in it, and an empty stretch the next one's. Bands of
 ``rows`` values are buckets.
 
-A bucket is a run of sorted rows. Its members are told apart on sketches, two
-bits of each entry. Its first member is a candidate with every member whose
-sketch fits. When their links are known, what is left of a bucket is compared:
-a leader with every member that fits and is not connected with it; those that
-are, or agree almost wholly with it, are done, and the next leader is taken from
-the others. A group of near copies thus gives few candidates. A bucket of
-more than ``large`` lines is split by the further bands of its lines first.
-Candidates link if the exact Jaccard similarity of the full shingle sets reaches
+A bucket is a run of sorted rows. Sketches, two bits of each entry, only tell
+which members are compared first: a leader with every member whose sketch fits.
+A group of near copies thus becomes connected by few candidates. After that
+every two members of a bucket that are not connected yet are compared on their
+full sets, none left out: sizes and bitmaps of the sets first, which give a bound
+that no linked pair misses, then the exact similarity. That happens inside a
+task and makes no rows but links. A bucket of more than ``large`` lines is cut
+into blocks, and every two blocks meet in a task of their own.
+Lines link if the exact Jaccard similarity of the full shingle sets reaches
 ``percent``. Linked lines make components by distributed union-find, and of each
 component the first line stays, by doc_id and place.
 
@@ -34,7 +35,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,11 +56,11 @@ class LinePlan:
     bands: int = 10
     #: of rows * bands sketch entries, where 0.75 gives 24 on the average, and chance 8
     least_agreement: int = 14
-    #: entries from which a member is done with its leader
+    #: entries from which a member proposes no candidates of its own
     sure_agreement: int = 29
     #: a line with fewer different values in its signature is compared whatever its sketch is
     least_values: int = 16
-    #: lines of a bucket from which it is split by further bands
+    #: lines of a bucket from which it is cut into blocks
     large: int = 4096
 
     @property
@@ -148,29 +148,18 @@ def _slices(batch: pa.RecordBatch, texts: int, rows: int = 2000, characters: int
             yield batch.slice(low, high - low)
 
 
-def _banded(batches: Iterator[pa.RecordBatch], plan: LinePlan, twice: bool = False) -> Iterator[pa.RecordBatch]:
-    """(bucket, id, sketch) of the lines (id, line) of each batch; each line once.
-
-    ``twice``: the buckets are pairs of bands.
-    """
+def _banded(batches: Iterator[pa.RecordBatch], plan: LinePlan) -> Iterator[pa.RecordBatch]:
+    """(bucket, id, sketch) of the lines (id, line) of each batch; each line once."""
     for batch in batches:
         for part in _slices(batch, 1):
             ids, first = np.unique(part.column(0).to_numpy(), return_index=True)
             lines = part.column(1).take(pa.array(first)).to_pylist()
             sign, sketch = signatures(lines, plan)
             found = buckets(sign, plan)
-            if twice:
-                found = _pairs_of_bands(found)
-            width = found.shape[1]
-            arrays = [found.ravel().view(np.int64), np.repeat(ids, width), np.repeat(sketch, width).view(np.int64)]
+            arrays = [found.ravel().view(np.int64), np.repeat(ids, plan.bands), np.repeat(sketch, plan.bands).view(np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["bucket", "id", "sketch"])
 
 
-def _pairs_of_bands(found: np.ndarray) -> np.ndarray:
-    pairs = [(i, j) for i in range(found.shape[1]) for j in range(i)]
-    return np.stack([_mixed(found[:, i] * np.uint64(_BASE) + found[:, j]) for i, j in pairs], axis=1)
-
-
 def agreement(x: np.ndarray, y: np.ndarray, plan: LinePlan) -> np.ndarray:
     """Entries of two sketches that agree."""
     apart = x ^ y
@@ -179,29 +168,24 @@ def agreement(x: np.ndarray, y: np.ndarray, plan: LinePlan) -> np.ndarray:
 
 
 def may_link(x: np.ndarray, y: np.ndarray, plan: LinePlan) -> np.ndarray:
-    """Sketches agree as a linked pair's do; of pairs that share a band by chance most do not.
-
-    The bound takes entries for independent. Where few values fill a signature, they are not, and the pair goes on.
-    """
+    """Sketches agree as a linked pair's mostly do: such pairs are compared first, all others of a bucket later."""
     few = ((x | y) & np.uint64(_FEW)) != 0
     return few | (agreement(x, y, plan) >= plan.least_agreement)
 
 
 def _bucket_pairs(
-    ids: np.ndarray, sketches: np.ndarray, plan: LinePlan, component: np.ndarray | None = None
+    ids: np.ndarray, sketches: np.ndarray, plan: LinePlan, leaders: int | None = None
 ) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """Candidates of one bucket: leaders with the members that fit them and are not connected with them."""
+    """First candidates of one bucket: so many leaders with the members that fit them, the next leader from what fits none."""
     a, b = [], []
-    component = ids if component is None else component
-    while len(ids) > 1:
-        leader, sketch, of, ids, sketches, component = ids[0], sketches[0], component[0], ids[1:], sketches[1:], component[1:]
-        apart = component != of
-        near = ids[may_link(sketch, sketches, plan) & apart]
+    while len(ids) > 1 and (leaders is None or len(a) < leaders):
+        leader, sketch, ids, sketches = ids[0], sketches[0], ids[1:], sketches[1:]
+        near = ids[may_link(sketch, sketches, plan)]
         a.append(np.full(len(near), leader))
         b.append(near)
         few = ((sketch | sketches) & np.uint64(_FEW)) != 0
-        left = apart & (agreement(sketch, sketches, plan) < np.where(few, plan.entries, plan.sure_agreement))
-        ids, sketches, component = ids[left], sketches[left], component[left]
+        left = agreement(sketch, sketches, plan) < np.where(few, plan.entries, plan.sure_agreement)
+        ids, sketches = ids[left], sketches[left]
     return a, b
 
 
@@ -228,44 +212,140 @@ def _bucket_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.nd
         yield runs(held)
 
 
-_PAIR, _OPEN, _LARGE = 0, 1, 2
-_FOUND = "kind int, a long, b long, bucket long, sketch long"
+_PAIR, _OPEN = 0, 1
+_FOUND = "kind int, a long, b long, bucket long"
+#: leaders of a large bucket
+_LEADERS = 8
 
 
-def _first_pairs(batches: Iterator[pa.RecordBatch], plan: LinePlan, split: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of a bucket's first line with others; the rows (a, bucket, sketch) of buckets of three lines
-    or more, for a second look; and with ``split`` the lines (a) of large buckets alone."""
+def _first_pairs(batches: Iterator[pa.RecordBatch], plan: LinePlan) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of a bucket's first lines with those that fit them, for a comparison; and the rows (a, bucket) of
+    every bucket where that leaves a pair of lines."""
     for (bucket, ids, sketch), start, size in _bucket_runs(batches):
         sketch = sketch.view(np.uint64)
         run = np.repeat(np.arange(len(start)), size)
-        large = (size > plan.large) if split else np.zeros(len(size), dtype=bool)
         first = start[run]
-        other = (np.arange(len(ids)) != first) & ~large[run]
-        fits = np.flatnonzero(other)
+        fits = np.flatnonzero((np.arange(len(ids)) != first) & (size[run] <= plan.large))
         fits = fits[may_link(sketch[first[fits]], sketch[fits], plan)]
-        open_ = np.flatnonzero((other | (np.arange(len(ids)) == first)) & (size[run] > 2) & ~large[run])
-        lone = np.flatnonzero(large[run])
-        kinds = np.repeat(np.array([_PAIR, _OPEN, _LARGE], dtype=np.int32), [len(fits), len(open_), len(lone)])
-        one = np.r_[ids[first[fits]], ids[open_], ids[lone]]
-        two = np.r_[ids[fits], np.zeros(len(open_) + len(lone), dtype=np.int64)]
-        where = np.r_[np.zeros(len(fits), dtype=np.int64), bucket[open_], np.zeros(len(lone), dtype=np.int64)]
-        bits = np.r_[np.zeros(len(fits), dtype=np.uint64), sketch[open_], np.zeros(len(lone), dtype=np.uint64)].view(np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kinds, one, two, where, bits)], names=["kind", "a", "b", "bucket", "sketch"])
-
-
-def _second_pairs(batches: Iterator[pa.RecordBatch], plan: LinePlan) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of lines of a bucket that are not connected yet; rows are bucket, id, sketch and component."""
-    for (_, ids, sketch, component), start, size in _bucket_runs(batches):
-        a, b = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        sketch = sketch.view(np.uint64)
-        # a bucket whose lines all are connected is done
-        apart = np.maximum.reduceat(component, start) != np.minimum.reduceat(component, start)
-        for s, n in zip(start[apart].tolist(), size[apart].tolist(), strict=True):
-            x, y = _bucket_pairs(ids[s : s + n], sketch[s : s + n], plan, component[s : s + n])
+        a, b = [ids[first[fits]]], [ids[fits]]
+        for s, n in zip(start[size > plan.large].tolist(), size[size > plan.large].tolist(), strict=True):
+            x, y = _bucket_pairs(ids[s : s + n], sketch[s : s + n], plan, _LEADERS)
             a += x
             b += y
+        compared = np.bincount(run[fits], minlength=len(start))
+        open_ = np.flatnonzero((size[run] > 2) | ((size[run] == 2) & (compared[run] == 0)))
         one, two = np.concatenate(a), np.concatenate(b)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], names=["a", "b"])
+        kinds = np.repeat(np.array([_PAIR, _OPEN], dtype=np.int32), [len(one), len(open_)])
+        none = np.zeros(len(open_), dtype=np.int64), np.zeros(len(one), dtype=np.int64)
+        columns = (kinds, np.r_[np.minimum(one, two), ids[open_]], np.r_[np.maximum(one, two), none[0]], np.r_[none[1], bucket[open_]])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["kind", "a", "b", "bucket"])
+
+
+_WORDS = 8  # of 64 bits, in the bitmap of a set
+
+
+class _Sets:
+    """Distinct shingles of lines, as sorted 48-bit hashes, with their sizes and bitmaps."""
+
+    def __init__(self, lines: list[str], plan: LinePlan):
+        self.plan = plan
+        owner, hashes = shingle_hashes(lines, plan.width)
+        order = np.lexsort((hashes, owner))
+        owner, hashes = owner[order], hashes[order] >> np.uint64(16)
+        new = np.r_[True, (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])]
+        owner, self.hashes = owner[new], hashes[new]
+        self.size = np.bincount(owner, minlength=len(lines))
+        self.start = np.cumsum(self.size) - self.size
+        bits = np.zeros(len(lines) * _WORDS, dtype=np.uint64)
+        word = ((self.hashes >> np.uint64(6)) & np.uint64(_WORDS - 1)).astype(np.int64)
+        np.bitwise_or.at(bits, owner * _WORDS + word, np.uint64(1) << (self.hashes & np.uint64(63)))
+        self.bits = bits.reshape(-1, _WORDS)
+
+    def may_link(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Numbers of the pairs that may reach the similarity; no other does: a bit that one bitmap alone has is a shingle that one set alone has."""
+        m, n = self.size[x], self.size[y]
+        sizes = np.flatnonzero(100 * np.minimum(m, n) >= self.plan.percent * np.maximum(m, n))
+        x, y, m, n = x[sizes], y[sizes], m[sizes], n[sizes]
+        p, q = self.bits[x], self.bits[y]
+        most = np.minimum(m - np.bitwise_count(p & ~q).sum(1, dtype=np.int64), n - np.bitwise_count(q & ~p).sum(1, dtype=np.int64))
+        return sizes[100 * most >= self.plan.percent * (m + n - most)]
+
+    def linked(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which pairs reach the similarity, on full sets."""
+        out = np.zeros(len(x), dtype=bool)
+        work = np.cumsum(self.size[x] + self.size[y])
+        part = np.maximum(work // (1 << 18), np.arange(len(x)) // 1000)
+        edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(x)]
+        for low, high in zip(edges, edges[1:], strict=False):
+            both = np.concatenate([self._keys(x[low:high]), self._keys(y[low:high])])
+            both.sort()
+            common = (both[1:][both[1:] == both[:-1]] >> np.uint64(48)).astype(np.int64)
+            common = np.bincount(common, minlength=high - low)
+            out[low:high] = 100 * common >= self.plan.percent * (self.size[x[low:high]] + self.size[y[low:high]] - common)
+        return out
+
+    def _keys(self, rows: np.ndarray) -> np.ndarray:
+        count = self.size[rows]
+        pair = np.repeat(np.arange(len(rows)), count)
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(count) - count, count) + self.start[rows][pair]
+        return (pair.astype(np.uint64) << np.uint64(48)) | self.hashes[at]
+
+
+def _links_within(group: np.ndarray, component: np.ndarray, block: np.ndarray, both: np.ndarray, sets: _Sets) -> tuple[np.ndarray, np.ndarray]:
+    """Links of rows of one group, sorted by it; every two rows of different components are compared, and in a group
+    where ``both`` is set only those of different blocks.
+
+    Rows that a link connects on the way count as connected from then on.
+    """
+    a, b = [], []
+    x = np.arange(len(group))
+    known = np.unique(component, return_inverse=True)[1]
+    for step in range(1, len(group)):
+        x = x[x + step < len(group)]
+        x = x[group[x] == group[x + step]]
+        if not len(x):
+            break
+        y = x + step
+        apart = np.flatnonzero((known[x] != known[y]) & ~(both[x] & (block[x] == block[y])))
+        near = apart[sets.may_link(x[apart], y[apart])]
+        near = near[sets.linked(x[near], y[near])]
+        for i, j in zip(x[near].tolist(), y[near].tolist(), strict=True):
+            if known[i] != known[j]:
+                a.append(i)
+                b.append(j)
+                known[known == known[j]] = known[i]
+    return np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+
+
+def _second_links(batches: Iterator[pa.RecordBatch], plan: LinePlan) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) of lines that are not connected yet; rows are bucket, i, j, block, component, id and line, sorted.
+
+    i and j are the blocks of a bucket that meet here.
+    """
+    held: list[pa.RecordBatch] = []
+
+    def found(rows: pa.Table) -> pa.RecordBatch:
+        bucket, i, j, block, component, ids = (rows.column(k).to_numpy() for k in range(6))
+        group = np.cumsum(np.r_[True, (bucket[1:] != bucket[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])])
+        one, two = _links_within(group, component, block, i != j, _Sets(rows.column(6).to_pylist(), plan))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[one], ids[two])), pa.array(np.maximum(ids[one], ids[two]))], names=["a", "b"])
+
+    def whole(last: bool) -> Iterator[pa.RecordBatch]:
+        """Groups that are complete; the last one is held back unless nothing follows."""
+        rows = pa.Table.from_batches(held)
+        key = [rows.column(k).to_numpy() for k in range(3)]
+        earlier = np.flatnonzero(np.logical_or.reduce([k != k[-1] for k in key]))
+        cut = rows.num_rows if last else int(earlier[-1]) + 1 if len(earlier) else 0
+        held[:] = rows.slice(cut).to_batches()
+        if cut:
+            yield found(rows.slice(0, cut))
+
+    for batch in batches:
+        for part in _slices(batch, 6, 10_000, 1 << 21):
+            held.append(part)
+            yield from whole(False)
+    if held:
+        yield from whole(True)
 
 
 def _lines(docs: DataFrame, text: str, key: str) -> DataFrame:
@@ -305,16 +385,29 @@ def _confirm(batches: Iterator[pa.RecordBatch], plan: LinePlan) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays([part.column(i).filter(linked) for i in range(2)], names=["a", "b"])
 
 
-def _links(pairs: DataFrame, lines: DataFrame, plan: LinePlan) -> DataFrame:
+def _texts(wanted: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines of the wanted ids, each once."""
+    kept = lines.mapInArrow(_kept_lines(wanted), "id long, line string").join(wanted, "id", "left_semi")
+    return stage(kept.groupBy("id").agg(F.min("line").alias("line")), "line-texts")
+
+
+def _links(pairs: DataFrame, texts: DataFrame, plan: LinePlan) -> DataFrame:
     """Those pairs of line ids whose exact similarity links them."""
-    wanted = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "line-wanted")
-    texts = lines.mapInArrow(_kept_lines(wanted), "id long, line string").join(wanted, "id", "left_semi")
-    texts = stage(texts.groupBy("id").agg(F.min("line").alias("line")), "line-texts")
     full = pairs.join(texts.select(F.col("id").alias("b"), F.col("line").alias("y")), "b")
     full = full.join(texts.select(F.col("id").alias("a"), F.col("line").alias("x")), "a").select("a", "b", "x", "y")
-    found = stage(full.mapInArrow(lambda batches: _confirm(batches, plan), "a long, b long"), "line-links")
-    discard(wanted, texts)
-    return found
+    return stage(full.mapInArrow(lambda batches: _confirm(batches, plan), "a long, b long"), "line-links")
+
+
+def _open_blocks(rows: DataFrame, plan: LinePlan) -> DataFrame:
+    """Rows (bucket, id, component) of buckets that are not connected, once for every two blocks that meet.
+
+    A bucket has one block for each ``large`` of its rows.
+    """
+    sizes = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"))
+    sizes = sizes.where("least <> most").select("bucket", F.ceil(F.col("n") / plan.large).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "id")
 
 
 def _kept_lines(wanted: DataFrame):
@@ -338,27 +431,26 @@ def line_components(docs: DataFrame, plan: LinePlan = LinePlan(), text: str = "t
     """id and component of every line that links with another, different one."""
     lines = _lines(docs, text, key).select("id", "line")
     rows = "bucket long, id long, sketch long"
-    banded = _dealt(lines.mapInArrow(lambda batches: _banded(batches, plan), rows))
-    found = [stage(banded.mapInArrow(lambda batches: _first_pairs(batches, plan, True), _FOUND), "line-first")]
-    wide = stage(found[0].where(F.col("kind") == _LARGE).select(F.col("a").alias("id")).distinct(), "line-large")
-    if wide.limit(1).count():  # lines of large buckets meet again where two of their bands agree
-        again = lines.mapInArrow(_kept_lines(wide), "id long, line string").join(wide, "id", "left_semi")
-        twice = _dealt(again.mapInArrow(lambda batches: _banded(batches, plan, True), rows))
-        found.append(stage(twice.mapInArrow(lambda batches: _first_pairs(batches, plan, False), _FOUND), "line-first"))
-    met = reduce(DataFrame.union, found)
-    first = stage(met.where(F.col("kind") == _PAIR).select("a", "b").distinct(), "line-pairs")
-    links = _links(first, lines, plan)
+    banded = lines.mapInArrow(lambda batches: _banded(batches, plan), rows).repartition("bucket").sortWithinPartitions("bucket", "id")
+    met = stage(banded.mapInArrow(lambda batches: _first_pairs(batches, plan), _FOUND), "line-first")
+    pairs = met.where(F.col("kind") == _PAIR)
+    ids = met.select(F.col("a").alias("id")).union(pairs.select("b"))
+    wanted = stage(ids.distinct(), "line-wanted")
+    texts = _texts(wanted, lines)
+    discard(wanted)
+    first = stage(pairs.select("a", "b").distinct(), "line-pairs")
+    links = _links(first, texts, plan)
     labels = connected(links)
-    discard(wide, first, links)
-    # what a bucket's first line did not connect
-    known = met.where(F.col("kind") == _OPEN).select("bucket", F.col("a").alias("id"), "sketch")
+    discard(first, links)
+    # what the first lines of a bucket did not connect
+    known = met.where(F.col("kind") == _OPEN).select("bucket", F.col("a").alias("id"))
     known = known.join(labels.withColumnRenamed("node", "id"), "id", "left")
-    known = _dealt(known.select("bucket", "id", "sketch", F.coalesce("component", "id").alias("component")))
-    second = known.mapInArrow(lambda batches: _second_pairs(batches, plan), "a long, b long").distinct()
-    second = stage(second, "line-pairs")
-    links = _links(second, lines, plan)
+    known = stage(known.select("bucket", "id", F.coalesce("component", "id").alias("component")), "line-open")
+    dealt = _open_blocks(known, plan).join(texts, "id").select("bucket", "i", "j", "block", "component", "id", "line")
+    dealt = dealt.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "id")
+    links = stage(dealt.mapInArrow(lambda batches: _second_links(batches, plan), "a long, b long").distinct(), "line-links")
     whole = connected(links.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
-    discard(*found, second, links, labels)
+    discard(met, texts, known, links, labels)
     return whole.withColumnRenamed("node", "id")
 
 

@@ -164,3 +164,49 @@ def test_many_copies_give_few_candidates():
     _, sketch = fuzzy_lines.signatures(lines, plan)
     a, b = fuzzy_lines._bucket_pairs(np.arange(2000), sketch, plan)
     assert sum(map(len, b)) < 20 * 2000
+
+
+def linked_rows(rng, n=40):
+    """Documents of one line: edited copies of a few lines, with similarities on both sides of the threshold."""
+    bases = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randint(100, 300))) for _ in range(4)]
+    rows = []
+    for d in range(n):
+        line = list(rng.choice(bases))
+        for _ in range(rng.randint(1, 4)):
+            line[rng.randrange(5, len(line) - 5)] = rng.choice("qrstuvwxyz")
+        rows.append((d, "".join(line)))
+    return rows
+
+
+def test_sketches_leave_no_pair_of_a_bucket_out(spark):
+    """Whatever sketches say of the lines of a bucket, all that reach the similarity are linked."""
+    rows = linked_rows(random.Random(17))
+    docs = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    want = brute(rows)
+    assert 0 < sum(map(len, want.values())) < 39
+    # one entry a band: lines that reach the similarity share a bucket; no sketch fits, or any counts as done
+    plan = fuzzy_lines.LinePlan(rows=1, bands=30, least_agreement=31, sure_agreement=0, least_values=0)
+    assert {r.doc_id: r.dropped for r in fuzzy_lines.line_report(docs, plan).collect()} == want
+
+
+def test_lines_of_large_buckets_need_one_band_alone(spark):
+    """Blocks of a large bucket meet each other: the result is that of a bucket in one piece."""
+    rows = linked_rows(random.Random(19))
+    docs = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)
+    found = [
+        {r.doc_id: r.dropped for r in fuzzy_lines.line_report(docs, fuzzy_lines.LinePlan(rows=1, bands=1, large=large)).collect()}
+        for large in (3, 10**6)
+    ]
+    assert found[0] == found[1] and sum(map(len, found[0].values())) > 0
+
+
+def test_bound_on_sets_passes_every_linked_pair():
+    import numpy as np
+
+    rng = random.Random(23)
+    lines = [line for _, line in linked_rows(rng, 150)] + ["".join(rng.choice("ab") for _ in range(rng.randint(1, 30))) for _ in range(50)]
+    sets = fuzzy_lines._Sets(lines, fuzzy_lines.LinePlan())
+    x, y = np.triu_indices(len(lines), 1)
+    want = [100 * len(shingles(lines[i]) & shingles(lines[j])) >= 75 * len(shingles(lines[i]) | shingles(lines[j])) for i, j in zip(x, y, strict=True)]
+    assert sets.linked(x, y).tolist() == want and sum(want) > 100
+    assert set(np.flatnonzero(want)) <= set(sets.may_link(x, y).tolist()) and len(sets.may_link(x, y)) < len(x) / 2
