@@ -51,6 +51,8 @@ class PackedCodes:
     packed: DataFrame | None = None  # key, copies
     #: copies of the empty code, for sets that list it
     blanks: dict[CodeSet, int] = field(default_factory=dict)
+    #: sets that list some code more than once; a value of the others counts once, found or not
+    repeated: set[CodeSet] = field(default_factory=set)
 
     def broadcast_table(self) -> DataFrame:
         """Every use is the same plan without a condition of its own, so that it is broadcast once."""
@@ -78,7 +80,9 @@ def pack(sources: Sources, code_sets: Iterable[CodeSet], limit: int = BROADCAST_
     counted = stage(listed.groupBy("set_no", "key").agg(F.expr(f"{copies} as copies")), "code-sets")
     entry = _ENTRY_OVERHEAD + 8 * len(numbers)
     sizes = counted.groupBy("set_no").agg(
-        F.expr(f"count(1) * {entry} + sum(octet_length(key)) as size"), F.expr("max(case when key = '' then copies end) as blank")
+        F.expr(f"count(1) * {entry} + sum(octet_length(key)) as size"),
+        F.expr("max(case when key = '' then copies end) as blank"),
+        F.expr("max(copies) as most"),
     ).collect()
     measured = dict.fromkeys(numbers.values(), 0) | {row["set_no"]: row["size"] for row in sizes}
     small, used = [], 0
@@ -89,7 +93,9 @@ def pack(sources: Sources, code_sets: Iterable[CodeSet], limit: int = BROADCAST_
         small.append(code_set)
     blanks = {row["set_no"]: row["blank"] for row in sizes if row["blank"] is not None}
     blanks = {s: blanks[i] for s, i in numbers.items() if i in blanks}
-    found = PackedCodes(numbers, {s: i for i, s in enumerate(small)}, counted, blanks=blanks)
+    most = {row["set_no"]: row["most"] for row in sizes}
+    repeated = {s for s, i in numbers.items() if most.get(i, 1) > 1}
+    found = PackedCodes(numbers, {s: i for i, s in enumerate(small)}, counted, blanks=blanks, repeated=repeated)
     if small:
         by_set = [F.expr(f"max(case when set_no = {numbers[s]} then copies end)") for s in small]
         wanted = counted.where(F.col("set_no").isin(*(numbers[s] for s in small)))

@@ -101,8 +101,35 @@ class _Counted:
     check: FieldCheck
     rule: V.Verdict
     weight: str | None = None
-    #: counters of a check whose values are counted elsewhere
-    beside: dict[str, str] | None = None
+
+
+# Good values of a check that are counted elsewhere.
+_ELSEWHERE = "false"
+
+
+def _counts(rule: V.Verdict, weight: str | None) -> dict[str, str]:
+    """Aggregates of the classes that a rule can give.
+
+    Of a check whose values are counted elsewhere, the rows that fail its gate are a count that others of that gate share.
+    """
+    if rule.good in (None, _ELSEWHERE) and weight is None:
+        if rule.applies is None:
+            return {"total_rows": "count(1)", "null_rows": f"count_if({rule.blank})"}
+        return {
+            "total_rows": "count(1)",
+            "not_applicable_rows": f"count_if(not ({rule.applies}))",
+            "null_rows": f"count_if(coalesce({rule.applies}, true) and {rule.blank})",
+        }
+    wanted = {"null_rows": V.NULL}
+    if rule.applies is not None:
+        wanted["not_applicable_rows"] = V.NOT_APPLICABLE
+    if rule.good not in (None, _ELSEWHERE):
+        wanted["good_rows"] = V.GOOD
+    if weight is None:
+        return {"total_rows": "count(1)"} | {name: f"count_if({rule.code()} = {v})" for name, v in wanted.items()}
+    return {"total_rows": f"sum({weight})"} | {
+        name: f"sum(case when {rule.code()} = {v} then {weight} else 0 end)" for name, v in wanted.items()
+    }
 
 
 def _count_side_by_side(frame: DataFrame, counted: Sequence[_Counted]) -> DataFrame:
@@ -110,38 +137,19 @@ def _count_side_by_side(frame: DataFrame, counted: Sequence[_Counted]) -> DataFr
 
     Rules stand inside the aggregates rather than in a projection below them:
     Spark generates a method per aggregate, and the loop over rows stays below
-    the size (8000 bytes) from which the JVM would only interpret it.
+    the size (8000 bytes) from which the JVM would only interpret it. What several
+    fields count alike, such as the rows that fail a gate, is counted once.
     """
-    totals, unfolded = ["count(1) as n"], []
-    for i, item in enumerate(counted):
-        if item.beside is not None:
-            totals += [f"{count} as {name}{i}" for name, count in item.beside.items()]
-            counts = {name: f"{name}{i}" if name in item.beside else "0" for name in _COUNTERS}
-            numbers = ", ".join(f"cast({counts[name]} as bigint) as {name}" for name in _COUNTERS)
-            unfolded.append(f"struct({_labels(item.check)}, {numbers})")
-            continue
-        code = item.rule.code()
-        wanted = {"null_rows": V.NULL}
-        if item.rule.applies is not None:
-            wanted["not_applicable_rows"] = V.NOT_APPLICABLE
-        if item.rule.good is not None:
-            wanted["good_rows"] = V.GOOD
-        counts = {name: f"{name}{i}" if name in wanted else "0" for name in _COUNTERS}
-        if item.weight is None:
-            totals += [f"count_if({code} = {v}) as {name}{i}" for name, v in wanted.items()]
-            counts["total_rows"] = "n"
-        else:
-            totals += [
-                f"sum(case when {code} = {v} then {item.weight} else 0 end) as {name}{i}"
-                for name, v in wanted.items()
-            ]
-            totals.append(f"sum({item.weight}) as total_rows{i}")
-            counts["total_rows"] = f"total_rows{i}"
+    totals, unfolded = {"count(1)": "n"}, []
+    for item in counted:
+        counts = dict.fromkeys(_COUNTERS, "0")
+        for name, count in _counts(item.rule, item.weight).items():
+            counts[name] = totals.setdefault(count, f"count_{len(totals)}")
         if item.rule.good is None:
             counts["good_rows"] = "{total_rows} - {not_applicable_rows} - {null_rows}".format(**counts)
         numbers = ", ".join(f"cast({counts[name]} as bigint) as {name}" for name in _COUNTERS)
         unfolded.append(f"struct({_labels(item.check)}, {numbers})")
-    wide = frame.groupBy(*GRAIN).agg(*map(F.expr, totals))
+    wide = frame.groupBy(*GRAIN).agg(*[F.expr(f"{count} as {name}") for count, name in totals.items()])
     return wide.selectExpr(*GRAIN, f"inline(array({', '.join(unfolded)}))")
 
 
@@ -164,19 +172,10 @@ def _with_broadcast_lookups(
     return frame, copies
 
 
-def _probed_value(check: FieldCheck) -> str:
-    return f"coalesce({', '.join(value for _, value in _lookups(check))})"
-
-
-def _beside_values(check: FieldCheck, codes: sets.PackedCodes) -> dict[str, str]:
-    """Counters of the rows that have no value to look up: NULL matches nothing, and the copies of the empty code are known."""
-    rule = verdict(check, "", "false")
-    blanks = " ".join(f"when {value} = '' then {codes.blanks.get(s, 1)}L" for s, value in _lookups(check))
-    weight = f"case when {_probed_value(check)} is null then 1L {blanks} else 0L end"
-    wanted = {"null_rows": V.NULL} | ({} if rule.applies is None else {"not_applicable_rows": V.NOT_APPLICABLE})
-    return {"total_rows": f"sum({weight})"} | {
-        name: f"sum(case when {rule.code()} = {v} then {weight} else 0L end)" for name, v in wanted.items()
-    }
+def _beside_weight(check: FieldCheck, codes: sets.PackedCodes) -> str | None:
+    """How often a row counts before its value is looked up: NULL matches nothing, and the copies of the empty code are known."""
+    blanks = [f"when {value} = '' then {codes.blanks[s]}L" for s, value in _lookups(check) if codes.blanks.get(s, 1) != 1]
+    return f"case {' '.join(blanks)} else 1L end" if blanks else None
 
 
 # Groups of a table that may be broadcast: source, payer, plan and a number.
@@ -191,26 +190,37 @@ def _numbered_grains(beside: DataFrame) -> DataFrame:
 def _count_by_value(
     frame: DataFrame, checks: Sequence[FieldCheck], codes: sets.PackedCodes, grains: DataFrame
 ) -> DataFrame:
-    """For code sets too large to broadcast: one narrow row per value, joined to the codes by one shuffle.
+    """For code sets too large to broadcast: what each value found in them adds to the counters beside the rows.
 
-    A row has the number of its group, the value and the gates that fail, nothing else. Codes are hashed, so that
-    the values are not sorted. NULL and the empty text, often the commonest values, are counted beside the row;
+    A narrow row per value, joined to the codes by one shuffle, has the number of its group, the value and whether
+    its gate fails, nothing else. Every row has counted once already, so that values that are not found add nothing,
+    nor do values whose gate fails if their set lists every code once: the latter stay where they are. Codes are
+    hashed, so that the values are not sorted. NULL and the empty text, often the commonest values, never travel;
     both inputs of the join come straight from a shuffle, so that any other hot value is split at run time.
     """
     grains = broadcast_if_within(grains, MAX_BROADCAST_GRAINS)
     probes = [(i, check, s, value) for i, check in enumerate(checks) for s, value in _lookups(check)]
-    gates = sorted({c.gate for c in checks if c.gate})
+    # gates of values that have to be looked up though they fail
+    gates = sorted({c.gate for _, c, s, _ in probes if c.gate and s in codes.repeated})
     failed = " + ".join(f"case when not (claim_type = {V.quoted(g)}) then {1 << k} else 0 end" for k, g in enumerate(gates))
     same = " and ".join(f"{g} <=> grain_{g}" for g in GRAIN)
     known = grains.selectExpr("grain", *[f"{g} as grain_{g}" for g in GRAIN])
+
+    def travelling(check: FieldCheck, code_set: CodeSet, value: str) -> str:
+        if not check.gate or code_set in codes.repeated:
+            return f"nullif({value}, '')"
+        return f"case when not (claim_type = {V.quoted(check.gate)}) then null else nullif({value}, '') end"
+
     lines = frame.join(known, F.expr(same)).selectExpr(
-        "grain", f"{failed or 0} as failed_gates", *[f"nullif({value}, '') as `{k}`" for k, (_, _, _, value) in enumerate(probes)]
+        "grain",
+        f"{failed or 0} as failed_gates",
+        *[f"{travelling(c, s, value)} as `{k}`" for k, (_, c, s, value) in enumerate(probes)],
     )
 
     def by_probe(numbers: Iterable[int]) -> str:
         return f"array({', '.join(map(str, numbers))})[cast(probe as int)]"
 
-    gated = by_probe(1 << gates.index(c.gate) if c.gate else 0 for _, c, _, _ in probes)
+    gated = by_probe(1 << gates.index(c.gate) if c.gate in gates else 0 for _, c, _, _ in probes)
 
     literal_null = [str(i) for i, c in enumerate(checks) if c.kind == "in_any_column"]
     blank = f"when entry in ({', '.join(literal_null)}) and value = 'NULL' then {V.NULL}" if literal_null else ""
@@ -231,16 +241,15 @@ def _count_by_value(
         .selectExpr(
             "grain",
             "entry",
-            "coalesce(copies, 1L) as weight",
+            "coalesce(copies, 1L) - 1L as more",
             f"case when tag % 2 = 1 then {V.NOT_APPLICABLE} {blank} when copies is null then {V.BAD} else {V.GOOD} end as verdict",
         )
         .groupBy("grain", "entry")
         .agg(
-            F.expr("sum(weight) as total_rows"),
-            *[
-                F.expr(f"sum(case when verdict = {code} then weight else 0L end) as {name}")
-                for name, code in zip(_COUNTERS[1:], (V.NOT_APPLICABLE, V.NULL, V.GOOD))
-            ],
+            F.expr("sum(more) as total_rows"),
+            F.expr(f"sum(case when verdict = {V.NOT_APPLICABLE} then more else 0L end) as not_applicable_rows"),
+            F.expr(f"sum(case when verdict = {V.NULL} then more else 0L end) as null_rows"),
+            F.expr(f"sum(case when verdict = {V.GOOD} then more + 1L else 0L end) as good_rows"),
         )
     )
     labels = ", ".join(f"struct({_labels(check)})" for check in checks)
@@ -291,7 +300,7 @@ def _tally(
             else _Counted(c, verdict(c, as_of))
             for c in beside
         ]
-        counted += [_Counted(c, verdict(c, as_of, "false"), beside=_beside_values(c, codes)) for c in by_value]
+        counted += [_Counted(c, verdict(c, as_of, _ELSEWHERE), _beside_weight(c, codes)) for c in by_value]
         parts.append(_count_side_by_side(frame, counted))
         if by_value:
             split = True

@@ -7,7 +7,15 @@ import pytest
 from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators import catalog as C
 from claimgauge.operators.code_sets import counted_keys, pack
-from claimgauge.operators.field_quality import completeness_summary, field_summaries, validity_summary
+from claimgauge.operators.field_quality import (
+    GRAIN,
+    _count_by_value,
+    _counts,
+    completeness_summary,
+    field_summaries,
+    validity_summary,
+    verdict,
+)
 from claimgauge.sources.sample_claims import RELATIONS, sample_sources
 from claimgauge.sources.tables import Sources
 
@@ -235,3 +243,37 @@ def test_values_of_large_sets_travel_as_narrow_rows(spark, sample):
     assert "ShuffledHashJoin" in plan and "lambdafunction" not in plan
     grouped = [x for x in plan.splitlines() if "HashAggregate(keys=[" in x and "value#" in x.partition("functions=")[0]]
     assert grouped == []
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_a_failed_gate_counts_the_copies_of_a_code(spark, limit):
+    rows = [("professional", "ms-drg", code, None) for code in ("m", "z", "", None)] + [("institutional", "ms-drg", "m", None)]
+    sources = Sources.from_frames(
+        {C.MEDICAL: medical(spark, rows)} | sets(spark, ms_drg=("ms_drg_code", ["m", "m", "m", "", ""]), apr_drg=("apr_drg_code", ["a"]))
+    )
+    (row,) = validity_summary(sources, RUN, C.only(C.VALIDITY, kind="drg"), AS_OF, limit).collect()
+    # not applicable: m three times, z once, '' twice, NULL once
+    assert (row.total_rows, row.not_applicable_rows, row.null_rows, row.valid_rows) == (10, 7, 0, 3)
+
+
+@pytest.mark.parametrize(("codes", "found"), [(["m", "n"], 0), (["m", "m"], 1)])
+def test_values_whose_gate_fails_travel_only_to_repeated_codes(spark, codes, found):
+    """A set that lists every code once adds nothing to a row that has counted already."""
+    sources = Sources.from_frames(
+        {C.MEDICAL: medical(spark, [("professional", "ms-drg", "m", None), ("professional", "ms-drg", "z", None)])}
+        | sets(spark, ms_drg=("ms_drg_code", codes), apr_drg=("apr_drg_code", ["a"]))
+    )
+    checks = C.only(C.VALIDITY, kind="drg")
+    table = sources.table(C.MEDICAL)
+    grains = table.select(*GRAIN).distinct().selectExpr("*", "0L as grain")
+    packed = pack(sources, {s for c in checks for s in c.code_sets}, limit=0)
+    assert len(_count_by_value(table, checks, packed, grains).collect()) == found
+
+
+def test_what_is_filled_is_counted_with_what_is_looked_up():
+    """Both summaries of a code too large to broadcast take the same aggregates, so that a row has fewer than 100."""
+    known = {c.field: c for c in C.only(C.VALIDITY, kind="in_reference", model=C.MEDICAL)}
+    for check in C.only(C.COMPLETENESS, model=C.MEDICAL):
+        if check.field in known:
+            beside = _counts(verdict(known[check.field], AS_OF, "false"), None)
+            assert _counts(verdict(check, AS_OF), None) == beside
