@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from claimgauge.functions.verdicts import quoted
 from claimgauge.operators.catalog import CodeSet
-from claimgauge.operators.code_sets import counted_keys
+from claimgauge.operators.code_sets import counted_by_set
 from claimgauge.operators.history import FIELD_KEY, MONTH_KEY
 from claimgauge.sources.tables import Sources
 
@@ -58,9 +58,12 @@ def out_of_bounds(rows: DataFrame, percents: Sequence[str]) -> DataFrame:
     return rows.where(" or ".join(f"{c} < 0 or {c} > 100" for c in percents))
 
 
-def repeated_codes(sources: Sources, code_set: CodeSet) -> DataFrame:
-    """Codes listed more than once; each copy inflates the rows it matches."""
-    return counted_keys(sources, code_set).where("copies > 1")
+def repeated_codes(sources: Sources, *code_sets: CodeSet) -> DataFrame:
+    """Codes listed more than once, with the table of their set; each copy inflates the rows it matches."""
+    numbers = {s: i for i, s in enumerate(code_sets)}
+    tables = ", ".join(quoted(s.table) for s in numbers)
+    repeated = counted_by_set(sources, numbers).where("copies > 1")
+    return repeated.selectExpr(f"array({tables})[set_no] as table_name", "key", "copies")
 
 
 def unique_report(tables: Mapping[str, tuple[DataFrame, Expectation]]) -> DataFrame:

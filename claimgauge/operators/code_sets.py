@@ -8,7 +8,7 @@ to counted values by one shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -40,6 +40,19 @@ def counted_keys(sources: Sources, code_set: CodeSet) -> DataFrame:
     return _keys(sources, code_set).groupBy("key").agg(F.expr(f"{copies} as copies"))
 
 
+def counted_by_set(sources: Sources, numbers: Mapping[CodeSet, int]) -> DataFrame:
+    """The same for several sets, each by its number, in one aggregation.
+
+    An aggregation per set would put the hash tables of all sets into each task behind their union.
+    """
+    listed = reduce(
+        DataFrame.unionByName, [_keys(sources, s).selectExpr(f"{i} as set_no", "key") for s, i in numbers.items()]
+    )
+    distinct = ", ".join(str(i) for s, i in numbers.items() if len(s.columns) > 1)
+    copies = f"case when set_no in ({distinct}) then 1L else count(1) end" if distinct else "count(1)"
+    return listed.groupBy("set_no", "key").agg(F.expr(f"{copies} as copies"))
+
+
 @dataclass
 class PackedCodes:
     """Counted codes of several sets as written tables."""
@@ -72,12 +85,7 @@ def pack(sources: Sources, code_sets: Iterable[CodeSet], limit: int = BROADCAST_
     numbers = {s: i for i, s in enumerate(sorted(set(code_sets), key=lambda s: s.name))}
     if not numbers:
         return PackedCodes()
-    listed = reduce(
-        DataFrame.unionByName, [_keys(sources, s).selectExpr(f"{i} as set_no", "key") for s, i in numbers.items()]
-    )
-    distinct = ", ".join(str(i) for s, i in numbers.items() if len(s.columns) > 1)
-    copies = f"case when set_no in ({distinct}) then 1L else count(1) end" if distinct else "count(1)"
-    counted = stage(listed.groupBy("set_no", "key").agg(F.expr(f"{copies} as copies")), "code-sets")
+    counted = stage(counted_by_set(sources, numbers), "code-sets")
     entry = _ENTRY_OVERHEAD + 8 * len(numbers)
     sizes = counted.groupBy("set_no").agg(
         F.expr(f"count(1) * {entry} + sum(octet_length(key)) as size"),

@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType, DoubleType
 from claimgauge.functions.run_stamp import RunMeta, resolve_run_ts
 from claimgauge.operators import assertions, diagnostics, member_diagnostics
 from claimgauge.operators import reconciliation as R
-from claimgauge.operators.catalog import COMPLETENESS, MODELS, VALIDITY, CodeSet, only
+from claimgauge.operators.catalog import COMPLETENESS, MODELS, VALIDITY, only
 from claimgauge.operators.field_quality import completeness_summary, validity_summary
 from claimgauge.operators.history import validity_run_delta
 from claimgauge.operators.run_tables import RunTable
@@ -182,16 +182,7 @@ def _run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _repeated_codes(sources: Sources) -> DataFrame:
     sets = sorted({s for c in VALIDITY for s in c.code_sets if len(s.columns) == 1}, key=lambda s: s.name)
-
-    def repeated(code_set: CodeSet) -> DataFrame:
-        return assertions.repeated_codes(sources, code_set).select(
-            F.lit(code_set.table).alias("table_name"), "key", "copies"
-        )
-
-    frame = repeated(sets[0])
-    for code_set in sets[1:]:
-        frame = frame.unionByName(repeated(code_set))
-    return frame
+    return assertions.repeated_codes(sources, *sets)
 
 
 def _validity_of_kind(kind: str) -> Query:

@@ -4,8 +4,11 @@ import pytest
 
 from claimgauge.functions.run_stamp import RunMeta
 from claimgauge.operators import assertions as A
+from claimgauge.operators.assertions import repeated_codes
+from claimgauge.operators.catalog import CodeSet
 from claimgauge.plans.runs import Runs
 from claimgauge.sources.sample_claims import sample_sources
+from claimgauge.sources.tables import Sources
 
 
 @pytest.fixture(scope="module")
@@ -59,3 +62,19 @@ def test_repeated_keys_with_unknown_payer_are_found(spark):
     rows = spark.sql("select * from values ('r', null, 1), ('r', null, 2), ('r', 'P', 3) as t(run_id, payer, n)")
     (row,) = A.not_unique(rows, ("run_id", "payer")).collect()
     assert (row.payer, row.copies) == (None, 2)
+
+
+def test_codes_of_all_sets_are_counted_by_one_aggregation(spark):
+    """One hash table in a task, not one of each set."""
+    race = CodeSet("terminology__race", ("description",))
+    ndc = CodeSet("terminology__ndc", ("ndc",))
+    sources = Sources.from_frames(
+        {
+            race.table: spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "description string"),
+            ndc.table: spark.createDataFrame([("a",), ("b",), ("b",), ("b",)], "ndc string"),
+        }
+    )
+    rows = repeated_codes(sources, race, ndc)
+    assert sorted(map(tuple, rows.collect())) == [("terminology__ndc", "b", 3), ("terminology__race", "a", 2)]
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("HashAggregate") == 2 and plan.index("HashAggregate") < plan.index("Union")
