@@ -168,27 +168,42 @@ def _paragraphs(body: Column, line_break: str) -> Column:
     return F.split(F.btrim(F.array_join(lines, "\n"), F.lit("\n")), "\n\n+")
 
 
-def _placed_grams(openers: list[str]) -> Column:
-    """Runs of words that begin with one of ``openers``, as (gram, line, lines): of each line, and of a paragraph of several."""
-    size, n = F.size("words"), F.size("lines")
+def _words_by_place(wanted: DataFrame) -> dict[int, list[list[str]]]:
+    """Of the runs of one, two and three words, the words that stand at each place; as many as ``wanted`` has at most."""
+    words = F.split("gram", " ")
+    placed = wanted.where("gram is not null").select(F.size(words).alias("size"), F.posexplode(words).alias("place", "word")).distinct()
+    found: dict[int, list[list[str]]] = {k: [[] for _ in range(k)] for k in (1, 2, 3)}
+    for row in placed.orderBy("size", "place", "word").collect():
+        found[row["size"]][row["place"]].append(row["word"])
+    return found
+
+
+def _placed_grams(places: dict[int, list[list[str]]]) -> Column:
+    """Runs of ``words`` with known words at all places, as (gram, line, last): the lines of its first and its last word."""
+    size = F.size("words")
 
     def runs(k: int) -> Column:
-        starts = F.when(size >= k, F.sequence(F.lit(0), size - k)).otherwise(F.array().cast("array<int>"))
-        starts = F.filter(starts, lambda i: F.get("words", i)["word"].isin(openers))
+        # of places, where a word of ``words`` opens a run
+        starts = F.filter("opened", lambda i: reduce(and_, (F.get("words", i + j).isin(known) for j, known in enumerate(places[k])), i + k <= size))
         return F.transform(
             starts,
             lambda i: F.struct(
-                F.concat_ws(" ", *(F.get("words", i + j)["word"] for j in range(k))).alias("gram"),
-                F.get("words", i)["line"].alias("line"), F.get("words", i + k - 1)["line"].alias("last"),
+                F.concat_ws(" ", *(F.get("words", i + j) for j in range(k))).alias("gram"),
+                F.get("line_of", i).alias("line"), F.get("line_of", i + (k - 1)).alias("last"),
             ),
         )
 
-    found = F.concat(*(runs(k) for k in (1, 2, 3)))
-    entry = lambda gram, line, lines: F.struct(gram.alias("gram"), line.alias("line"), lines.alias("lines"))
-    single = F.transform(F.filter(found, lambda g: g["line"] == g["last"]), lambda g: entry(g["gram"], g["line"], F.lit(1)))
-    whole = F.transform(found, lambda g: entry(g["gram"], F.lit(0), n))
+    return F.concat(*(runs(k) for k in (1, 2, 3)))
+
+
+def _entries() -> Column:
+    """A run's entries, as (line, lines): of its line, and of a paragraph of several."""
+    entry = lambda line, lines: F.struct(line.alias("line"), lines.alias("lines"))
+    single = F.when(F.col("g.line") == F.col("g.last"), F.array(entry(F.col("g.line"), F.lit(1))))
+    whole = F.when(F.col("n_lines") > 1, F.array(entry(F.lit(0), F.col("n_lines"))))
+    none = F.array().cast("array<struct<line:int,lines:int>>")
     # repeats go after the shuffle: array_distinct of structs compares all with all
-    return F.when(n > 1, F.concat(single, whole)).otherwise(single)
+    return F.concat(F.coalesce(single, none), F.coalesce(whole, none))
 
 
 def scan_paragraphs(docs: DataFrame, model: ScanModel, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -198,20 +213,26 @@ def scan_paragraphs(docs: DataFrame, model: ScanModel, text: str = "text", key:
     rows = rows.select("doc_id", F.xxhash64("body").alias("version"), F.explode(_paragraphs(F.col("body"), plan.line_break)).alias("part")).where("part <> ''")
     rows = rows.select("doc_id", "version", F.substring_index("part", ":", 1).cast("int").alias("part_line"), F.split("part", "\n").alias("lines"))
     plain = lambda s: F.regexp_replace(s, F.lit("^[0-9]+:"), F.lit(""))
-    of_lines = F.transform("lines", lambda s, i: F.transform(word_list(plain(s)), lambda w: F.struct(w.alias("word"), i.alias("line"))))
-    rows = rows.select("doc_id", "version", "part_line", "lines", F.flatten(of_lines).alias("words"))
-    # without a telling word there is no feature
-    telling = F.exists("words", lambda w: w["word"].isin(model.telling))
+    # each of these columns is used more than once by the next, and so is made once
+    rows = rows.select("doc_id", "version", "part_line", F.transform("lines", lambda s: word_list(plain(s))).alias("by_line"))
+    line_of = F.flatten(F.transform("by_line", lambda ws, i: F.array_repeat(i, F.size(ws))))
+    rows = rows.select("doc_id", "version", "part_line", F.size("by_line").alias("n_lines"), F.flatten("by_line").alias("words"), line_of.alias("line_of"))
     place = ("doc_id", "version", "part_line", "paragraph", "lines")
     names = [f"w{i}" for i in range(len(model.families))]
     # as many rows as the vocabulary at most, and as the templates have triples
     weights = spark.createDataFrame(model.weights, "gram string, " + ", ".join(f"{n} double" for n in names))
     wanted = weights.select("gram").union(templates(spark).select("gram")).distinct()
-    openers = [r.word for r in wanted.select(F.substring_index("gram", " ", 1).alias("word")).distinct().orderBy("word").collect()]
+    places = _words_by_place(wanted)
+    openers = sorted({word for of_size in places.values() for word in of_size[0]})
+    # without a telling word there is no feature; null and no place alike have no run
+    telling = F.exists("words", lambda w: w.isin(model.telling)) & (F.size("words") > 0)
+    opened = F.when(telling, F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(openers)))
+    rows = rows.select("*", opened.alias("opened"))
     # only runs that a feature or a template has are shuffled; equal rows of documents would count theirs twice
-    found = rows.where(telling).select("doc_id", "version", "part_line", F.explode(_placed_grams(openers)).alias("g"))
-    found = found.select("doc_id", "version", "part_line", (F.col("part_line") + F.col("g.line")).alias("paragraph"), "g.lines", "g.gram")
-    found = stage(found.join(F.broadcast(wanted), "gram").distinct(), "licence-grams")
+    found = rows.select("doc_id", "version", "part_line", "n_lines", F.explode(_placed_grams(places)).alias("g"))
+    found = found.join(F.broadcast(wanted), F.col("g.gram") == F.col("gram")).select("doc_id", "version", "part_line", "gram", F.explode(_entries()).alias("e"))
+    found = found.select("doc_id", "version", "part_line", (F.col("part_line") + F.col("e.line")).alias("paragraph"), "e.lines", "gram")
+    found = stage(found.distinct(), "licence-grams")
     logits = found.join(F.broadcast(weights), "gram").groupBy(*place).agg(
         *((F.sum(n) + F.lit(b)).alias(n) for n, b in zip(names, model.intercepts, strict=True))
     )

@@ -144,3 +144,16 @@ def test_features_and_coverage_against_plain_python(spark, model):
     out = families(spark, model, texts)
     got = {i: (r.paragraphs[0].family, round(r.paragraphs[0].score, 6), round(r.paragraphs[0].coverage, 6)) for i, r in out.items() if r.paragraphs}
     assert got == want and len(want) > 15
+
+
+def test_only_runs_with_a_wanted_word_at_each_place_become_rows(spark):
+    from claimgauge.llm import license_scan
+
+    wanted = spark.createDataFrame([("mit",), ("mit license",), ("of this software",), (None,)], "gram string")
+    places = license_scan._words_by_place(wanted)
+    assert places == {1: [["mit"]], 2: [["mit"], ["license"]], 3: [["of"], ["this"], ["software"]]}
+    # mit and of open runs here that nothing wants
+    words = "of the mit house of this software of this mit license".split()
+    rows = spark.createDataFrame([(words, [0] * 5 + [1] * 6, [i for i, w in enumerate(words) if w in ("mit", "of")])], "words array<string>, line_of array<int>, opened array<int>")
+    (found,) = rows.select(license_scan._placed_grams(places).alias("runs")).collect()
+    assert sorted(tuple(r) for r in found.runs) == [("mit", 0, 0), ("mit", 1, 1), ("mit license", 1, 1), ("of this software", 0, 1)]
