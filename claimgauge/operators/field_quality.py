@@ -282,9 +282,9 @@ def _tally(
     """Counters per (data_source, payer, plan, field) for all given checks."""
     checks = tuple(checks)
     used = {s for c in checks for s in c.code_sets}
-    # counted once for all that share these tables
+    # counted once for all that share these code sets
     name = f"codes within {broadcast_limit}: {sorted(s.name for s in used)}"
-    codes = sources.derived(name, lambda: sets.pack(sources, used, broadcast_limit))
+    codes = sources.references.derived(name, lambda: sets.pack(sources.references, used, broadcast_limit))
     parts, split = [], False
     for model in MODELS:
         mine = [c for c in checks if c.model == model]

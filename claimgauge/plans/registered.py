@@ -67,8 +67,9 @@ def _claim_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _earlier_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    """The tables of the earlier run, over the same claim lines."""
-    return sample_sources(spark, sf_dir, earlier_run=True, lines=lambda: _claim_lines(spark, sf_dir))
+    """The tables of the earlier run, over the same claim lines and code sets."""
+    lines = lambda: _claim_lines(spark, sf_dir)
+    return sample_sources(spark, sf_dir, earlier_run=True, lines=lines, references=_sources(spark, sf_dir))
 
 
 def _on_sources(build: Callable[[Sources], DataFrame]) -> Query:

@@ -253,11 +253,16 @@ def _compiled_apart(relation: DataFrame, apart: bool) -> DataFrame:
 
 
 def sample_sources(
-    spark: SparkSession, sf_dir: str, earlier_run: bool = False, lines: Callable[[], DataFrame] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    earlier_run: bool = False,
+    lines: Callable[[], DataFrame] | None = None,
+    references: Sources | None = None,
 ) -> Sources:
     """Claims relations over the driver's Parquet files in ``sf_dir``.
 
-    ``lines`` gives the table of :func:`claim_lines`, if several runs share it.
+    ``lines`` gives the table of :func:`claim_lines`, if several runs share it. Code sets are the same for all
+    runs over a folder; with ``references`` they are those of another run's tables, and are not counted again.
     """
     base = Sources(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"))
     joined = Sources(lambda _: lines() if lines else claim_lines(spark, sf_dir))
@@ -274,4 +279,4 @@ def sample_sources(
         text = text.replace("/*+ merge(l, o) */ ", "").replace(f" from {CLAIM_LINES_FLAT}", " from {lines}")
         return _compiled_apart(spark.sql(text, lines=joined.table("lines")), apart)
 
-    return Sources(resolve)
+    return Sources(resolve, references)

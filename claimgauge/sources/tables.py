@@ -12,8 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Sources:
-    def __init__(self, resolve: Callable[[str], DataFrame]):
+    def __init__(self, resolve: Callable[[str], DataFrame], references: Sources | None = None):
+        """``references`` are other tables whose code sets are these tables' code sets too."""
         self._resolve = resolve
+        self.references = references or self
         self._tables: dict[str, DataFrame] = {}
         self._derived: dict[str, object] = {}
 

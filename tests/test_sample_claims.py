@@ -1,6 +1,7 @@
 """The mapped claims are joined once for all relations and runs."""
 
 from claimgauge.functions.run_stamp import RunMeta
+from claimgauge.operators import code_sets
 from claimgauge.operators.catalog import MODELS, VALIDITY, only
 from claimgauge.operators.field_quality import validity_summary
 from claimgauge.plans import registered as Q
@@ -49,3 +50,21 @@ def test_counting_loops_of_the_mapped_tables_are_small_enough_to_be_compiled(spa
             assert max(size.maxMethodCodeSize() for top, size in found if "AS run_id#" not in top) < 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_code_sets_are_counted_once_for_both_runs(spark, small_dir, monkeypatch):
+    packed, pack = [], code_sets.pack
+    monkeypatch.setattr(code_sets, "pack", lambda *given: packed.append(given) or pack(*given))
+    monkeypatch.setattr(Q, "_built", {})
+    checks = only(VALIDITY, kind="drg")
+    earlier, later = (
+        validity_summary(sources(spark, small_dir), RunMeta("r"), checks, Q.AS_OF) for sources in (Q._earlier_sources, Q._sources)
+    )
+    assert len(packed) == 1
+    # another plan, the same lines and codes
+    valid = [rows.agg({"total_rows": "sum", "valid_rows": "sum"}).first() for rows in (earlier, later)]
+    assert valid[0] == valid[1] and valid[0]["sum(valid_rows)"] > 0
+    own = validity_summary(sample_sources(spark, small_dir, earlier_run=True), RunMeta("r"), checks, Q.AS_OF)
+    assert len(packed) == 2
+    counted = ["data_source", "payer", "plan", "total_rows", "valid_rows", "invalid_rows"]
+    assert earlier.select(counted).exceptAll(own.select(counted)).count() == own.select(counted).exceptAll(earlier.select(counted)).count() == 0
