@@ -15,6 +15,7 @@ from claimgauge.operators.kept_verdicts import KeptVerdicts
 from claimgauge.operators.reconciliation import monthly_summary
 from claimgauge.operators.run_tables import RunTable
 from claimgauge.sources.catalog_tables import CatalogTable, ensure_schema
+from claimgauge.sources.scratch import shuffles_removed
 from claimgauge.sources.tables import Sources
 
 KEYS = {"completeness": FIELD_KEY, "validity": FIELD_KEY, "reconciliation": MONTH_KEY}
@@ -60,7 +61,8 @@ class Runs:
         if self.schema is not None:
             self._current_table(name).replace(summary)
         else:
-            summary.write.mode("overwrite").parquet(self._current_path(name))
+            with shuffles_removed(self.spark):
+                summary.write.mode("overwrite").parquet(self._current_path(name))
 
     def build(
         self,

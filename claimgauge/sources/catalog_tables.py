@@ -15,7 +15,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 
 from claimgauge.functions.verdicts import quoted
-from claimgauge.sources.scratch import folders_in, remove
+from claimgauge.sources.scratch import folders_in, remove, shuffles_removed
 
 
 def ensure_schema(spark: SparkSession, schema: str, location: str | None = None) -> None:
@@ -62,7 +62,8 @@ class CatalogTable:
     def _written(self, frame: DataFrame, by: Sequence[str] = ()) -> str:
         folder = self.fresh_folder()
         try:
-            frame.write.partitionBy(*by).parquet(folder) if by else frame.write.parquet(folder)
+            with shuffles_removed(self._spark):
+                frame.write.partitionBy(*by).parquet(folder) if by else frame.write.parquet(folder)
         except BaseException:
             remove(self._spark, folder)
             raise

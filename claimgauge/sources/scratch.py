@@ -5,10 +5,13 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: staged folders of this process that are still there, with the session that wrote them
 _staged: dict[str, SparkSession] = {}
@@ -52,6 +55,21 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in files.listStatus(place) if s.isDirectory())
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the writes inside go as soon as each write ends.
+
+    Every write is planned anew, so that no other plan reads its shuffles. Spark would otherwise remove them only
+    when the JVM happens to collect its garbage, and those of all steps and runs before would fill the disk.
+    """
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
+
+
 def stage(frame: DataFrame, name: str) -> DataFrame:
     """Write ``frame`` once and return the written table.
 
@@ -62,7 +80,8 @@ def stage(frame: DataFrame, name: str) -> DataFrame:
     spark = frame.sparkSession
     path = fresh_path(spark, name)
     _staged[path] = spark
-    frame.write.parquet(path)
+    with shuffles_removed(spark):
+        frame.write.parquet(path)
     written = spark.read.schema(frame.schema).parquet(path)
     written._staged_path = path
     return written
