@@ -258,6 +258,50 @@ def _count_by_value(
     )
 
 
+# Values that one job shuffles: five to seven gigabytes of shuffle files.
+MAX_VALUES = 400_000_000
+
+
+def _passes(beside: DataFrame, checks: Sequence[FieldCheck], codes: sets.PackedCodes) -> list[tuple[list[FieldCheck], int]]:
+    """Checks in groups of at most ``MAX_VALUES`` values that travel, or of one check; fields of one code set lie together.
+
+    The counters beside the rows know how many values each field has; the driver receives one row per field.
+    """
+    rows = beside.where(f"not {_FILLED}").groupBy("field_name").agg(
+        F.expr("sum(total_rows - null_rows) as filled"), F.expr("sum(not_applicable_rows) as outside")
+    )
+    known = {row["field_name"]: row for row in rows.collect()}
+    found: list[tuple[list[FieldCheck], int]] = []
+    for check in sorted(checks, key=lambda c: [s.name for s in c.code_sets]):
+        values = 0
+        if check.field in known:
+            row = known[check.field]
+            stays = 0 if codes.repeated.intersection(check.code_sets) else row["outside"]
+            values = row["filled"] - stays
+        if found and found[-1][1] + values <= MAX_VALUES:
+            found[-1] = ([*found[-1][0], check], found[-1][1] + values)
+        else:
+            found.append(([check], values))
+    return found
+
+
+def _counted_in_passes(
+    waiting: Sequence[tuple[DataFrame, Sequence[FieldCheck], DataFrame]], codes: sets.PackedCodes
+) -> list[DataFrame]:
+    """What is found by value for (table, its checks, its counters beside the rows).
+
+    If all values together are too many for one job, each pass is a job of its own that is written, and its shuffle
+    files are gone before the next one starts. A pass reads only the columns of its checks.
+    """
+    passes = []
+    for table, checks, beside in waiting:
+        grains = _numbered_grains(beside)
+        passes += [(table, grains, *one) for one in _passes(beside, checks, codes)]
+    together = sum(values for *_, values in passes) <= MAX_VALUES
+    counted = [_count_by_value(table, checks, codes, grains) for table, grains, checks, _ in passes]
+    return counted if together else [stage(part, "values") for part in counted]
+
+
 #: kinds whose rules look at a value as it is; all others compare it with text
 _TYPED_KINDS = ("date_range", "positive_number", "not_null")
 
@@ -285,7 +329,7 @@ def _tally(
     # counted once for all that share these code sets
     name = f"codes within {broadcast_limit}: {sorted(s.name for s in used)}"
     codes = sources.references.derived(name, lambda: sets.pack(sources.references, used, broadcast_limit))
-    parts, split = [], False
+    parts, waiting = [], []
     for model in MODELS:
         mine = [c for c in checks if c.model == model]
         if not mine:
@@ -303,13 +347,12 @@ def _tally(
         counted += [_Counted(c, verdict(c, as_of, _ELSEWHERE), _beside_weight(c, codes)) for c in by_value]
         parts.append(_count_side_by_side(frame, counted))
         if by_value:
-            split = True
             parts[-1] = stage(parts[-1], "beside-values")
-            parts.append(_count_by_value(table, by_value, codes, _numbered_grains(parts[-1])))
+            waiting.append((table, by_value, parts[-1]))
     if not parts:
         raise ValueError("no checks given")
-    tally = reduce(DataFrame.unionByName, parts)
-    if not split:
+    tally = reduce(DataFrame.unionByName, [*parts, *_counted_in_passes(waiting, codes)])
+    if not waiting:
         return tally
     return tally.groupBy(*GRAIN, *_LABELS, _FILLED).agg(*[F.expr(f"sum({c}) as {c}") for c in _COUNTERS])
 
